@@ -3,9 +3,13 @@
 from shelfline.catalog import (  # noqa: F401
     aggregates,
     columns,
+    features,
+    files,
     filters,
     joins,
+    series,
     sets_and_samples,
+    texts,
     windows,
 )
 from shelfline.catalog.registry import QUERIES, SQL, runnable  # noqa: F401

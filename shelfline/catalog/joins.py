@@ -6,7 +6,7 @@ from shelfline.catalog.registry import query
 from shelfline.functions.text import tag_text
 from shelfline.operators import joins as J
 from shelfline.operators.aggregates import with_group_total
-from shelfline.operators.timeseries import forecast_seasonal_naive
+from shelfline.operators.timeseries import shift_season
 from shelfline.plans.ordered import running_sum
 from shelfline.views import (
     ATTR, KW, LLM_OUT, SERIES, TAXO, WEIGHTS, attribute_weights, keyword_traffic, labelled_keywords,
@@ -142,9 +142,7 @@ def _(t):
 )
 def _(t):
     series = weekly_series(t)
-    joined = forecast_seasonal_naive(series, "item", "week", "y", season_days=364).join(
-        series, ["item", "week"], "left"
-    )
+    joined = shift_season(series, "item", "week", "y").join(series, ["item", "week"], "left")
     return joined.withColumn("week", F.date_format("week", "yyyy-MM-dd"))
 
 

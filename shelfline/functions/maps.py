@@ -54,18 +54,35 @@ def with_defaults(m: Column, defaults: Column) -> Column:
     return merged(defaults, F.coalesce(m, F.from_json(F.lit("{}"), "map<string,string>")))
 
 
+def with_nested_defaults(m: Column, defaults: Column) -> Column:
+    """As `with_defaults` for a map of maps: the inner maps are completed as well."""
+    completed = F.transform_values(
+        m, lambda k, v: F.coalesce(merged(F.try_element_at(defaults, k), v), v)
+    )
+    return merged(defaults, completed)
+
+
+def as_text(m: Column) -> Column:
+    """key=value;… in key order."""
+    pairs = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return F.array_join(F.array_sort(pairs), ";")
+
+
+INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+
+
 def typed_rungs(text: Column) -> dict[str, Column]:
     """The narrowest reading of a text value: boolean, integer, double, else text."""
     low = F.lower(F.trim(text))
     as_bool = F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
-    is_int = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
-    as_int = F.when(is_int, F.trim(text).try_cast("bigint"))
-    as_double = F.when(as_int.isNull(), F.trim(text).try_cast("double"))
+    as_int = F.when(text.rlike(INTEGER), F.trim(text).try_cast("bigint"))
+    as_float = F.when(as_int.isNull() & text.rlike(NUMBER), F.trim(text).try_cast("double"))
     kind = (
         F.when(text.isNull(), F.lit(None).cast("string"))
         .when(as_bool.isNotNull(), "bool")
         .when(as_int.isNotNull(), "int")
-        .when(as_double.isNotNull(), "float")
+        .when(as_float.isNotNull(), "float")
         .otherwise("text")
     )
-    return {"kind": kind, "as_bool": as_bool, "as_int": as_int, "as_float": as_double}
+    return {"kind": kind, "as_bool": as_bool, "as_int": as_int, "as_float": as_float}

@@ -1,7 +1,291 @@
-"""Time-series operators: regular calendars, forecasts, back-tests."""
+"""Many time series at once: regular calendars, forecasts, back-tests.
+
+A series is a table of (item, date, y) with one row per period, so an item's
+length is bounded by the calendar whatever the size of the raw table. Time runs
+in whole periods of `STEP` days counted from a fixed Monday.
+"""
+
 from __future__ import annotations
-from pyspark.sql import DataFrame
+
+from collections.abc import Mapping, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-def forecast_seasonal_naive(df: DataFrame, item: str, at: str, y: str, season_days: int, out: str = "yhat") -> DataFrame:
+
+from shelfline.operators.aggregates import keys_present
+from shelfline.plans.ordered import exact_quantiles, quantile_name, union_all
+
+STEP = 7
+ORIGIN = "1990-01-01"  # a Monday
+YEAR = 52  # periods in one season
+QUANTILES = (0.5, 0.6, 0.7, 0.8, 0.9)
+
+
+def period_number(at: str | Column) -> Column:
+    return F.floor(F.datediff(at, F.lit(ORIGIN).cast("date")) / STEP).cast("int")
+
+
+def resample(
+    df: DataFrame, keys: Sequence[str], at: str, unit: str, aggregates: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    """Regular frequency: out → (column, sum | avg | first | min | max) per key and period."""
+    made = {
+        "sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max,
+        "first": lambda c: F.min_by(c, at),
+    }
+    columns = [made[how](column).alias(out) for out, (column, how) in aggregates.items()]
+    period = F.to_date(F.date_trunc(unit, at)).alias("period")
+    return keys_present(df, keys).groupBy(*keys, period).agg(*columns)
+
+
+def gap_fill(
+    df: DataFrame, keys: Sequence[str], at: str, y: str, step_days: int = STEP, to_common_end: bool = True,
+    fill: str | float = 0.0,
+) -> DataFrame:
+    """Every period from an item's first to its last (or to the common end); gaps are
+    filled with a value, or with the item's own mean."""
+    spans = df.groupBy(*keys).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"), F.avg(y).alias("_mean"))
+    end = df.agg(F.max(at)).scalar() if to_common_end else F.col("_hi")
+    calendar = spans.withColumn("_end", end).select(
+        *keys, "_mean", F.explode(F.sequence("_lo", "_end", F.expr(f"interval {step_days} days"))).alias(at)
+    )
+    filler = F.col("_mean") if fill == "mean" else F.lit(float(fill))
+    return (
+        calendar.join(df, [*keys, at], "left")
+        .withColumn("is_filled", F.col(y).isNull())
+        .withColumn(y, F.coalesce(F.col(y), filler))
+        .drop("_mean")
+    )
+
+
+def future_rows(
+    df: DataFrame, keys: Sequence[str], at: str, y: str, horizon: int, static: Sequence[str] = (), step_days: int = STEP
+) -> DataFrame:
+    """The next periods of every item: static columns carried on, no target."""
+    last = df.groupBy(*keys).agg(F.max(at).alias("_last"), *[F.max_by(c, at).alias(c) for c in static])
+    coming = F.transform(
+        F.sequence(F.lit(1), F.lit(horizon)), lambda i: F.date_add("_last", (i * step_days).cast("int"))
+    )
+    return last.select(
+        *keys, F.explode(coming).alias(at), F.lit(None).cast(df.schema[y].dataType).alias(y), *static
+    )
+
+
+def min_history(df: DataFrame, keys: Sequence[str], y: str, n: int) -> DataFrame:
+    """Rows of series with at least n values."""
+    long = df.groupBy(*keys).agg(F.count(y).alias("_n")).where(F.col("_n") >= n).select(*keys)
+    return df.join(long, list(keys), "left_semi")
+
+
+# Holidays that fall on the same day every year, by country.
+FIXED_HOLIDAYS = {
+    "IN": {"01-26": "Republic Day", "08-15": "Independence Day", "10-02": "Gandhi Jayanti", "12-25": "Christmas"},
+    "US": {"01-01": "New Year's Day", "07-04": "Independence Day", "11-11": "Veterans Day", "12-25": "Christmas Day"},
+}
+
+
+def with_holidays(df: DataFrame, at: str, country: str) -> DataFrame:
+    """Holiday name and flag of each date, from the rules of a country."""
+    rules = F.create_map(*[F.lit(x) for kv in FIXED_HOLIDAYS[country].items() for x in kv])
+    named = df.withColumn("holiday", F.try_element_at(rules, F.date_format(at, "MM-dd")))
+    return named.withColumn("is_holiday", F.col("holiday").isNotNull())
+
+
+def join_holiday_table(df: DataFrame, holidays: DataFrame, at: str) -> DataFrame:
+    """The same with a calendar table (date, name); several names on a day become one."""
+    one = holidays.groupBy(F.col("date").alias(at)).agg(F.min("name").alias("holiday"))
+    return df.join(one, at, "left").withColumn("is_holiday", F.col("holiday").isNotNull())
+
+
+def holiday_calendar(dates: DataFrame, at: str, country: str) -> DataFrame:
+    """Calendar table (date, name) for the years that occur in a column."""
+    years = dates.select(F.year(at).alias("y")).distinct()
+    days = F.array(
+        *[
+            F.struct(
+                F.make_date("y", F.lit(int(md[:2])), F.lit(int(md[3:]))).alias("date"), F.lit(name).alias("name")
+            )
+            for md, name in FIXED_HOLIDAYS[country].items()
+        ]
+    )
+    return years.select(F.inline(days))
+
+
+def fit_trend(df: DataFrame, keys: Sequence[str], at: str, y: str) -> DataFrame:
+    """Least-squares line per item as one aggregate."""
+    x = period_number(at)
+    return df.groupBy(*keys).agg(
+        F.regr_slope(F.col(y), x).alias("slope"), F.regr_intercept(F.col(y), x).alias("intercept")
+    )
+
+
+def trend_at(at: str | Column) -> Column:
+    return F.col("intercept") + F.col("slope") * period_number(at)
+
+
+def forecast_trend(df: DataFrame, keys: Sequence[str], at: str, y: str, horizon: int) -> DataFrame:
+    coming = future_rows(df, keys, at, y, horizon).drop(y)
+    return coming.join(fit_trend(df, keys, at, y), list(keys)).select(*keys, at, trend_at(at).alias("yhat"))
+
+
+def shift_season(df: DataFrame, item: str, at: str, y: str, season_days: int = YEAR * STEP, out: str = "yhat") -> DataFrame:
     """The value one season ago, as the forecast of the shifted period."""
     return df.select(item, F.date_add(at, season_days).alias(at), F.col(y).alias(out))
+
+
+def forecast_seasonal_naive(df: DataFrame, keys: Sequence[str], at: str, y: str, horizon: int) -> DataFrame:
+    """Next periods: the value of the same season one cycle ago, and its mean over all cycles."""
+    coming = future_rows(df, keys, at, y, horizon).drop(y)
+    phased = df.select(*keys, F.col(at).alias("_then"), F.col(y).alias("_y"), (period_number(at) % YEAR).alias("_phase"))
+    matched = coming.withColumn("_phase", period_number(at) % YEAR).join(phased, [*keys, "_phase"], "left")
+    one_back = F.datediff(at, "_then") == YEAR * STEP
+    return matched.groupBy(*keys, at).agg(
+        F.max(F.when(one_back, F.col("_y"))).alias("yhat"), F.avg("_y").alias("seasonal_mean")
+    )
+
+
+def _design(periods: np.ndarray, start: float, span: float, order: int, extra: np.ndarray) -> np.ndarray:
+    t = (periods - start) / span
+    columns = [np.ones_like(t), t]
+    for k in range(1, order + 1):
+        angle = 2 * np.pi * k * periods / 52.18
+        columns += [np.sin(angle), np.cos(angle)]
+    return np.column_stack([*columns, extra]) if extra.shape[1] else np.column_stack(columns)
+
+
+def forecast_additive(
+    df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3
+) -> DataFrame:
+    """Trend plus yearly Fourier terms per item with a 95 % interval.
+
+    Rows with a target are fitted, rows without one are forecast; regressors
+    (holiday flags, encoded columns) must be set on both. A group holds one
+    item's periods, so its size is bounded by the calendar.
+    """
+    extra = list(regressors)
+    frame = df.select(
+        F.col(item).cast("string").alias("item"), F.col(at).alias("at"), period_number(at).cast("double").alias("period"),
+        F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in extra],
+    )
+
+    def fit_predict(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("period")
+        known = pdf["y"].notna().to_numpy()
+        out = pdf.loc[~known, ["item", "at"]].copy()
+        n = int(known.sum())
+        if n == 0 or out.empty:
+            return out.assign(yhat=np.nan, yhat_lower=np.nan, yhat_upper=np.nan)
+        periods, target = pdf["period"].to_numpy(), pdf["y"].to_numpy()[known]
+        start = periods[known][0]
+        span = max(periods[known][-1] - start, 1.0)
+        waves = min(order, max((n - 2) // 4, 0))
+        x = _design(periods, start, span, waves, pdf[extra].fillna(0.0).to_numpy())
+        xk = x[known]
+        penalty = ridge * np.eye(x.shape[1])
+        penalty[0, 0] = 0.0
+        weights = np.linalg.lstsq(xk.T @ xk + penalty, xk.T @ target, rcond=None)[0]
+        rest = target - xk @ weights
+        half = 1.96 * (np.sqrt(rest @ rest / max(n - x.shape[1], 1)))
+        yhat = x[~known] @ weights
+        return out.assign(yhat=yhat, yhat_lower=yhat - half, yhat_upper=yhat + half)
+
+    schema = "item string, at date, yhat double, yhat_lower double, yhat_upper double"
+    return frame.groupBy("item").applyInPandas(fit_predict, schema).withColumnRenamed("at", at)
+
+
+def forecast_quantiles(
+    df: DataFrame, keys: Sequence[str], at: str, y: str, horizon: int, qs: Sequence[float] = QUANTILES
+) -> DataFrame:
+    """Trend forecast plus the quantiles of the item's own residuals."""
+    trend = fit_trend(df, keys, at, y)
+    residuals = df.join(trend, list(keys)).select(*keys, (F.col(y) - trend_at(at)).alias("_rest"))
+    spread = exact_quantiles(residuals, keys, "_rest", qs)
+    points = forecast_trend(df, keys, at, y, horizon).join(spread, list(keys))
+    names = [quantile_name(q) for q in qs]
+    return points.select(*keys, at, *[(F.col("yhat") + F.col(n)).alias(n) for n in names])
+
+
+def backtest(
+    df: DataFrame, keys: Sequence[str], at: str, y: str, windows: int = 3, horizon: int = 4
+) -> DataFrame:
+    """Hold-out forecasts of the trend and the seasonal model for several cut-offs.
+
+    The last `windows` stretches of `horizon` periods are forecast, each from
+    the periods before it. A row is repeated once per cut-off it serves.
+    """
+    placed = df.withColumn("_p", period_number(at)).withColumn("_last", period_number(df.agg(F.max(at)).scalar()))
+    cutoffs = F.array(*[F.col("_last") - F.lit(horizon * w) for w in range(1, windows + 1)])
+    rows = placed.withColumn("_cut", F.explode(cutoffs))
+    trend = (
+        rows.where(F.col("_p") <= F.col("_cut"))
+        .groupBy(*keys, "_cut")
+        .agg(F.regr_slope(F.col(y), F.col("_p")).alias("slope"), F.regr_intercept(F.col(y), F.col("_p")).alias("intercept"))
+    )
+    held = rows.where((F.col("_p") > F.col("_cut")) & (F.col("_p") <= F.col("_cut") + horizon))
+    ago = df.select(*keys, (period_number(at) + YEAR).alias("_p"), F.col(y).alias("_ago"))
+    both = held.join(trend, [*keys, "_cut"], "left").join(ago, [*keys, "_p"], "left")
+    models = F.array(
+        F.struct(F.lit("trend").alias("model"), (F.col("intercept") + F.col("slope") * F.col("_p")).alias("yhat")),
+        F.struct(F.lit("seasonal").alias("model"), F.col("_ago").cast("double").alias("yhat")),
+    )
+    cut_date = F.date_add(F.lit(ORIGIN).cast("date"), F.col("_cut") * STEP)
+    return both.select(*keys, cut_date.alias("cutoff"), at, y, F.inline(models)).where(F.col("yhat").isNotNull())
+
+
+def window_errors(held: DataFrame, keys: Sequence[str], y: str) -> DataFrame:
+    """Absolute error relative to the actual volume, per item, cut-off and model."""
+    return held.groupBy(*keys, "cutoff", "model").agg(
+        (F.sum(F.abs(F.col(y) - F.col("yhat"))) / F.sum(F.abs(y))).alias("error")
+    )
+
+
+def model_errors(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return errors.groupBy(*keys, "model").agg(F.avg("error").alias("error"))
+
+
+def best_model(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Least mean error; the first name on a tie."""
+    ranked = F.struct(F.round("error", 9).alias("e"), F.col("model").alias("m"))
+    return model_errors(errors, keys).groupBy(*keys).agg(
+        F.min(ranked)["m"].alias("best"), F.min("error").alias("error")
+    )
+
+
+def weighted_quantile_loss(
+    df: DataFrame, y: str, forecasts: Mapping[float, str], keys: Sequence[str] = (), out: str = "wql"
+) -> DataFrame:
+    """Mean over the quantiles of Σ 2·[q·max(y−ŷ,0) + (1−q)·max(ŷ−y,0)] / Σ|y|."""
+    losses = []
+    for q, column in forecasts.items():
+        under = F.greatest(F.col(y) - F.col(column), F.lit(0.0))
+        over = F.greatest(F.col(column) - F.col(y), F.lit(0.0))
+        losses.append(F.sum(2 * (q * under + (1 - q) * over)))
+    total = losses[0]
+    for loss in losses[1:]:
+        total = total + loss
+    return df.groupBy(*keys).agg((total / len(losses) / F.sum(F.abs(y))).alias(out))
+
+
+FLOOR = 1e-6
+
+
+def log_target(y: Column) -> Column:
+    return F.log(F.greatest(y.cast("double"), F.lit(FLOOR)))
+
+
+def unlog_target(y_log: Column) -> Column:
+    return F.exp(y_log)
+
+
+def ensemble_blend(
+    candidates: Mapping[str, DataFrame], errors: DataFrame, keys: Sequence[str], at: str, floor: float = 1e-6
+) -> DataFrame:
+    """Weighted mean of the candidate forecasts, weights the inverse of each model's error."""
+    named = union_all(
+        [f.select(*keys, at, "yhat", F.lit(name).alias("model")) for name, f in candidates.items()]
+    ).where(F.col("yhat").isNotNull())
+    weight = 1 / F.greatest(F.col("error"), F.lit(floor))
+    weighted = named.join(errors, [*keys, "model"]).withColumn("_w", weight)
+    return weighted.groupBy(*keys, at).agg((F.sum(F.col("_w") * F.col("yhat")) / F.sum("_w")).alias("yhat"))
