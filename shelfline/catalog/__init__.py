@@ -3,9 +3,11 @@
 from shelfline.catalog import (  # noqa: F401
     aggregates,
     columns,
+    enrichment,
     features,
     files,
     filters,
+    incremental,
     joins,
     series,
     sets_and_samples,

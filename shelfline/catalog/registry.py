@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfline.session import tune
 from shelfline.views import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -26,6 +27,6 @@ def query(name: str, sql: str | None = None):
 
 def runnable() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        return lambda spark, sf_dir: fn(Tables(tune(spark), sf_dir))
 
     return {name: bind(fn) for name, fn in QUERIES.items()}

@@ -29,6 +29,17 @@ def build_session(app: str = "shelfline", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+# Settings the operators rely on that a running session still accepts.
+RUNTIME = ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+           "spark.sql.adaptive.forceOptimizeSkewedJoin")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for key in RUNTIME:
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach; a machine-local one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
