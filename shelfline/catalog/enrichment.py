@@ -11,6 +11,12 @@ from shelfline.views import ITEMS, LLM_OUT, TAXO, WEIGHTS, attribute_weights, it
 TEMPLATE = "<att>{options}</att>\n<inp>{inp}</inp>"
 NO_WAIT = {"wait": 0.0, "jitter": 0.0}
 
+
+def _calls(t):
+    """As many tasks as there are cores call the model; the stub answers at once."""
+    return {**NO_WAIT, "partitions": t.spark.sparkContext.defaultParallelism}
+
+
 OPTIONS = f"{WEIGHTS}, opts AS (SELECT product_type, string_agg(sa_name, chr(10) ORDER BY sa_name) AS options FROM weights GROUP BY 1)"
 
 
@@ -40,7 +46,7 @@ TAGGED = f"""{WEIGHTS}, words AS (SELECT p_partkey, p_type, unnest(string_split(
         FROM part LEFT JOIN found USING (p_partkey)""",
 )
 def _(t):
-    return E.batch_infer(keyword_prompts(t), "prompt", attribute_tagger, **NO_WAIT).select("p_partkey", "generated_text")
+    return E.batch_infer(keyword_prompts(t), "prompt", attribute_tagger, **_calls(t)).select("p_partkey", "generated_text")
 
 
 @query(
@@ -49,7 +55,7 @@ def _(t):
         FROM part LEFT JOIN found USING (p_partkey)""",
 )
 def _(t):
-    out = E.infer_distinct(keyword_prompts(t), "prompt", attribute_tagger, **NO_WAIT)
+    out = E.infer_distinct(keyword_prompts(t), "prompt", attribute_tagger, **_calls(t))
     return out.select("p_partkey", "product_type", "generated_text")
 
 
@@ -59,7 +65,7 @@ def _(t):
         JOIN weights ON p_type = product_type AND word = sa_name""",
 )
 def _(t):
-    replied = E.infer_distinct(keyword_prompts(t), "prompt", attribute_tagger, **NO_WAIT)
+    replied = E.infer_distinct(keyword_prompts(t), "prompt", attribute_tagger, **_calls(t))
     parsed = replied.withColumn("labels", E.parse_reply("generated_text", {"labels": "res"})["labels"])
     return E.explode_labels(parsed, "labels", "attributes").select("p_partkey", "product_type", "attributes")
 
@@ -74,7 +80,7 @@ def _(t):
 def _(t):
     prompt = F.concat_ws(" ", "p_name", "p_brand", F.col("p_partkey").cast("string"))
     rows = t.part.select("p_partkey", prompt.alias("prompt"))
-    replied = E.batch_infer(rows, "prompt", flaky_echo, retries=2, **NO_WAIT)
+    replied = E.batch_infer(rows, "prompt", flaky_echo, retries=2, **_calls(t))
     return replied.select("p_partkey", "generated_text", "attempts", "error")
 
 
@@ -140,5 +146,5 @@ def _(t):
 )
 def _(t):
     items = items_to_classify(t).select("item", "title", F.coalesce("description", "fallback").alias("description"))
-    out = classify_root_then_leaf(items, taxonomy(t), option_picker, root_prefix="World, ", **NO_WAIT)
+    out = classify_root_then_leaf(items, taxonomy(t), option_picker, root_prefix="World, ", **_calls(t))
     return out.select("item", "root_category", "category", "thinking", "confidence", "node_key")

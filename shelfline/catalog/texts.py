@@ -219,9 +219,12 @@ def _event_map():
        FROM events""",
 )
 def _(t):
-    filled = maps.drop_null_values(_event_map())
-    users = maps.drop_keys(maps.keys_cased(filled), ["k"])
-    return t.events.select(
+    # named step by step, so the JSON text is parsed once per row
+    mapped = t.events.select("event_id", _event_map().alias("m"))
+    filled = mapped.select("event_id", maps.drop_null_values(F.col("m")).alias("filled"))
+    both = filled.withColumn("users", maps.drop_keys(maps.keys_cased(F.col("filled")), ["k"]))
+    filled, users = F.col("filled"), F.col("users")
+    return both.select(
         "event_id",
         maps.as_text(maps.keys_cased(filled, upper=True)).alias("upper_keys"),
         maps.as_text(maps.with_key_copies(maps.values_cased(users, upper=True), suffix="_x")).alias("copied"),
@@ -241,15 +244,16 @@ def _(t):
     props = F.from_json("props", "map<string,string>")
     defaults = F.create_map(F.lit("k"), F.lit("0"), F.lit("unit"), F.lit("pct"))
     nested = F.create_map(
-        F.lit("props"), props, F.lit("event"), F.create_map(F.lit("name"), F.col("event_type"))
+        F.lit("props"), F.col("m"), F.lit("event"), F.create_map(F.lit("name"), F.col("event_type"))
     )
     nested_defaults = F.create_map(
         F.lit("props"), defaults, F.lit("source"), F.create_map(F.lit("name"), F.lit("web"))
     )
-    deep = maps.with_nested_defaults(nested, nested_defaults)
-    return t.events.select(
+    parsed = t.events.select("event_id", "event_type", props.alias("m"))
+    deep = F.col("deep")
+    return parsed.withColumn("deep", maps.with_nested_defaults(nested, nested_defaults)).select(
         "event_id",
-        maps.as_text(maps.with_defaults(props, defaults)).alias("flat"),
+        maps.as_text(maps.with_defaults(F.col("m"), defaults)).alias("flat"),
         maps.as_text(F.try_element_at(deep, F.lit("props"))).alias("inner_props"),
         maps.as_text(F.try_element_at(deep, F.lit("event"))).alias("inner_event"),
         maps.as_text(F.try_element_at(deep, F.lit("source"))).alias("inner_source"),

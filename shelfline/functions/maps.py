@@ -23,9 +23,9 @@ def with_key_copies(m: Column, prefix: str = "", suffix: str = "") -> Column:
 
 
 def merged(base: Column, over: Column) -> Column:
-    """Entries of both maps; on a shared key the second one wins."""
-    kept = F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(over), k))
-    return F.map_concat(kept, over)
+    """Entries of both maps; on a shared key the second one wins, also with a null value."""
+    boxed = F.transform_values(over, lambda _, v: F.struct(v.alias("v")))
+    return F.map_zip_with(base, boxed, lambda _, b, o: F.when(o.isNull(), b).otherwise(o["v"]))
 
 
 def keep_keys(m: Column, keys: Sequence[str]) -> Column:

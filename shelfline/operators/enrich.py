@@ -112,14 +112,14 @@ def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **
     """Send every distinct prompt once and join the replies back to all rows.
 
     Repeats are removed before the call, so a prompt shared by a third of the
-    table costs one call. The replies are written down before the join; the
-    join is on a short hash and the text itself decides.
+    table costs one call. Rows and replies meet on the SHA-256 of the prompt;
+    the prompt text itself is not shuffled again. The replies are written down
+    first, so nothing downstream calls the model a second time.
     """
-    keyed = df.withColumn("_prompt_key", F.xxhash64(prompt))
-    distinct = keyed.select("_prompt_key", F.col(prompt).alias("_prompt")).dropDuplicates()
-    replies = cut_lineage(batch_infer(distinct, "_prompt", client_factory, **options))
-    same = (F.col("k") == F.col("_prompt_key")) & (F.col("_prompt") == F.col(prompt))
-    return keyed.join(replies.withColumnRenamed("_prompt_key", "k"), same, "left").drop("k", "_prompt", "_prompt_key")
+    keyed = df.withColumn("_digest", F.sha2(prompt, 256))
+    distinct = keyed.select("_digest", F.col(prompt).alias("_prompt")).distinct()
+    replies = cut_lineage(batch_infer(distinct, "_prompt", client_factory, **options).drop("_prompt"))
+    return keyed.join(replies, "_digest", "left").drop("_digest")
 
 
 def parse_reply(reply: str, tags: Mapping[str, str], sentinels: Sequence[str] = SENTINELS) -> dict[str, Column]:

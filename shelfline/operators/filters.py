@@ -79,8 +79,7 @@ def share_band(
     A single row above the share leaves its group empty, unless the row that
     crosses the border is asked for.
     """
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("total_value"))
-    running = running_sum(df, keys, order, value, "running_value").join(totals, list(keys))
+    running = running_sum(df, keys, order, value, "running_value", {"total_value": F.sum(value)})
     reached = F.col("running_value") - (F.col(value) if include_crossing else F.lit(0))
     inside = reached / F.col("total_value")
     return running.where(inside < share if include_crossing else inside <= share)

@@ -12,21 +12,27 @@ total, so callers always pass a tiebreak column.
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.session import shared_dir
+from shelfline.session import scratch_path
 
 SLICE = "_slice"
 LINE = "_line"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once to the shared folder and go on from the files.
+
+    The plan is run exactly once, a lost executor costs a re-read only, later
+    branches read just the columns they use, and the planner knows the true
+    size of what it joins.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def keys_present(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,12 +77,22 @@ def _join_slices(sliced: DataFrame, totals: DataFrame, keys: Sequence[str]) -> D
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, out: str,
+    group_totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Cumulative sum inside each group; a null value keeps a null total at its row."""
+    """Cumulative sum inside each group; a null value keeps a null total at its row.
+
+    `group_totals` (name → sum aggregate) puts whole-group sums on every row.
+    They are added up from the slice totals, so they cost no further pass.
+    """
+    extra = dict(group_totals or {})
     sliced = order_slices(keys_present(df, keys), keys, order)
-    totals = sliced.groupBy(*keys, SLICE).agg(F.coalesce(F.sum(value), F.lit(0)).alias("_part"))
-    totals = _before(totals, keys, "_part", "_before").drop("_part")
+    per_slice = sliced.groupBy(*keys, SLICE).agg(
+        F.coalesce(F.sum(value), F.lit(0)).alias("_part"), *[a.alias(n) for n, a in extra.items()]
+    )
+    totals = _before(per_slice, keys, "_part", "_before").drop("_part")
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    totals = totals.withColumns({n: F.sum(n).over(whole) for n in extra})
     w = (
         Window.partitionBy(*keys, SLICE)
         .orderBy(LINE)
@@ -110,36 +126,41 @@ def quantile_name(q: float) -> str:
     return f"p{round(q * 100):02d}"
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float]
-) -> DataFrame:
-    """Quantiles per group with linear interpolation, one column per q (p25, p50, ...).
+def ranked_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct non-null values per group with their count `_n`, the rows up to them `_upto`,
+    and the group's row count `_size` and value sum `_sum`.
 
-    The rows are first counted per distinct value, so repeated values never
-    travel; the ranks come from a running sum of these counts. No group is held
-    in memory, unlike the built-in exact percentile.
+    Rows are counted per distinct value first, so repeated values never travel.
     """
     present = keys_present(df, keys).where(F.col(value).isNotNull())
     counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_sum(counts, keys, [F.col(value).asc()], "_n", "_upto")
-    size = ranked.groupBy(*keys).agg(F.max("_upto").alias("_size"))
-    sized = ranked.join(size, list(keys))
+    sums = {"_size": F.sum("_n"), "_sum": F.sum(F.col(value).cast("double") * F.col("_n"))}
+    return running_sum(counts, keys, [F.col(value).asc()], "_n", "_upto", sums)
 
-    def at_rank(rank: Column) -> Column:
-        return F.min(F.when(F.col("_upto") > rank, F.col(value)))
 
+def rank_picks(value: str, qs: Sequence[float]) -> tuple[list[Column], list[Column]]:
+    """Aggregates over ranked values, and the columns made from them: interpolated quantiles."""
     picks, cols = [], []
     for q in qs:
         name = quantile_name(q)
         spot = (F.col("_size") - 1) * F.lit(float(q))
-        picks += [
-            at_rank(F.floor(spot)).alias(f"_lo_{name}"),
-            at_rank(F.ceil(spot)).alias(f"_hi_{name}"),
-            F.max(spot - F.floor(spot)).alias(f"_f_{name}"),
-        ]
+        for end, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
+            picks.append(F.min(F.when(F.col("_upto") > rank, F.col(value))).alias(f"_{end}_{name}"))
+        picks.append(F.max(spot - F.floor(spot)).alias(f"_f_{name}"))
         lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
         cols.append((lo + (hi - lo) * F.col(f"_f_{name}")).alias(name))
-    return sized.groupBy(*keys).agg(*picks).select(*keys, *cols)
+    return picks, cols
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float]
+) -> DataFrame:
+    """Quantiles per group with linear interpolation, one column per q (p25, p50, ...).
+
+    No group is held in memory, unlike the built-in exact percentile.
+    """
+    picks, cols = rank_picks(value, qs)
+    return ranked_values(df, keys, value).groupBy(*keys).agg(*picks).select(*keys, *cols)
 
 
 def hash_rank(key_cols: Sequence[str], seed: int) -> Column:

@@ -91,7 +91,11 @@ def write_by_group(df: DataFrame, path: str, group: str, rounds: int = 4) -> Non
         if _exists(spark, done_path):
             part = part.join(spark.read.parquet(done_path), group, "left_anti")
         part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(group).parquet(path)
-        part.select(group).distinct().write.mode("append").parquet(done_path)
+        # the written folders name the groups: the rows are not worked out again
+        if _exists(spark, path):
+            landed = spark.read.parquet(path).select(group).distinct()
+            mine = landed.where(F.pmod(F.xxhash64(group), F.lit(rounds)) == i)
+            mine.write.mode("append").parquet(done_path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -100,6 +104,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_documents(df: DataFrame, path: str, kind: str = "text") -> None:
-    """One file per row: the only text column (`text`), or the row as a JSON document."""
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", 1)
+    """One file per row: its only text column, or the row as a JSON document.
+
+    Rows are spread by hash first; one task would create its files one by one.
+    """
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(*df.columns))
+    writer = spread.write.mode("overwrite").option("maxRecordsPerFile", 1)
     writer.text(path) if kind == "text" else writer.json(path)
