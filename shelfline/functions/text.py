@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 
@@ -61,7 +62,10 @@ def strip_all(text: Column, patterns: Sequence[str]) -> Column:
 
 
 def strip_literals(text: Column, literals: Sequence[str]) -> Column:
-    return F.regexp_replace(text, "|".join(re.escape(x) for x in literals), "")
+    """Remove all literals in one pass; a shared beginning is matched once, not per literal."""
+    shared = os.path.commonprefix(list(literals))
+    rest = "|".join(re.escape(x[len(shared):]) for x in literals)
+    return F.regexp_replace(text, f"{re.escape(shared)}(?:{rest})", "")
 
 
 def strip_suffix(text: Column, suffix: str) -> Column:
