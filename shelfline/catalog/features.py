@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shelfline.catalog.registry import query
 from shelfline.operators import features as M
 from shelfline.operators.sampling import train_test
+from shelfline.plans.ordered import cut_lineage
 from shelfline.views import KW, SCORED, keyword_traffic, scored_labels
 
 
@@ -41,7 +42,7 @@ def _(t):
                round((impressions - glo) / (ghi - glo), 6) AS scaled_in_group FROM a""",
 )
 def _(t):
-    overall = M.min_max_scale(keyword_traffic(t), "impressions")
+    overall = M.min_max_scale(cut_lineage(keyword_traffic(t)), "impressions")
     both = M.min_max_scale(overall, "impressions", ["product_type"], "scaled_in_group")
     return both.withColumns({c: F.round(c, 6) for c in ("scaled", "scaled_in_group")})
 

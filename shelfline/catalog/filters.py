@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfline.catalog.registry import query
 from shelfline.operators import filters as K
+from shelfline.plans.ordered import cut_lineage
 from shelfline.views import (
     DOCS_LEFT, ITEMS, KW, TAXO, documents_with_labels, items_to_classify, keyword_traffic,
     taxonomy,
@@ -24,7 +25,7 @@ def _(t):
         SELECT kw.* FROM kw JOIN stat USING (product_type) WHERE impressions >= p75""",
 )
 def _(t):
-    return K.above_group_statistic(keyword_traffic(t), ["product_type"], "impressions", "p75")
+    return K.above_group_statistic(cut_lineage(keyword_traffic(t)), ["product_type"], "impressions", "p75")
 
 
 @query(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shelfline.catalog.registry import query
 from shelfline.functions.dates import month_start, week_start
 from shelfline.operators import timeseries as T
+from shelfline.plans.ordered import cut_lineage
 from shelfline.views import FINE_ITEM, SERIES, SERIES_DAY, daily_series, series_sql, weekly_series
 
 KEYS = ["item"]
@@ -18,6 +19,12 @@ COMING = """coming AS (SELECT item, CAST(last + INTERVAL 7 DAY * i AS DATE) AS w
                    FROM trend, (SELECT unnest(range(1, 5)) AS i))"""
 
 
+def settled_series(t, item="p_type"):
+    """The weekly series as a written table: the operators below read it several times,
+    the line items are read once."""
+    return cut_lineage(weekly_series(t, item))
+
+
 def _dated(df, *columns):
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in columns})
 
@@ -64,7 +71,7 @@ def _(t):
         SELECT item, {DAY.format('week')} AS week, coalesce(y, 0) AS y, y IS NULL AS is_filled FROM cal LEFT JOIN fine USING (item, week)""",
 )
 def _(t):
-    return _dated(T.gap_fill(weekly_series(t, FINE_ITEM), KEYS, "week", "y"), "week")
+    return _dated(T.gap_fill(settled_series(t, FINE_ITEM), KEYS, "week", "y"), "week")
 
 
 @query(
@@ -76,7 +83,7 @@ def _(t):
         FROM cal LEFT JOIN fine USING (item, week)""",
 )
 def _(t):
-    filled = T.gap_fill(weekly_series(t, FINE_ITEM), KEYS, "week", "y", to_common_end=False, fill="mean")
+    filled = T.gap_fill(settled_series(t, FINE_ITEM), KEYS, "week", "y", to_common_end=False, fill="mean")
     return _rounded(_dated(filled, "week"), "y", digits=6)
 
 
@@ -90,7 +97,7 @@ def _(t):
                  FROM l, (SELECT unnest(range(1, 5)) AS i)""",
 )
 def _(t):
-    series = weekly_series(t, FINE_ITEM).withColumn("category", F.element_at(F.split("item", "/"), -1))
+    series = settled_series(t, FINE_ITEM).withColumn("category", F.element_at(F.split("item", "/"), -1))
     coming = T.future_rows(series, KEYS, "week", "y", 4, static=["category"])
     return _dated(series.unionByName(coming), "week")
 
@@ -101,7 +108,7 @@ def _(t):
         WHERE item IN (SELECT item FROM p GROUP BY 1 HAVING count(y) >= 30)""",
 )
 def _(t):
-    series = weekly_series(t, "CAST(p_partkey AS STRING)")
+    series = settled_series(t, "CAST(p_partkey AS STRING)")
     return _dated(T.min_history(series, KEYS, "y", 30), "week")
 
 
@@ -123,7 +130,7 @@ def _(t):
         SELECT item, {DAY.format('week')} AS week, round(intercept + slope * {P.format('week')}, 4) AS yhat FROM coming""",
 )
 def _(t):
-    return _rounded(_dated(T.forecast_trend(weekly_series(t), KEYS, "week", "y", 4), "week"), "yhat")
+    return _rounded(_dated(T.forecast_trend(settled_series(t), KEYS, "week", "y", 4), "week"), "yhat")
 
 
 SEASONAL = f"""seasonal AS (
@@ -137,14 +144,14 @@ SEASONAL = f"""seasonal AS (
         SELECT item, {DAY.format('week')} AS week, yhat, round(seasonal_mean, 4) AS seasonal_mean FROM seasonal""",
 )
 def _(t):
-    out = T.forecast_seasonal_naive(weekly_series(t), KEYS, "week", "y", 4)
+    out = T.forecast_seasonal_naive(settled_series(t), KEYS, "week", "y", 4)
     return _rounded(_dated(out, "week"), "seasonal_mean")
 
 
 @query("forecast_additive")
 def _(t):
-    series = weekly_series(t, FINE_ITEM)
-    filled = T.gap_fill(series, KEYS, "week", "y").drop("is_filled")
+    series = settled_series(t, FINE_ITEM)
+    filled = cut_lineage(T.gap_fill(series, KEYS, "week", "y").drop("is_filled"))
     rows = filled.unionByName(T.future_rows(filled, KEYS, "week", "y", 4))
     return _rounded(_dated(T.forecast_additive(rows, "item", "week", "y"), "week"), "yhat", "yhat_lower", "yhat_upper")
 
@@ -165,7 +172,7 @@ NAMES = [f"p{round(q * 100)}" for q in T.QUANTILES]
         SELECT item, {DAY.format('week')} AS week, {', '.join(f'round({n}, 4) AS {n}' for n in NAMES)} FROM fq""",
 )
 def _(t):
-    out = T.forecast_quantiles(weekly_series(t), KEYS, "week", "y", 4)
+    out = T.forecast_quantiles(settled_series(t), KEYS, "week", "y", 4)
     return _rounded(_dated(out, "week"), *NAMES)
 
 
@@ -190,7 +197,7 @@ means AS (SELECT item, model, avg(error) AS error FROM errors GROUP BY 1, 2)"""
         FROM errors JOIN best USING (item)""",
 )
 def _(t):
-    errors = T.window_errors(T.backtest(weekly_series(t), KEYS, "week", "y"), KEYS, "y")
+    errors = T.window_errors(T.backtest(settled_series(t), KEYS, "week", "y"), KEYS, "y")
     best = T.best_model(errors, KEYS).drop("error")
     return _rounded(_dated(errors.join(best, KEYS), "cutoff"), "error", digits=6)
 
@@ -208,7 +215,7 @@ WQL_TERMS = " + ".join(
         FROM fq JOIN series USING (item, week) GROUP BY 1""",
 )
 def _(t):
-    series = weekly_series(t)
+    series = settled_series(t)
     cut = F.date_sub(series.agg(F.max("week")).scalar(), 28)
     train = series.withColumn("_cut", cut).where(F.col("week") <= F.col("_cut")).drop("_cut")
     held = T.forecast_quantiles(train, KEYS, "week", "y", 4).join(series, ["item", "week"])
@@ -236,7 +243,7 @@ def _(t):
         FROM cand JOIN means USING (item, model) GROUP BY 1, 2""",
 )
 def _(t):
-    series = weekly_series(t)
+    series = settled_series(t)
     errors = T.model_errors(T.window_errors(T.backtest(series, KEYS, "week", "y"), KEYS, "y"), KEYS)
     candidates = {
         "trend": T.forecast_trend(series, KEYS, "week", "y", 4),

@@ -298,7 +298,7 @@ def _(t):
 
 @query(
     "row_fingerprint",
-    """WITH f AS (SELECT doc_id, sha256('lang=' || lang || chr(31) || 'text=' || text) AS fingerprint FROM documents)
+    """WITH f AS (SELECT doc_id, sha256('lang:' || length(lang) || '=' || lang || chr(10) || 'text:' || length(text) || '=' || text) AS fingerprint FROM documents)
        SELECT fingerprint, count(*) AS n_rows, min(doc_id) AS first_doc FROM f GROUP BY 1""",
 )
 def _(t):

@@ -9,7 +9,7 @@ from shelfline.operators.aggregates import with_group_total
 from shelfline.operators.filters import without_stop_phrases
 from shelfline.operators.joins import join_renamed, lookup_with_default
 from shelfline.operators.keywords import reduce_keywords
-from shelfline.plans.ordered import running_sum
+from shelfline.plans.ordered import cut_lineage, running_sum
 from shelfline.sources.files import read_folder
 from shelfline.views import ATTR, KW, WEIGHTS, attribute_weights, keyword_traffic, labelled_keywords
 
@@ -125,7 +125,7 @@ def attribute_ranking(t):
 )
 def _(t):
     return reduce_keywords(
-        keyword_traffic(t), allowed=["ECONOMY", "PROMO", "SMALL"], statistic="p50", phrases=FLAGSHIP_PHRASES, k=40
+        cut_lineage(keyword_traffic(t)), allowed=["ECONOMY", "PROMO", "SMALL"], statistic="p50", phrases=FLAGSHIP_PHRASES, k=40
     )
 
 

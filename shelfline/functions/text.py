@@ -149,8 +149,11 @@ def blank_to_null(text: Column) -> Column:
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
-    """SHA-256 of the record: name=value pairs in name order, nulls marked."""
-    pairs = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("\\N"))) for c in sorted(columns)
-    ]
-    return F.sha2(F.concat_ws("\x1f", *pairs), 256)
+    """SHA-256 of the record in name order. Values carry their length and nulls have none,
+    so two different records never give the same text."""
+    def entry(name: str) -> Column:
+        value = F.col(name).cast("string")
+        given = F.concat(F.lit(f"{name}:"), F.length(value).cast("string"), F.lit("="), value)
+        return F.coalesce(given, F.lit(f"{name}-"))
+
+    return F.sha2(F.concat_ws("\n", *[entry(c) for c in sorted(columns)]), 256)

@@ -8,33 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators.aggregates import with_group_total
+from shelfline.plans.ordered import cut_lineage
 
 
 def fit_target_encoding(
     train: DataFrame, category: str, target: str, min_rows: float = 20.0, smoothing: float = 10.0
 ) -> DataFrame:
-    """Category → smoothed target mean, with the prior on every row.
+    """Category → smoothed target mean; the row with a null category holds the prior.
 
     The category mean is blended with the overall mean by
-    1 / (1 + exp(−(n − min_rows) / smoothing)).
+    1 / (1 + exp(−(n − min_rows) / smoothing)). The train rows are summed once
+    per category and that table is written down; the prior comes from it too.
     """
-    stats = train.where(F.col(category).isNotNull()).groupBy(category).agg(
-        F.avg(target).alias("_mean"), F.count(target).alias("_n")
+    sums = cut_lineage(
+        train.groupBy(category).agg(F.sum(target).alias("_sum"), F.count(target).alias("_n")).where(F.col("_n") > 0)
     )
+    prior = sums.agg(F.sum("_sum") / F.sum("_n")).scalar()
     trust = 1 / (1 + F.exp(-(F.col("_n") - min_rows) / smoothing))
-    prior = train.agg(F.avg(target)).scalar()
-    return stats.withColumn("prior", prior).select(
-        category, (F.col("prior") * (1 - trust) + F.col("_mean") * trust).alias("encoded"), "prior"
+    known = sums.where(F.col(category).isNotNull()).withColumn("_prior", prior)
+    encoded = known.select(
+        category, (F.col("_prior") * (1 - trust) + F.col("_sum") / F.col("_n") * trust).alias("encoded")
     )
+    unknown = sums.agg((F.sum("_sum") / F.sum("_n")).alias("encoded"))
+    return encoded.unionByName(unknown.withColumn(category, F.lit(None).cast(train.schema[category].dataType)))
 
 
 def target_encode(train: DataFrame, test: DataFrame, category: str, target: str, **fit) -> DataFrame:
     """Encode the test rows with what was learnt on the train rows; unseen → prior."""
-    encoding = fit_target_encoding(train, category, target, **fit).select(category, "encoded")
-    prior = train.agg(F.avg(target)).scalar()
-    return test.join(encoding, category, "left").withColumn("_prior", prior).withColumn(
-        "encoded", F.coalesce("encoded", "_prior")
-    ).drop("_prior")
+    learnt = cut_lineage(fit_target_encoding(train, category, target, **fit))
+    prior = learnt.where(F.col(category).isNull()).agg(F.max("encoded")).scalar()
+    joined = test.join(learnt, category, "left").withColumn("_prior", prior)
+    return joined.withColumn("encoded", F.coalesce("encoded", "_prior")).drop("_prior")
 
 
 MAX_COLUMNS = 1000
@@ -57,7 +61,8 @@ def min_max_scale(df: DataFrame, column: str, keys: Sequence[str] = (), out: str
     if keys:
         ranged = with_group_total(df, keys, _lo=F.min(column), _hi=F.max(column))
     else:
-        ranged = df.withColumn("_lo", df.agg(F.min(column)).scalar()).withColumn("_hi", df.agg(F.max(column)).scalar())
+        ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+        ranged = df.withColumn("_ends", ends).withColumns({"_lo": F.col("_ends.lo"), "_hi": F.col("_ends.hi")}).drop("_ends")
     width = F.col("_hi") - F.col("_lo")
     return ranged.withColumn(
         out, F.when(width == 0, F.lit(0.0)).otherwise((F.col(column) - F.col("_lo")) / width)

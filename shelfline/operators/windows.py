@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.columns import stream_weight
 from shelfline.operators.filters import share_band
-from shelfline.plans.ordered import running_sum
+from shelfline.plans.ordered import positions, running_sum
+
+
+# Above this rank Spark no longer limits groups ahead of the shuffle (its default setting).
+GROUP_LIMIT = 1000
 
 
 def top_per_group(
@@ -18,8 +22,12 @@ def top_per_group(
     """First k rows of each group (k rows, rank from 1).
 
     The rank filter sits right on the window, so each task keeps k rows per
-    group before the shuffle and a hot group never travels whole.
+    group before the shuffle and a hot group never travels whole. For a large k
+    the rank comes from the sliced positions instead.
     """
+    if k > GROUP_LIMIT:
+        placed = positions(df, order, out, keys)
+        return placed.where(F.col(out) < k).withColumn(out, (F.col(out) + 1).cast("int"))
     ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(out) <= k)
 

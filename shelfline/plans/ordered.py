@@ -12,7 +12,7 @@ total, so callers always pass a tiebreak column.
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -169,41 +169,40 @@ def hash_rank(key_cols: Sequence[str], seed: int) -> Column:
 
 
 def hash_head_flag(
-    df: DataFrame, key_cols: Sequence[str], seed: int, wanted, out: str
+    df: DataFrame, key_cols: Sequence[str], seed: int, wanted: Callable[[Column], Column], out: str
 ) -> DataFrame:
     """Flag the first `wanted(total)` rows in hash order, without sorting the table.
 
-    Rows are counted per hash prefix (65,536 buckets of equal expected size).
-    Whole buckets below the cut are taken, whole buckets above it are not, and
-    only the bucket that holds the cut is ranked row by row.
+    The key must identify a row. Rows are counted per hash prefix (65,536 buckets
+    of equal expected size); only the bucket that holds the cut is ranked, which
+    gives the last hash taken. The table itself is then compared with that hash
+    in a plain scan; both earlier passes read the key columns only.
     """
-    hashed = df.withColumn("_hash", hash_rank(key_cols, seed)).withColumn(
-        "_bucket", F.substring("_hash", 1, 4)
-    )
-    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    hashes = df.select(hash_rank(key_cols, seed).alias("_hash")).withColumn("_bucket", F.substring("_hash", 1, 4))
+    sizes = hashes.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # at most 65,536 rows
     ordered = Window.partitionBy(F.lit(0)).orderBy("_bucket")
-    whole = Window.partitionBy(F.lit(0))
     walk = sizes.select(
-        "_bucket",
+        "_bucket", "_n",
         (F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_below"),
-        F.sum("_n").over(whole).alias("_total"),
-    ).withColumn("_left", wanted(F.col("_total")) - F.col("_below"))
-    # the last bucket that still starts below the cut; a cut of 0 leaves none
-    cut = walk.where(F.col("_left") > 0)
-    cut_bucket = cut.agg(F.max("_bucket")).scalar()
-    cut_left = cut.agg(F.max_by("_left", "_bucket")).scalar()
-    marked = hashed.withColumn("_cut", F.coalesce(cut_bucket, F.lit("")))
-    sure = marked.where(F.col("_bucket") != F.col("_cut")).withColumn(
-        out, F.col("_bucket") < F.col("_cut")
+        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"),
     )
-    in_edge = Window.partitionBy("_bucket").orderBy("_hash", *key_cols)
+    missing = wanted(F.col("_total")) - F.col("_below")
+    # the last bucket that starts below the cut; a cut of 0 leaves none
     edge = (
-        marked.where(F.col("_bucket") == F.col("_cut"))
+        walk.withColumn("_take", F.least(missing, F.col("_n")))
+        .where(F.col("_take") > 0)
+        .agg(F.max("_bucket").alias("_bucket"), F.max_by("_take", "_bucket").alias("_take"))
+    )
+    in_edge = Window.partitionBy("_bucket").orderBy("_hash")
+    last = (
+        hashes.join(edge, "_bucket")
         .withColumn("_rn", F.row_number().over(in_edge))
-        .withColumn(out, F.col("_rn") <= F.coalesce(cut_left, F.lit(0)))
-        .drop("_rn")
+        .where(F.col("_rn") == F.col("_take"))
+        .agg(F.max("_hash"))
+        .scalar()
     )
-    return sure.unionByName(edge).drop("_hash", "_bucket", "_cut")
+    return df.withColumn(out, F.coalesce(hash_rank(key_cols, seed) <= last, F.lit(False)))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

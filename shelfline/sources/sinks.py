@@ -17,7 +17,7 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").options(
-        header="true", sep=sep, quote='"', escape='"', nullValue="\\N", emptyValue=""
+        header="true", sep=sep, quote='"', escape='"', nullValue="\\N"
     ).csv(path)
 
 
@@ -55,16 +55,14 @@ def replace_in_place(df: DataFrame, path: str) -> str:
     return old
 
 
-def write_by_channel(df: DataFrame, path: str, channel: str, files_per_channel: int = 8) -> None:
+def write_by_channel(df: DataFrame, path: str, channel: str) -> None:
     """One sub-folder per channel; only the channels present in the frame are replaced.
 
-    Rows are spread by a hash of the whole row, so a channel that holds most of
-    the table is still written by several tasks.
+    The rebalance hint gathers each channel into files of the advisory size and
+    splits a channel that is larger, so a hot one is written by many tasks.
     """
-    others = [c for c in df.columns if c != channel]
-    spread = F.pmod(F.xxhash64(*others), F.lit(files_per_channel))
     (
-        df.repartition(F.col(channel), spread)
+        df.hint("rebalance", channel)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(channel)
@@ -90,7 +88,7 @@ def write_by_group(df: DataFrame, path: str, group: str, rounds: int = 4) -> Non
         part = df.where(F.pmod(F.xxhash64(group), F.lit(rounds)) == i)
         if _exists(spark, done_path):
             part = part.join(spark.read.parquet(done_path), group, "left_anti")
-        part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(group).parquet(path)
+        part.hint("rebalance", group).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(group).parquet(path)
         # the written folders name the groups: the rows are not worked out again
         if _exists(spark, path):
             landed = spark.read.parquet(path).select(group).distinct()

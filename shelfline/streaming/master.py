@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfline.plans.ordered import cut_lineage
+
 BATCH = "batch_id"
 
 
@@ -23,8 +25,12 @@ def merge_batch(batch: DataFrame, batch_id: int, master: str, keys: Sequence[str
     spark = batch.sparkSession
     fresh = batch.dropDuplicates(list(keys))
     if batch_id > 0:
+        # The batch is written down first, so its size is known: a small one is sent to
+        # the master's files, which are then filtered in place and never shuffled.
+        fresh = cut_lineage(fresh)
         stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        seen = spark.read.schema(stored).parquet(master).where(F.col(BATCH) < batch_id).select(*keys)
+        earlier = spark.read.schema(stored).parquet(master).where(F.col(BATCH) < batch_id).select(*keys)
+        seen = earlier.join(fresh.select(*keys), list(keys), "left_semi").distinct()
         fresh = fresh.join(seen, list(keys), "left_anti")
     fresh.write.mode("overwrite").parquet(f"{master.rstrip('/')}/{BATCH}={batch_id}")
 
