@@ -7,9 +7,9 @@ from shelfline.functions.text import tag_text
 from shelfline.operators import joins as J
 from shelfline.operators.aggregates import with_group_total
 from shelfline.operators.timeseries import shift_season
-from shelfline.plans.ordered import running_sum
+from shelfline.plans.ordered import cut_lineage, running_sum
 from shelfline.views import (
-    ATTR, KW, LLM_OUT, SERIES, TAXO, WEIGHTS, attribute_weights, keyword_traffic, labelled_keywords,
+    ATTR, KW, LLM_OUT, SERIES, TAXO, WEIGHTS, attribute_weights, keyword_traffic, label_words, labelled_keywords,
     model_replies, taxonomy, weekly_series,
 )
 
@@ -44,8 +44,9 @@ def _(t):
 def _(t):
     keys = ["keywords", "product_type", "stream"]
     order = [F.desc("impressions"), F.asc("keywords")]
-    running = running_sum(keyword_traffic(t), ["product_type", "stream"], order, "impressions", "cum_impr")
-    return J.join_null_safe(labelled_keywords(t), running.select(*keys, "cum_impr"), keys)
+    traffic = cut_lineage(keyword_traffic(t))
+    running = running_sum(traffic, ["product_type", "stream"], order, "impressions", "cum_impr")
+    return J.join_null_safe(label_words(traffic), running.select(*keys, "cum_impr"), keys)
 
 
 @query(

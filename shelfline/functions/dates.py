@@ -28,3 +28,13 @@ def date_text(column: Column) -> Column:
 
 def stamp_text(column: Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+
+
+def as_date(text: Column) -> Column:
+    """Date of a text that starts with yyyy-mm-dd, with or without a time behind it, or null."""
+    shaped = (
+        (F.substring(text, 5, 1) == "-")
+        & (F.substring(text, 8, 1) == "-")
+        & F.substring(text, 11, 1).isin("", " ", "T")
+    )
+    return F.when(shaped, F.substring(text, 1, 10).try_cast("date"))

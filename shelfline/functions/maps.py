@@ -68,16 +68,28 @@ def as_text(m: Column) -> Column:
     return F.array_join(F.array_sort(pairs), ";")
 
 
+# A failed try_cast raises and catches inside the task, many times the price of a pattern,
+# so values are tested first and only readable ones are cast.
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
+def as_integer(text: Column) -> Column:
+    """Integer value of a text, or null (also where it does not fit 64 bits)."""
+    return F.when(text.rlike(INTEGER), F.trim(text).try_cast("bigint"))
+
+
+def as_number(text: Column) -> Column:
+    """Decimal value of a text, or null."""
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+
+
 def typed_rungs(text: Column) -> dict[str, Column]:
     """The narrowest reading of a text value: boolean, integer, double, else text."""
     low = F.lower(F.trim(text))
     as_bool = F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
-    as_int = F.when(text.rlike(INTEGER), F.trim(text).try_cast("bigint"))
-    as_float = F.when(as_int.isNull() & text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    as_int = as_integer(text)
+    as_float = F.when(as_int.isNull(), as_number(text))
     kind = (
         F.when(text.isNull(), F.lit(None).cast("string"))
         .when(as_bool.isNotNull(), "bool")

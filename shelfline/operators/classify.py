@@ -25,7 +25,8 @@ def classify_root_then_leaf(
     Both stages are one plan over all items: the options of a root are joined
     to its items, there is no loop over roots. Identical prompts are sent once.
     """
-    below = nodes.withColumn("path", F.regexp_replace("path", rf"^\[{root_prefix}|\]$", ""))
+    # the taxonomy is read four times below
+    below = cut_lineage(nodes.withColumn("path", F.regexp_replace("path", rf"^\[{root_prefix}|\]$", "")))
     roots = below.select(first_part(F.col("path")).alias("root_category")).distinct()
     all_roots = join_texts(
         roots.withColumn("item", as_item(F.col("root_category"))).withColumn("_all", F.lit(0)), ["_all"], "item", "\n"

@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.maps import INTEGER, NUMBER
+from shelfline.functions.dates import as_date
+from shelfline.functions.maps import NUMBER, as_integer
 from shelfline.functions.paths import ancestor_paths
 
-DATE = r"^\d{4}-\d{2}-\d{2}(?:[ T].*)?$"
-
-
 def column_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """For each text column: rows, nulls, rows readable as bool, int, float, date, and the
     narrowest type that fits all non-null rows.
@@ -26,9 +24,9 @@ def column_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         tests = {
             "n_null": text.isNull(),
             "n_bool": F.lower(F.trim(text)).isin("true", "false"),
-            "n_int": text.rlike(INTEGER) & F.trim(text).try_cast("bigint").isNotNull(),
+            "n_int": as_integer(text).isNotNull(),
             "n_float": text.rlike(NUMBER),
-            "n_date": text.rlike(DATE) & F.substring(text, 1, 10).try_cast("date").isNotNull(),
+            "n_date": as_date(text).isNotNull(),
         }
         figures.append(
             F.struct(

@@ -86,15 +86,9 @@ FIXED_HOLIDAYS = {
 }
 
 
-def with_holidays(df: DataFrame, at: str, country: str) -> DataFrame:
-    """Holiday name and flag of each date, from the rules of a country."""
-    rules = F.create_map(*[F.lit(x) for kv in FIXED_HOLIDAYS[country].items() for x in kv])
-    named = df.withColumn("holiday", F.try_element_at(rules, F.date_format(at, "MM-dd")))
-    return named.withColumn("is_holiday", F.col("holiday").isNotNull())
-
-
 def join_holiday_table(df: DataFrame, holidays: DataFrame, at: str) -> DataFrame:
-    """The same with a calendar table (date, name); several names on a day become one."""
+    """Holiday name and flag of each date from a calendar table (date, name); several names
+    on a day become one."""
     one = holidays.groupBy(F.col("date").alias(at)).agg(F.min("name").alias("holiday"))
     return df.join(one, at, "left").withColumn("is_holiday", F.col("holiday").isNotNull())
 

@@ -62,9 +62,14 @@ KW = """kw AS (
   GROUP BY 1, 2, 3)"""
 
 
+def label_words(traffic: DataFrame) -> DataFrame:
+    """One row per keyword row and word of the keyword."""
+    return traffic.withColumn("attributes", F.explode(F.split("keywords", " ")))
+
+
 def labelled_keywords(t: Tables) -> DataFrame:
-    """attr: one row per keyword row and word of the keyword."""
-    return keyword_traffic(t).withColumn("attributes", F.explode(F.split("keywords", " ")))
+    """attr: the keyword traffic with one attribute per row."""
+    return label_words(keyword_traffic(t))
 
 
 ATTR = (

@@ -281,3 +281,19 @@ def test_sample_edges(spark):
     assert sampling.sample_rows(df, ["id"], 1, n=500).count() == 50
     parts = {r.part: r["count"] for r in sampling.train_test(df, ["id"], 1, ceil_test=True).groupBy("part").count().collect()}
     assert parts == {"train": 35, "test": 15}
+
+
+def test_readable_values_in_a_column_profile(spark):
+    from shelfline.operators.profiles import column_types
+
+    data = [("1", "2024-02-30", "0x1p3"), (" 22 ", "2024-02-28T10:00", "1e3"), (None, "2024-02-28x", "Infinity"), ("+3", "2024-02-28", "2f")]
+    df = spark.createDataFrame(data, "a string, b string, c string")
+    got = {r.column_name: (r.n, r.n_null, r.n_int, r.n_float, r.n_date, r.narrowest) for r in column_types(df).collect()}
+    assert got == {"a": (4, 1, 3, 3, 0, "int"), "b": (4, 0, 0, 0, 2, "text"), "c": (4, 0, 0, 1, 0, "text")}
+
+
+def test_templates(spark):
+    template = "<t>{title}</t> {title} {n}"
+    assert text.template_fields(template) == ["title", "n"]
+    df = spark.createDataFrame([("a{n}", None)], "title string, n int")
+    assert df.select(text.render_template(template, title="title", n="n")).first()[0] == "<t>a{n}</t> a{n} "
