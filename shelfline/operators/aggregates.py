@@ -102,7 +102,7 @@ def by_strategies(df: DataFrame, keys: Sequence[str], value: str, at: str) -> Da
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.sum(value).alias("sum"),
-        F.min_by(value, at).alias("first"),
+        F.min_by(value, F.struct(at, value)).alias("first"),
     )
     median = exact_quantiles(df, keys, value, [0.5]).withColumnRenamed("p50", "median")
     return plain.join(median, list(keys), "left").join(mode_of(df, keys, value), list(keys), "left")

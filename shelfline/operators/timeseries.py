@@ -33,7 +33,7 @@ def resample(
     """Regular frequency: out → (column, sum | avg | first | min | max) per key and period."""
     made = {
         "sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max,
-        "first": lambda c: F.min_by(c, at),
+        "first": lambda c: F.min_by(c, F.struct(at, c)),
     }
     columns = [made[how](column).alias(out) for out, (column, how) in aggregates.items()]
     period = F.to_date(F.date_trunc(unit, at)).alias("period")
