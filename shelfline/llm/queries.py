@@ -2,11 +2,63 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup
+from shelfline.llm import exact_dedup, line_dedup, quality_rules
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
 
+@query(
+    "op1_line_dedup",
+    r"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+             l AS (SELECT doc_id, i - 1 AS i, len(lines) AS n, lines[i] AS line,
+                          CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h
+                   FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM d)),
+             r AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 65599 + h) % 4294967291 AS r FROM l
+                   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+             c AS (SELECT *, coalesce(lag(cut) OVER w, 0) AS opens FROM (
+                     SELECT *, CASE WHEN r < lag(r) OVER w AND r < lead(r) OVER w THEN 1 ELSE 0 END AS cut FROM r
+                     WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+                   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+             k AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM c),
+             b AS (SELECT doc_id, k, min(i) AS start, count(*) AS len, string_agg(line, chr(10) ORDER BY i) AS body
+                   FROM k GROUP BY doc_id, k),
+             f AS (SELECT *, len > 1 AND row_number() OVER (PARTITION BY body, len > 1 ORDER BY doc_id, start) > 1 AS gone FROM b)
+        SELECT doc_id, CAST(sum(len) AS BIGINT) AS n_lines, count(*) AS n_chunks,
+               count(*) FILTER (WHERE gone) AS removed_chunks, CAST(coalesce(sum(len) FILTER (WHERE gone), 0) AS BIGINT) AS removed_lines,
+               sha256(coalesce(string_agg(body, chr(10) ORDER BY start) FILTER (WHERE NOT gone), '')) AS text_sha256
+        FROM f GROUP BY doc_id""",
+)
+def _(spark, sf_dir):
+    return line_dedup.decide(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_quality_rules",
+    r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+                   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d)),
+             v AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1)
+                   GROUP BY doc_id),
+             l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+             m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                          CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                          CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+                          CAST(coalesce(v.n, 0) AS BIGINT) AS n_repeat_words,
+                          len(regexp_extract_all(t, '!!')) AS shouts, length(t) AS chars, len(ls) AS n_lines,
+                          len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1])) AS same_as_before
+                   FROM d JOIN l USING (doc_id) LEFT JOIN v USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 15 * n_words
+                    OR 100 * shouts > 15 * n_words OR chars > 30 * n_words OR 100 * same_as_before > 20 * n_words
+                    OR 100 * n_dup_lines > 40 * n_lines) AS kept FROM m""",
+)
+def _(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_exact_dedup",
     r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
