@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, line_dedup, quality_rules
+from shelfline.llm import exact_dedup, line_dedup, near_dedup, quality_rules
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
@@ -59,6 +59,23 @@ def _(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op8_minhash_near_dedup",
+    r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+             e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+             r AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.c = e.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
+        FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(c) AS c FROM r GROUP BY a) c ON c.a = d.doc_id""",
+)
+def _(spark, sf_dir):
+    return near_dedup.decide(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_exact_dedup",
     r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
