@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, line_dedup, near_dedup, quality_rules
+from shelfline.llm import exact_dedup, line_dedup, near_dedup, quality_model, quality_rules, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
@@ -59,6 +59,16 @@ def _(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op4_quality_classifier")
+def _(spark, sf_dir):
+    return quality_model.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_toxicity")
+def _(spark, sf_dir):
+    return toxicity.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     "op8_minhash_near_dedup",
     r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
