@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, line_dedup, near_dedup, quality_model, quality_rules, toxicity
+from shelfline.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_model, quality_rules, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
@@ -32,6 +32,11 @@ def _(spark, sf_dir):
     return line_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+@query("op2_entropy_mixing")
+def _(spark, sf_dir):
+    return mixing.decide(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op3_quality_rules",
     r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
