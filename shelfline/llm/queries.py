@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, line_dedup, mixing, near_dedup, quality_model, quality_rules, toxicity
+from shelfline.llm import exact_dedup, licences, line_dedup, mixing, near_dedup, quality_model, quality_rules, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
@@ -74,6 +74,11 @@ def _(spark, sf_dir):
     return toxicity.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_license_scan", licences.oracle())
+def _(spark, sf_dir):
+    return licences.decide(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op8_minhash_near_dedup",
     r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
