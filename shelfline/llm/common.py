@@ -37,12 +37,15 @@ def id_order(column: str = "doc_id") -> Column:
 
 
 def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """At most `rows` rows, the same in every run: those with the smallest key hash.
+    """About `rows` rows (all, where there are no more), the same in every run: those with a small key hash.
 
-    Each task keeps `rows` rows, so nothing but the sample travels.
+    Each task picks its own, so nothing is gathered to choose them.
     """
-    order = F.xxhash64(*keys)
-    return df.orderBy(order, *keys).limit(rows)
+    buckets = 1 << 40
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(buckets)) < F.lit(buckets * rows // total))
 
 
 __all__ = ["WHITE", "WORD", "bounded_sample", "cut_lineage", "id_order", "table", "whole_text", "words"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import bounded_sample, cut_lineage
 
-# Labelled rows a model may learn from; those with the smallest id hash.
+# Labelled rows a model may learn from, about: those with a small id hash.
 TRAINING_ROWS = 16_000
 HELD_OUT_FOLDS = 5
 
@@ -20,7 +20,7 @@ def held_out(id_col: Column) -> Column:
 def training_texts(
     docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAINING_ROWS
 ) -> DataFrame:
-    """(fold, y, text) of at most `rows` labelled documents outside the held-out fold, written once.
+    """(fold, y, text) of about `rows` labelled documents at most outside the held-out fold, written once.
 
     Null labels and ids are left out; of several labels of one id the largest counts. The sample of
     labels is broadcast: its size is bounded by `rows`. Rows that repeat an id are learnt repeatedly.

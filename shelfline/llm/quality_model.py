@@ -34,7 +34,7 @@ def statistics(texts: pa.Array) -> pa.Array:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = labelled.TRAINING_ROWS) -> Trees:
-    """At most `rows` short rows of statistics come to the driver."""
+    """About `rows` short rows at most of statistics come to the driver."""
     sample = labelled.training_texts(docs, labels, "quality", id_col, text_col, rows)
     found = sample.select("_id", "y", statistics("text").alias("x")).orderBy("_id").collect()
     if not found:

@@ -99,7 +99,7 @@ def default_rules(text: Column) -> list[Rule]:
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], key_cols: Sequence[str], rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(rule, share rejected, seconds) on a sample: rows with the smallest key hash, in one task."""
+    """(rule, share rejected, seconds) on a sample of about `rows` rows with a small key hash, in one task."""
     sample = cut_lineage(bounded_sample(docs, rows, *key_cols).coalesce(1))
 
     def timed(column: Column) -> tuple[float, float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, licences, line_dedup, mixing, near_dedup, quality_model, quality_rules, toxicity
+from shelfline.llm import exact_dedup, licences, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
@@ -69,6 +69,11 @@ def _(spark, sf_dir):
     return quality_model.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_sampled_pieces")
+def _(spark, sf_dir):
+    return pieces.decide(table(spark, sf_dir, "documents"))
+
+
 @query("op6_toxicity")
 def _(spark, sf_dir):
     return toxicity.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

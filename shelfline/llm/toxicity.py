@@ -96,7 +96,7 @@ def _features(text: Column, lexicon: np.ndarray) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = labelled.TRAINING_ROWS) -> Model:
-    """Term counts and at most `rows` short feature rows come to the driver, both bounded by parameters."""
+    """Term counts and about `rows` short feature rows at most come to the driver, both bounded by parameters."""
     sample = labelled.training_texts(docs, labels, "toxic", id_col, text_col, rows)
     even, odd, whole = lexicons(sample)
     found = [
