@@ -1,24 +1,56 @@
 """From raw documents to sampled training pieces: five stages, each written and read again.
 
-Stages are added as their operators are finished.
+1 quality classifier: documents it rejects go. 2 exact dedup: one row of each group of equal texts stays.
+3 MinHash near-dedup: one document of each group of near copies stays. 4 mixing: each document is
+repeated as often as the target weights of its source ask for. 5 SentencePiece encoding: the
+sampled pieces of every row, which decode to its text.
+
+A stage works on all that its predecessor kept, and all but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup
+from shelfline.llm import exact_dedup, mixing, near_dedup, pieces, quality_model
 from shelfline.llm.common import cut_lineage, table
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_model.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact dedup: one row of each group of equal texts stays."""
     return exact_dedup.deduplicate(docs)
 
 
-STAGES = [("exact dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.deduplicate(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, pieces, and text_sha256 of the text that the pieces decode to."""
+    coded = docs.select("doc_id", pieces.encode(F.col("text"), F.col("doc_id")).alias("pieces"))
+    return coded.select(
+        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint").alias("n_pieces"), "pieces",
+        F.sha2(pieces.decode(F.col("pieces")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode_pieces),
+]
 
-# Trained trees, sketches and sampling are not SQL.
+# Trained trees, sketches and sampling are not SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 

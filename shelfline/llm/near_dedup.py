@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.llm.common import cut_lineage
 from shelfline.llm.textbuf import (
@@ -42,7 +43,9 @@ BAND_ROWS = 6
 BANDS = BINS // BAND_ROWS
 LINK_PERCENT = 85
 PROBES = 8 * BINS
-SKETCH_TYPE = "struct<n:bigint,digest:binary,bands:array<bigint>>"
+LONGS = T.ArrayType(T.LongType())
+SKETCH_TYPE = T.StructType().add("n", T.LongType()).add("digest", T.BinaryType()).add("bands", LONGS)
+SET_TYPE = T.StructType().add("digest", T.BinaryType()).add("items", LONGS)
 
 
 def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +136,7 @@ def _digest(items: bytes) -> bytes | None:
     return hashlib.blake2b(items, digest_size=16).digest() if items else None
 
 
-@F.arrow_udf("struct<digest:binary,items:array<bigint>>")
+@F.arrow_udf(SET_TYPE)
 def shingles(texts: pa.Array) -> pa.Array:
     """The full set of each text, as sorted 64-bit hashes, and its digest."""
     parts, sizes, digests = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []

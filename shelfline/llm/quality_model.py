@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.llm import labelled
 from shelfline.llm.boosted import Trees, train
@@ -24,7 +25,7 @@ from shelfline.llm.textstats import quality_features
 LIMIT = 0.3
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def statistics(texts: pa.Array) -> pa.Array:
     parts = [quality_features(block) for block in blocks(texts)]
     if not parts:
@@ -45,7 +46,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(model: Trees, text: Column) -> Column:
     """Probability of label 1 for a text column."""
 
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def probability(texts: pa.Array) -> pa.Array:
         parts = [model.probability(quality_features(block)) for block in blocks(texts)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))

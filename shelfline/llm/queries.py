@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, licences, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, toxicity
+from shelfline.llm import (
+    exact_dedup, licences, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, token_counts, toxicity,
+)
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 
@@ -101,6 +103,11 @@ def _(spark, sf_dir):
     return near_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+@query("op9_token_counts")
+def _(spark, sf_dir):
+    return token_counts.decide(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_exact_dedup",
     r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.llm import labelled
 from shelfline.llm.boosted import Isotonic, Trees, isotonic, train
@@ -37,7 +38,7 @@ LEAST_TEXTS = 4
 LEXICON_WORDS = 4096
 
 
-@F.arrow_udf("array<bigint>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def term_hashes(texts: pa.Array) -> pa.Array:
     """The distinct words and stems of each text, as hashes."""
     sizes, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
@@ -84,7 +85,7 @@ class Model:
 
 
 def _features(text: Column, lexicon: np.ndarray) -> Column:
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def features(texts: pa.Array) -> pa.Array:
         parts = [toxicity_features(block, lexicon) for block in blocks(texts)]
         if not parts:
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(model: Model, text: Column) -> Column:
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def probability(texts: pa.Array) -> pa.Array:
         parts = [model.probability(toxicity_features(block, model.lexicon)) for block in blocks(texts)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
