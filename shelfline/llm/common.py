@@ -36,6 +36,15 @@ def id_order(column: str = "doc_id") -> Column:
     return F.struct(F.col(column).isNull(), F.col(column))
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """The documents as one struct column `_row`, so columns an operator adds meet no column of theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def unboxed(df: DataFrame) -> DataFrame:
+    return df.select("_row.*")
+
+
 def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """About `rows` rows (all, where there are no more), the same in every run: those with a small key hash.
 
@@ -48,4 +57,4 @@ def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*keys), F.lit(buckets)) < F.lit(buckets * rows // total))
 
 
-__all__ = ["WHITE", "WORD", "bounded_sample", "cut_lineage", "id_order", "table", "whole_text", "words"]
+__all__ = ["WHITE", "WORD", "bounded_sample", "boxed", "cut_lineage", "id_order", "table", "unboxed", "whole_text", "words"]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import WHITE, cut_lineage, id_order, whole_text
+from shelfline.llm.common import WHITE, boxed, cut_lineage, id_order, unboxed, whole_text
 
 SHARE = 1 / 2000
 COUNTERS = 16384
@@ -91,12 +91,13 @@ def deduplicate(
     slim = slim_rows(docs, id_col, text_col)
     winners = heavy_winners(slim, share, counters)
     hot = winners.select(F.col("sha").alias("_hot"), F.col("best").alias("_best"))
-    own = docs.withColumn("_sha", digest(text_col)).withColumn("_n", F.char_length(whole_text(text_col)))
-    first = F.col(id_col).eqNullSafe(F.col("_best.id.doc_id")) & (F.col("_n") == -F.col("_best.less"))
+    text = f"_row.`{text_col}`"
+    own = boxed(docs).select("_row", F.col(f"_row.`{id_col}`").alias("_id"), digest(text).alias("_sha"), F.char_length(whole_text(text)).alias("_n"))
+    first = F.col("_id").eqNullSafe(F.col("_best.id.doc_id")) & (F.col("_n") == -F.col("_best.less"))
     unsettled = (
         own.join(F.broadcast(hot), F.col("_sha") == F.col("_hot"), "left")
         .where(F.col("_hot").isNull() | first)
         .drop("_hot", "_best")
     )
-    rank = Window.partitionBy("_sha").orderBy(F.desc("_n"), F.col(id_col).asc_nulls_last())
-    return unsettled.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank", "_sha", "_n")
+    rank = Window.partitionBy("_sha").orderBy(F.desc("_n"), F.col("_id").asc_nulls_last())
+    return unboxed(unsettled.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import cut_lineage, id_order, whole_text
+from shelfline.llm.common import boxed, cut_lineage, id_order, unboxed, whole_text
 
 # Fixed values of the rolling hash: a multiplier and a prime below 2^32, so products fit a long.
 MULTIPLIER = 65_599
@@ -62,8 +62,9 @@ def body(start: Column, length: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows by (id, hash of the text); a repeated row has the same key."""
-    return docs.withColumns({"_id": F.col(id_col), "_text": whole_text(text_col)}).withColumn("_th", F.xxhash64("_text"))
+    """Rows in a box, by (id, hash of the text); a repeated row has the same key."""
+    text = whole_text(f"_row.`{text_col}`")
+    return boxed(docs).select("_row", F.col(f"_row.`{id_col}`").alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_th"))
 
 
 def _on_key(left: DataFrame, right: DataFrame) -> Column:
@@ -117,8 +118,8 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the repeated passages taken out of their text; a null text stays null."""
-    text = F.when(F.col(text_col).isNotNull(), F.col("_clean"))
-    return _cleaned(docs, id_col, text_col).withColumn(text_col, text).select(*docs.columns)
+    text = F.when(F.col(f"_row.`{text_col}`").isNotNull(), F.col("_clean"))
+    return unboxed(_cleaned(docs, id_col, text_col).withColumn("_row", F.col("_row").withField(f"`{text_col}`", text)))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import WORD, cut_lineage, whole_text
+from shelfline.llm.common import WORD, boxed, cut_lineage, unboxed, whole_text
 
 WEIGHTS = (5.0, 2.0, 1.0)
 LIMIT = 3
@@ -42,11 +42,15 @@ def source_key(column: str) -> Column:
     return F.when(F.col(column).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(column)))
 
 
-def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(
+def _size_columns(id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [
         F.col(id_col).alias("doc_id"), source_key(source_col).alias("_source"),
         F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("bigint").alias("size"),
-    )
+    ]
+
+
+def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(*_size_columns(id_col, text_col, source_col))
 
 
 def targets(per_source: DataFrame, weights: Sequence[float], limit: int) -> DataFrame:
@@ -148,10 +152,11 @@ def plan(slim: DataFrame, weights: Sequence[float], limit: int) -> tuple[DataFra
     return sources, cut_lineage(copies)
 
 
-def _with_copies(rows: DataFrame, copies: DataFrame, id_col: str) -> DataFrame:
+def _with_copies(rows: DataFrame, copies: DataFrame, how: str) -> DataFrame:
+    """rows(doc_id, _source, size, ...) with their copies; the ids meet null-safe."""
     own = copies.withColumnsRenamed({"doc_id": "_c_id", "_source": "_c_source", "size": "_c_size"})
-    same = rows[id_col].eqNullSafe(own["_c_id"]) & (rows["_source"] == own["_c_source"]) & (rows["_size"] == own["_c_size"])
-    return rows.join(own, same, "left").drop("_c_id", "_c_source", "_c_size").fillna(0, ["copies"])
+    same = rows["doc_id"].eqNullSafe(own["_c_id"]) & (rows["_source"] == own["_c_source"]) & (rows["size"] == own["_c_size"])
+    return rows.join(own, same, how).drop("_c_id", "_c_source", "_c_size").fillna(0, ["copies"])
 
 
 def decide(
@@ -161,7 +166,7 @@ def decide(
     """One row per input row: doc_id, size, source_size, target, taken, copies, rate."""
     slim = cut_lineage(sizes(docs, id_col, text_col, source_col))
     sources, copies = plan(slim, weights, limit)
-    rows = _with_copies(slim.withColumn("_size", F.col("size")), copies, "doc_id")
+    rows = _with_copies(slim, copies, "left")
     return rows.join(sources.select("_source", "source_size", "target", "_lambda", "_full"), "_source").select(
         "doc_id", "size", "source_size", "target",
         (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), "copies",
@@ -176,7 +181,7 @@ def mix(
     """The documents of the mix, each repeated as often as it is taken, with all their columns."""
     slim = cut_lineage(sizes(docs, id_col, text_col, source_col))
     _, copies = plan(slim, weights, limit)
-    size = F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("bigint")
-    rows = docs.withColumns({"_source": source_key(source_col), "_size": size})
-    taken = _with_copies(rows, copies.where("copies > 0"), id_col).where("copies > 0")
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).drop("_copy")
+    row = lambda column: f"_row.`{column}`"
+    rows = boxed(docs).select("_row", *_size_columns(row(id_col), row(text_col), row(source_col)))
+    taken = _with_copies(rows, copies.where("copies > 0"), "inner")
+    return unboxed(taken.select("_row", F.explode(F.sequence(F.lit(1), "copies"))))

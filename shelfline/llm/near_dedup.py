@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import cut_lineage
+from shelfline.llm.common import boxed, cut_lineage, unboxed
 from shelfline.llm.textbuf import (
     BASE, LOWER_VALUES, SPACE, Block, blocks, mix, prefix_sums, row_bounds, span_hashes, spans,
 )
@@ -271,5 +271,6 @@ def _rivals(buckets: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
     """The documents without those that are near copies of a kept one, with all their columns."""
     gone = decide(docs, id_col, text_col, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    rows = boxed(docs)
+    return unboxed(rows.join(gone, F.col(f"_row.`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti"))
 

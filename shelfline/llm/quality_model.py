@@ -65,4 +65,4 @@ def decide(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
     """The documents the classifier does not reject, with all their columns."""
     model = fit(docs, labels, id_col, text_col)
-    return docs.withColumn("_score", score(model, F.col(text_col))).where(F.col("_score") >= limit).drop("_score")
+    return docs.where(score(model, F.col(text_col)) >= limit)
