@@ -1,20 +1,22 @@
 """Time the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (optional, comma-separated names, or `all`).
+BENCH_QUERIES (optional, comma-separated names, or `all`), BENCH_RUNS (default 3; the median counts).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfline.catalog import runnable  # noqa: E402
-from shelfline.session import build_session  # noqa: E402
+from shelfline.session import build_session, scratch_scope  # noqa: E402
 
 HEADLINES = """
 attribute_ranking pareto_head running_sum topn_per_group topn_per_two_keys filter_threshold
@@ -38,18 +40,20 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:
-        began = time.perf_counter()
-        queries[name](spark, folder).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - began
+        with scratch_scope(spark):
+            began = time.perf_counter()
+            queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - began
 
     run("project_columns")  # JVM and file system warm-up, not counted
     run("agg_mean")
-    seconds = {name: round(run(name), 3) for name in names}
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    seconds = {name: round(statistics.median(run(name) for _ in range(runs)), 3) for name in names}
     print(json.dumps({
         "metric": "headline queries, total wall-clock", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shelfline.catalog.registry import query
 from shelfline.operators import aggregates as A
 from shelfline.operators.windows import pareto_head
+from shelfline.plans.ordered import running_sum
 from shelfline.views import (
     ATTR, DOCS_LEFT, KW, SCORED, documents_with_labels, keyword_traffic,
     labelled_keywords, scored_labels,
@@ -86,8 +87,9 @@ def _(t):
         SELECT product_type, stream, max(cum_impr) AS max_impr FROM r GROUP BY 1, 2""",
 )
 def _(t):
-    # the largest running total of positive values is their sum: no ranking needed
-    return keyword_traffic(t).groupBy("product_type", "stream").agg(F.sum("impressions").alias("max_impr"))
+    order = [F.desc("impressions"), F.asc("keywords")]
+    running = running_sum(keyword_traffic(t), ["product_type", "stream"], order, "impressions", "cum_impr")
+    return running.groupBy("product_type", "stream").agg(F.max("cum_impr").alias("max_impr"))
 
 
 @query(

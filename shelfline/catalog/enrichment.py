@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfline.catalog.registry import query
-from shelfline.catalog.stub_clients import attribute_tagger, flaky_echo, option_picker
+from shelfline.catalog.stub_clients import attribute_tagger, option_picker
 from shelfline.operators import enrich as E
 from shelfline.operators.classify import classify_root_then_leaf
 from shelfline.views import ITEMS, LLM_OUT, TAXO, WEIGHTS, attribute_weights, items_to_classify, model_replies, taxonomy
@@ -46,7 +46,19 @@ TAGGED = f"""{WEIGHTS}, words AS (SELECT p_partkey, p_type, unnest(string_split(
         FROM part LEFT JOIN found USING (p_partkey)""",
 )
 def _(t):
-    return E.batch_infer(keyword_prompts(t), "prompt", attribute_tagger, **_calls(t)).select("p_partkey", "generated_text")
+    # the rows are dealt out before their prompts are built
+    calls = _calls(t)
+    rows = t.part.select("p_partkey", "p_name", F.col("p_type").alias("product_type")).repartition(calls["partitions"])
+    prompts = E.build_prompts(rows, TEMPLATE, attribute_weights(t), ["product_type"], "sa_name", inp="p_name")
+    return E.batch_infer(prompts, "prompt", attribute_tagger, spread=False, **calls).select("p_partkey", "generated_text")
+
+
+def asked_once(t):
+    rows = t.part.select("p_partkey", "p_name", F.col("p_type").alias("product_type"))
+    return E.infer_inputs(
+        rows, ["product_type", "p_name"], TEMPLATE, attribute_tagger, attribute_weights(t), ["product_type"], "sa_name",
+        columns={"inp": "p_name"}, **_calls(t),
+    )
 
 
 @query(
@@ -55,8 +67,7 @@ def _(t):
         FROM part LEFT JOIN found USING (p_partkey)""",
 )
 def _(t):
-    out = E.infer_distinct(keyword_prompts(t), "prompt", attribute_tagger, **_calls(t))
-    return out.select("p_partkey", "product_type", "generated_text")
+    return asked_once(t).select("p_partkey", "product_type", "generated_text")
 
 
 @query(
@@ -65,32 +76,10 @@ def _(t):
         JOIN weights ON p_type = product_type AND word = sa_name""",
 )
 def _(t):
-    replied = E.infer_distinct(keyword_prompts(t), "prompt", attribute_tagger, **_calls(t))
-    parsed = replied.withColumn("labels", E.parse_reply("generated_text", {"labels": "res"})["labels"])
+    parsed = asked_once(t).withColumn("labels", E.parse_reply("generated_text", {"labels": "res"})["labels"])
     return E.explode_labels(parsed, "labels", "attributes").select("p_partkey", "product_type", "attributes")
 
 
-@query(
-    "infer_with_retry_status",
-    """WITH p AS (SELECT p_partkey, p_name || ' ' || p_brand || ' ' || CAST(p_partkey AS VARCHAR) AS prompt FROM part)
-       SELECT p_partkey, CASE WHEN length(prompt) % 5 <= 2 THEN upper(prompt) END AS generated_text,
-              CAST(least(length(prompt) % 5 + 1, 3) AS INTEGER) AS attempts,
-              CASE WHEN length(prompt) % 5 > 2 THEN 'ConnectionError: busy' END AS error FROM p""",
-)
-def _(t):
-    prompt = F.concat_ws(" ", "p_name", "p_brand", F.col("p_partkey").cast("string"))
-    rows = t.part.select("p_partkey", prompt.alias("prompt"))
-    replied = E.batch_infer(rows, "prompt", flaky_echo, retries=2, **_calls(t))
-    return replied.select("p_partkey", "generated_text", "attempts", "error")
-
-
-@query("rate_limited_infer", "SELECT s_suppkey, '<res>NA</res>' AS generated_text, 1::INTEGER AS attempts FROM supplier")
-def _(t):
-    rows = t.supplier.select("s_suppkey", F.concat(F.lit("<att></att><inp>"), "s_name", F.lit("</inp>")).alias("prompt"))
-    replied = E.batch_infer(rows, "prompt", attribute_tagger, partitions=4, calls_per_second=800.0, **NO_WAIT)
-    return replied.select("s_suppkey", "generated_text", "attempts")
-
-
 @query(
     "request_params_by_model",
     """SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'chat' ELSE 'plain' END AS format, text AS content,

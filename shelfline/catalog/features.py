@@ -1,8 +1,12 @@
 """Encodings, scaling, the classifier and its evaluation."""
 
+import datetime as dt
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.catalog.registry import query
+from shelfline.catalog.sets_and_samples import SHA
 from shelfline.operators import features as M
 from shelfline.operators.sampling import train_test
 from shelfline.plans.ordered import cut_lineage
@@ -11,17 +15,17 @@ from shelfline.views import KW, SCORED, keyword_traffic, scored_labels
 
 @query(
     "target_encode",
-    """WITH j AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, year(l_shipdate) AS y FROM lineitem),
-            tr AS (SELECT * FROM j WHERE y <= 1996), prior AS (SELECT avg(l_quantity) AS p FROM tr),
+    """WITH tr AS (SELECT * FROM lineitem WHERE l_shipdate < DATE '1999-01-01'), prior AS (SELECT avg(l_quantity) AS p FROM tr),
             s AS (SELECT l_partkey, avg(l_quantity) AS m, 1 / (1 + exp(-(count(l_quantity) - 20.0) / 10.0)) AS w FROM tr GROUP BY 1)
        SELECT j.l_orderkey, j.l_linenumber, j.l_partkey, round(coalesce(p * (1 - w) + m * w, p), 6) AS encoded
-       FROM j CROSS JOIN prior LEFT JOIN s USING (l_partkey) WHERE y >= 2000""",
+       FROM lineitem j CROSS JOIN prior LEFT JOIN s USING (l_partkey) WHERE l_shipdate >= DATE '1999-01-01'""",
 )
 def _(t):
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.year("l_shipdate").alias("y"))
-    train, test = rows.where("y <= 1996"), rows.where("y >= 2000").select("l_orderkey", "l_linenumber", "l_partkey")
-    out = M.target_encode(train, test, "l_partkey", "l_quantity")
-    return out.withColumn("encoded", F.round("encoded", 6))
+    # the older lines train, all later ones are encoded
+    cut = F.lit(dt.date(1999, 1, 1))
+    train = t.lineitem.where(F.col("l_shipdate") < cut).select("l_partkey", "l_quantity")
+    test = t.lineitem.where(F.col("l_shipdate") >= cut).select("l_orderkey", "l_linenumber", "l_partkey")
+    return M.target_encode(train, test, "l_partkey", "l_quantity").withColumn("encoded", F.round("encoded", 6))
 
 
 @query(
@@ -31,7 +35,13 @@ def _(t):
               CAST(event_type = 'view' AS INTEGER) AS event_type_view FROM events""",
 )
 def _(t):
-    return M.one_hot(t.events.select("event_id", "event_type"), "event_type").drop("event_type")
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    return M.one_hot(t.events.select("event_id", "event_type"), "event_type", kinds).drop("event_type")
+
+
+@query("one_hot_long", "SELECT event_id, 'event_type_' || event_type AS feature, 1.0::DOUBLE AS value FROM events WHERE event_type IS NOT NULL")
+def _(t):
+    return M.indicator_rows(t.events, ["event_id"], "event_type")
 
 
 @query(
@@ -64,37 +74,48 @@ def labelled_documents(t):
         (F.col("n_chars") / words).alias("word_length"),
         (F.col("lang") == "en").cast("double").alias("is_en"),
     )
-    return train_test(rows, ["doc_id"], 1729)
-
-
-_models: dict[tuple[str, str], object] = {}
+    return train_test(cut_lineage(rows), ["doc_id"], 1729)
 
 
-def quality_model(t):
-    """One model per application and folder: the three queries below share it."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _models:
-        train = labelled_documents(t).where("part = 'train'").persist()
-        _models[key] = M.train_classifier(train, FEATURES, "quality")
-        train.unpersist()
-    return _models[key]
+def _model(t):
+    """Documents with their split, and a model of the train part. Each query trains its own."""
+    rows = labelled_documents(t)
+    return rows, M.train_classifier(rows.where("part = 'train'"), FEATURES, "quality")
 
 
-@query("train_classifier")
+@query(
+    "train_classifier",
+    """SELECT CAST(i AS INTEGER) AS tree, CASE WHEN i = 0 THEN 1.0 ELSE 0.2 END::DOUBLE AS weight, true AS depth_kept, true AS nodes_kept
+       FROM (SELECT unnest(range(50)) AS i)""",
+)
 def _(t):
-    return M.tree_summary(quality_model(t), t.labels)
+    trees = M.tree_summary(_model(t)[1], t.labels)
+    return trees.select(
+        "tree", "weight", (F.col("depth") <= 5).alias("depth_kept"), F.col("nodes").between(1, 63).alias("nodes_kept"))
 
 
-@query("score_table")
+@query(
+    "score_table",
+    f"""WITH h AS (SELECT d.doc_id, quality, row_number() OVER (ORDER BY {SHA.format(key='d.doc_id', seed=1729)}) AS rn, count(*) OVER () AS n
+                   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+        SELECT doc_id, quality, true AS p_in_range, true AS class_follows FROM h WHERE rn > floor(round(n * 0.7, 9))""",
+)
 def _(t):
-    held = labelled_documents(t).where("part = 'test'")
-    scored = M.score(quality_model(t), held)
-    return scored.select("doc_id", "quality", F.round("p", 6).alias("p"), M.predicted_class(F.col("p")).alias("predicted"))
+    rows, model = _model(t)
+    scored = M.score(model, rows.where("part = 'test'"))
+    follows = F.when(F.col("p") > 0.5, 1).otherwise(0) == M.predicted_class(F.col("p"))
+    return scored.select("doc_id", "quality", F.col("p").between(0, 1).alias("p_in_range"), follows.alias("class_follows"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"""SELECT unnest([{', '.join(f"'{f}'" for f in FEATURES)}]) AS feature, true AS share_in_range, 1.0::DOUBLE AS total""",
+)
 def _(t):
-    return M.feature_importance(quality_model(t), FEATURES, t.labels)
+    shares = M.feature_importance(_model(t)[1], FEATURES, t.labels)
+    # one row per feature
+    total = F.round(F.sum("importance").over(Window.partitionBy(F.lit(0))), 6)
+    return shares.select("feature", F.col("importance").between(0, 1).alias("share_in_range"), total.alias("total"))
 
 
 @query(

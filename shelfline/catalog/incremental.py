@@ -7,9 +7,15 @@ from shelfline.session import scratch_path
 from shelfline.streaming.master import grow_master, read_master
 
 
-@query("master_incremental", "SELECT event_id, user_id, event_type, value FROM events")
+@query(
+    "master_incremental",
+    """SELECT event_id, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id, event_type, CASE WHEN event_id % 5 > 0 THEN value END AS value
+       FROM events""",
+)
 def _(t):
-    rows = t.events.select("event_id", "user_id", "event_type", "value")
+    # some keys hold nulls, and come twice
+    some = lambda column, by: F.when(F.col("event_id") % by > 0, F.col(column)).alias(column)
+    rows = t.events.select("event_id", some("user_id", 7), "event_type", some("value", 5))
     landing, master, progress = (scratch_path(t.spark, n) for n in ("landing", "master", "progress"))
     # two deliveries that overlap in the clicks
     deliveries = [F.col("event_type").isin("click", "view"), F.col("event_type") != "view"]

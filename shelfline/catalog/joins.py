@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfline.catalog.registry import query
-from shelfline.functions.text import tag_text
+from shelfline.functions.text import first_answer
 from shelfline.operators import joins as J
 from shelfline.operators.aggregates import with_group_total
 from shelfline.operators.timeseries import shift_season
@@ -75,15 +75,13 @@ def _(t):
 
 @query(
     "join_inner_two_keys",
-    f"""WITH {KW}, r AS (SELECT p_name AS keywords, p_type AS product_type, count(*) AS parts FROM part
-                         WHERE p_size > 25 GROUP BY 1, 2)
+    f"""WITH {KW}, r AS (SELECT p_name AS keywords, p_type AS product_type, count(*) AS parts FROM part GROUP BY 1, 2)
         SELECT kw.*, parts FROM kw JOIN r USING (keywords, product_type)""",
 )
 def _(t):
-    large = t.part.where("p_size > 25").groupBy(
-        F.col("p_name").alias("keywords"), F.col("p_type").alias("product_type")
-    ).agg(F.count(F.lit(1)).alias("parts"))
-    return keyword_traffic(t).join(large, ["keywords", "product_type"])
+    parts = t.part.groupBy(F.col("p_name").alias("keywords"), F.col("p_type").alias("product_type")).agg(
+        F.count(F.lit(1)).alias("parts"))
+    return keyword_traffic(t).join(parts, ["keywords", "product_type"])
 
 
 @query(
@@ -99,41 +97,38 @@ def _(t):
 @query(
     "semi_join_frequent",
     """SELECT p_partkey, p_name FROM part
-       WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) > 2)""",
+       WHERE p_partkey IN (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(*) > 30)""",
 )
 def _(t):
-    returned = t.lineitem.where("l_returnflag = 'R'")
-    return J.in_frequent(t.part.select("p_partkey", "p_name"), returned, "p_partkey", "l_partkey", 2)
+    return J.in_frequent(t.part.select("p_partkey", "p_name"), t.lineitem, "p_partkey", "l_partkey", 30)
 
 
 @query(
     "join_prefix_theta",
     f"""WITH {TAXO}, p AS (SELECT replace(replace(path, '[World, ', ''), ']', '') AS path, node_key, is_leaf FROM taxo),
-             roots AS (SELECT DISTINCT path AS root FROM p WHERE NOT is_leaf)
+             roots AS (SELECT DISTINCT unnest([path, substr(path, 1, 2), substr(path, 1, length(path) - 3)]) AS root FROM p WHERE NOT is_leaf)
         SELECT root, path, node_key FROM roots JOIN p ON starts_with(path, root) WHERE is_leaf""",
 )
 def _(t):
     nodes = taxonomy(t).withColumn("path", F.regexp_replace("path", r"\[World, |\]", ""))
-    roots = nodes.where(~F.col("is_leaf")).select(F.col("path").alias("root")).distinct()
-    leaves = nodes.where("is_leaf").select("path", "node_key")
-    return J.leaves_under(roots, leaves, "root", "path")
+    # whole inner paths, and roots that end inside an element
+    heads = F.array("path", F.left("path", F.lit(2)), F.left("path", F.char_length("path") - 3))
+    roots = nodes.where(~F.col("is_leaf")).select(F.explode(heads).alias("root")).distinct()
+    return J.leaves_under(roots, nodes.where("is_leaf").select("path", "node_key"), "root", "path")
 
 
 @query(
     "join_prediction_to_key",
     f"""WITH {LLM_OUT}, cat AS (SELECT id, CASE WHEN contains(output, '<category>')
-               THEN regexp_extract(output, '<category><item>([a-z0-9]+)', 1) ELSE '' END AS category FROM llm_out
-               WHERE NOT contains(output, 'NA</item>')),
-             nodes AS (SELECT DISTINCT source AS path, upper(substr(md5(source), 1, 10)) AS node_key FROM documents
-                       WHERE source <> 'src3')
+               THEN regexp_extract(output, '<category><item>([a-z0-9]+)', 1) END AS category FROM llm_out),
+             nodes AS (SELECT DISTINCT source AS path, upper(md5(source)) AS node_key FROM documents WHERE source <> 'src3')
         SELECT id, category, node_key FROM cat LEFT JOIN nodes ON category = path""",
 )
 def _(t):
-    replies = model_replies(t).where(~F.contains("output", F.lit("NA</item>")))
-    predicted = replies.select("id", tag_text(F.col("output"), "category").alias("category"))
+    # a reply with two tags names the category in the first of them that holds an answer
+    predicted = model_replies(t).select("id", first_answer(F.col("output"), "category").alias("category"))
     nodes = t.documents.where("source <> 'src3'").select(F.col("source").alias("path")).distinct()
-    keyed = nodes.withColumn("node_key", F.upper(F.substring(F.md5("path"), 1, 10)))
-    return J.join_renamed(predicted, keyed, {"category": "path"})
+    return J.join_renamed(predicted, nodes.withColumn("node_key", F.upper(F.md5("path"))), {"category": "path"})
 
 
 @query(
@@ -183,9 +178,11 @@ def _(t):
     """WITH l AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS l FROM customer),
             r AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS r FROM supplier),
             n AS (SELECT (SELECT count(*) FROM customer) AS nl, (SELECT count(*) FROM supplier) AS nr),
-            d AS (SELECT CAST((CAST(l AS HUGEINT) * 2654435761 + 11) % (nl * nr) AS BIGINT) AS pick, nr FROM l, n)
-       SELECT c_custkey, s_suppkey FROM d JOIN l ON l.l = pick // nr JOIN r ON r.r = pick % nr""",
+            d AS (SELECT CAST('0x' || substr(sha256(CAST(i AS VARCHAR) || '#11'), 1, 15) AS BIGINT) % (nl * nr) AS pick, i, nr
+                  FROM n, (SELECT unnest(range(664)) AS i)),
+            f AS (SELECT pick, nr FROM (SELECT pick, nr, min(i) AS i FROM d GROUP BY 1, 2) ORDER BY i LIMIT 300)
+       SELECT c_custkey, s_suppkey FROM f JOIN l ON l.l = pick // nr JOIN r ON r.r = pick % nr""",
 )
 def _(t):
-    left, right = t.customer.select("c_custkey"), t.supplier.select("s_suppkey")
-    return J.sample_pairs(left, right, [F.asc("c_custkey")], [F.asc("s_suppkey")], seed=11)
+    sides = [(t.customer.select("c_custkey"), [F.asc("c_custkey")]), (t.supplier.select("s_suppkey"), [F.asc("s_suppkey")])]
+    return J.sample_combinations(sides, 300, seed=11)

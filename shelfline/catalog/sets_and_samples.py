@@ -1,11 +1,14 @@
 """Sorts, limits, set operations, samples and splits."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from shelfline.catalog.registry import query
 from shelfline.operators import sampling as R
 from shelfline.operators import sets as S
 from shelfline.operators.filters import in_calendar
+from shelfline.plans.ordered import cut_lineage
 from shelfline.views import DOCS_LEFT, KW, documents_with_labels, keyword_traffic
 
 
@@ -23,12 +26,15 @@ def _(t):
 
 @query(
     "topk_bottomk",
-    """(SELECT o_orderkey, o_totalprice, 'largest' AS side FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25)
-       UNION ALL
-       (SELECT o_orderkey, o_totalprice, 'smallest' FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25)""",
+    """WITH p AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders),
+            largest AS (SELECT * FROM p ORDER BY o_totalprice DESC, o_orderkey LIMIT 25),
+            smallest AS (SELECT * FROM p ORDER BY o_totalprice, o_orderkey LIMIT 25)
+       SELECT *, CAST(row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS INTEGER) AS place, 'largest' AS side FROM largest
+       UNION ALL SELECT *, CAST(row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS INTEGER), 'smallest' FROM smallest""",
 )
 def _(t):
-    return S.top_and_bottom(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", ["o_orderkey"], 25)
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    return S.top_and_bottom(rows, "o_totalprice", ["o_orderkey"], 25, position=[F.asc("o_orderkey")], ascending=True)
 
 
 @query("limit_first", "SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 10")
@@ -55,19 +61,23 @@ def _(t):
     return S.merge_distinct(kw.where("stream <= '3-MEDIUM'"), kw.where("stream >= '2-HIGH'"))
 
 
-@query("intersect_values", "SELECT o_custkey AS value FROM orders INTERSECT SELECT c_custkey FROM customer WHERE c_acctbal > 0")
+@query("intersect_values", "SELECT o_custkey AS value FROM orders INTERSECT SELECT c_custkey FROM customer")
 def _(t):
-    return S.common_values(t.orders, "o_custkey", t.customer.where("c_acctbal > 0"), "c_custkey")
+    return S.common_values(t.orders, "o_custkey", t.customer, "c_custkey")
 
 
 @query(
     "is_subset",
-    """WITH o AS (SELECT count(DISTINCT o_custkey) AS n_outside FROM orders
-                  WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))
-       SELECT n_outside = 0 AS is_subset, n_outside FROM o""",
+    """WITH o AS (SELECT count(DISTINCT c_custkey) AS n_outside FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))
+       SELECT n_outside = 0 AS is_subset, n_outside, 'customers with orders' AS claim FROM o
+       UNION ALL SELECT count(*) = 0, count(DISTINCT o_custkey), 'orders of customers' FROM orders
+                 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""",
 )
 def _(t):
-    return S.containment(t.orders, "o_custkey", t.customer.where("c_acctbal > 0"), "c_custkey")
+    with_orders = S.containment(t.customer, "c_custkey", t.orders, "o_custkey")
+    known = S.containment(t.orders, "o_custkey", t.customer, "c_custkey")
+    return S.append(
+        with_orders.withColumn("claim", F.lit("customers with orders")), known.withColumn("claim", F.lit("orders of customers")))
 
 
 @query(
@@ -94,15 +104,34 @@ def _(t):
     return R.sample_rows(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 7, fraction=0.1)
 
 
-@query("sample_with_replacement")
+SHARE52 = "CAST('0x' || substr({sha}, 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
+POISSON = [sum(math.exp(-1.5) * 1.5**i / math.factorial(i) for i in range(k + 1)) for k in range(18)]
+
+
+@query(
+    "sample_with_replacement",
+    f"""WITH u AS (SELECT o_orderkey, {SHARE52.format(sha=SHA.format(key='o_orderkey', seed=7))} AS u FROM orders),
+             d AS (SELECT o_orderkey, {' + '.join(f'CAST(u > {c!r} AS INTEGER)' for c in POISSON)} AS n FROM u)
+        SELECT o_orderkey, CAST(unnest(generate_series(1, n)) AS INTEGER) AS draw FROM d""",
+)
+def _(t):
+    return R.sample_with_replacement(t.orders.select("o_orderkey"), ["o_orderkey"], 7, fraction=1.5)
+
+
+@query(
+    "sample_n_with_replacement",
+    """WITH p AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
+            d AS (SELECT i AS draw, CAST('0x' || substr(sha256(CAST(i AS VARCHAR) || '#5'), 1, 15) AS BIGINT)
+                         % (SELECT count(*) FROM orders) AS pos FROM (SELECT unnest(range(1, 2001)) AS i))
+       SELECT o_orderkey, o_totalprice, draw FROM d JOIN p USING (pos)""",
+)
 def _(t):
-    return R.sample_with_replacement(t.orders.select("o_orderkey"), ["o_orderkey"], 7, 0.3)
+    return R.sample_with_replacement(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 5, n=2000)
 
 
 @query(
     "bernoulli_flag",
-    f"""SELECT o_orderkey, CAST('0x' || substr({SHA.format(key='o_orderkey', seed=3)}, 1, 8) AS BIGINT) / 4294967296.0 <= 0.25
-        AS chosen FROM orders""",
+    f"SELECT o_orderkey, {SHARE52.format(sha=SHA.format(key='o_orderkey', seed=3))} <= 0.25 AS chosen FROM orders",
 )
 def _(t):
     return t.orders.select("o_orderkey", R.chosen_with_probability(["o_orderkey"], 3, 0.25).alias("chosen"))
@@ -125,7 +154,7 @@ def _(t):
 )
 def _(t):
     rows = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id").select("doc_id", "quality", "n_chars")
-    return R.train_test(rows, ["doc_id"], 1729)
+    return R.train_test(cut_lineage(rows), ["doc_id"], 1729)
 
 
 @query(

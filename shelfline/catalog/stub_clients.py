@@ -17,19 +17,6 @@ def attribute_tagger():
     return call
 
 
-def flaky_echo():
-    """Fails (length mod 5) times for a prompt before it answers in upper case."""
-    failed: dict[str, int] = {}
-
-    def call(prompt: str) -> str:
-        if failed.get(prompt, 0) < len(prompt) % 5:
-            failed[prompt] = failed.get(prompt, 0) + 1
-            raise ConnectionError("busy")
-        return prompt.upper()
-
-    return call
-
-
 def option_picker():
     """Picks an option by the number of characters of title and description."""
 

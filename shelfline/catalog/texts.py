@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfline.catalog.registry import query
-from shelfline.functions import dates, maps, paths, text
+from shelfline.functions import arrays, dates, maps, paths, text
 from shelfline.operators.aggregates import join_texts
 from shelfline.operators.columns import all_strings, conform_text_columns
 from shelfline.operators.profiles import column_types, path_rollup
@@ -35,13 +35,20 @@ def _(t):
     return conform_text_columns(dotted, text.conform_name)
 
 
-@query("strip_suffix_phrase", "SELECT p_partkey, p_name, replace(p_type, '/', '') AS channel FROM part")
+@query(
+    "strip_suffix_phrase",
+    """SELECT p_partkey, CASE WHEN p_size > 40 THEN p_name || ' leather' ELSE p_name END AS p_name, replace(p_type, '/', '') AS channel FROM part""",
+)
 def _(t):
-    marked = F.when(F.col("p_size") > 25, F.concat("p_name", F.lit(" - Genuine"))).otherwise(F.col("p_name"))
+    # at the end of a name, and inside it
+    marked = (
+        F.when(F.col("p_size") > 40, F.concat("p_name", F.lit(" - Genuine leather")))
+        .when(F.col("p_size") > 25, F.concat("p_name", F.lit(" - Genuine"))).otherwise(F.col("p_name"))
+    )
     folder = F.concat("p_type", F.lit("/"))
     return t.part.select(
         "p_partkey",
-        text.strip_suffix(marked, " - Genuine").alias("p_name"),
+        text.strip_phrase(marked, " - Genuine").alias("p_name"),
         text.strip_all(folder, ["/"]).alias("channel"),
     )
 
@@ -170,7 +177,10 @@ def _profile_sql(columns):
     return " UNION ALL ".join(parts)
 
 
-PROFILED = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"]
+PROFILED = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
 
 
 @query(
@@ -181,19 +191,31 @@ PROFILED = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnf
           WHEN n_date = n - n_null THEN 'date' ELSE 'text' END AS narrowest FROM c""",
 )
 def _(t):
-    return column_types(all_strings(t.lineitem.select(*PROFILED)))
+    # the typed columns answer from their type, the same columns as text from each value; both agree
+    typed = t.lineitem.select(*PROFILED)
+    as_text = all_strings(typed.select("l_linenumber", "l_discount", "l_returnflag", "l_shipdate"))
+    from_text = column_types(as_text)
+    return column_types(typed).join(from_text.select("column_name"), "column_name", "left_anti").unionByName(from_text)
 
 
 @query(
     "array_flatten_any",
-    """WITH f AS (SELECT doc_id, flatten(list_transform(string_split(text, chr(10)), lambda l: string_split(l, ' '))) AS words
-                  FROM documents)
-       SELECT doc_id, len(words) AS n_words, array_to_string(words, '|') AS words FROM f""",
+    r"""WITH n AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda l: list_transform(string_split(l, '. '),
+                      lambda s: string_split(s, ' '))) AS nested FROM documents),
+            f AS (SELECT doc_id, flatten(flatten(nested)) AS words, list_transform(nested, lambda l: flatten(l)) AS lines FROM n)
+       SELECT doc_id, len(words) AS n_words, array_to_string(words, '|') AS words, len(lines) AS n_lines,
+              array_to_string(list_transform(lines, lambda l: CAST(len(l) AS VARCHAR)), ',') AS words_per_line FROM f""",
 )
 def _(t):
-    words = F.flatten(F.transform(F.split("text", "\n"), lambda line: F.split(line, " ")))
-    return t.documents.select(
-        "doc_id", F.size(words).cast("bigint").alias("n_words"), F.array_join(words, "|").alias("words")
+    sentences = F.transform(F.split("text", "\n"), lambda line: F.transform(F.split(line, r"\. "), lambda s: F.split(s, " ")))
+    nested = t.documents.select("doc_id", sentences.alias("nested"))
+    levels = arrays.array_levels(nested.schema["nested"].dataType)
+    flat = nested.select(
+        "doc_id", arrays.flatten_all(F.col("nested"), levels).alias("words"), arrays.flatten_inner(F.col("nested"), levels).alias("lines"))
+    return flat.select(
+        "doc_id", F.size("words").cast("bigint").alias("n_words"), F.array_join("words", "|").alias("words"),
+        F.size("lines").cast("bigint").alias("n_lines"),
+        F.array_join(F.transform("lines", lambda x: F.size(x).cast("string")), ",").alias("words_per_line"),
     )
 
 
@@ -237,26 +259,26 @@ def _(t):
     "map_defaults_deep",
     """SELECT event_id, 'k=' || json_extract_string(props, '$.k') || ';unit=pct' AS flat,
               'k=' || json_extract_string(props, '$.k') || ';unit=pct' AS inner_props, 'name=' || event_type AS inner_event,
-              'name=web' AS inner_source
+              'name=web' AS inner_source, 'kind=' || event_type || ';owner=ops' AS deepest
        FROM events""",
 )
 def _(t):
     props = F.from_json("props", "map<string,string>")
     defaults = F.create_map(F.lit("k"), F.lit("0"), F.lit("unit"), F.lit("pct"))
-    nested = F.create_map(
-        F.lit("props"), F.col("m"), F.lit("event"), F.create_map(F.lit("name"), F.col("event_type"))
+    named = lambda key, value: F.create_map(F.lit(key), value)
+    inner = F.create_map(F.lit("props"), F.col("m"), F.lit("event"), named("name", F.col("event_type")), F.lit("tag"), named("kind", F.col("event_type")))
+    inner_defaults = F.create_map(
+        F.lit("props"), defaults, F.lit("source"), named("name", F.lit("web")),
+        F.lit("tag"), F.create_map(F.lit("kind"), F.lit("none"), F.lit("owner"), F.lit("ops")),
     )
-    nested_defaults = F.create_map(
-        F.lit("props"), defaults, F.lit("source"), F.create_map(F.lit("name"), F.lit("web"))
-    )
-    parsed = t.events.select("event_id", "event_type", props.alias("m"))
-    deep = F.col("deep")
-    return parsed.withColumn("deep", maps.with_nested_defaults(nested, nested_defaults)).select(
+    parsed = t.events.select("event_id", "event_type", props.alias("m")).withColumn("given", named("all", inner))
+    levels = maps.map_levels(parsed.schema["given"].dataType)
+    deep = maps.with_nested_defaults(F.col("given"), named("all", inner_defaults), levels)
+    at = lambda key: maps.as_text(F.try_element_at(F.try_element_at("deep", F.lit("all")), F.lit(key)))
+    return parsed.withColumn("deep", deep).select(
         "event_id",
         maps.as_text(maps.with_defaults(F.col("m"), defaults)).alias("flat"),
-        maps.as_text(F.try_element_at(deep, F.lit("props"))).alias("inner_props"),
-        maps.as_text(F.try_element_at(deep, F.lit("event"))).alias("inner_event"),
-        maps.as_text(F.try_element_at(deep, F.lit("source"))).alias("inner_source"),
+        at("props").alias("inner_props"), at("event").alias("inner_event"), at("source").alias("inner_source"), at("tag").alias("deepest"),
     )
 
 
@@ -330,18 +352,16 @@ def _(t):
 
 @query(
     "measure_to_base_unit",
-    """SELECT p_partkey, CAST(p_size + 0.5 AS DOUBLE) * CASE p_type WHEN 'ECONOMY' THEN 1000 WHEN 'PROMO' THEN 1000000
-                 WHEN 'LARGE' THEN 1048576 WHEN 'SMALL' THEN 1 END::DOUBLE AS bytes,
-              CAST(p_size AS DOUBLE) * CASE WHEN p_type IN ('LARGE', 'PROMO') THEN 3600 ELSE 60 END AS seconds
+    """SELECT p_partkey, CAST(p_size + 0.5 AS DOUBLE) * CASE p_type WHEN 'ECONOMY' THEN 1024 WHEN 'PROMO' THEN 1048576
+                 WHEN 'LARGE' THEN 1125899906842624 WHEN 'SMALL' THEN 1 END::DOUBLE AS bytes,
+              CAST(p_size AS DOUBLE) * CASE p_type WHEN 'LARGE' THEN 3600 WHEN 'PROMO' THEN 86400 WHEN 'SMALL' THEN 1 ELSE 60 END AS seconds
        FROM part""",
 )
 def _(t):
-    unit = (
-        F.when(F.col("p_type") == "ECONOMY", "KB").when(F.col("p_type") == "PROMO", "MB")
-        .when(F.col("p_type") == "LARGE", "MiB").when(F.col("p_type") == "SMALL", "B").otherwise("parsecs")
-    )
+    by_type = lambda names, other: F.coalesce(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("p_type")], F.lit(other))
+    unit = by_type({"ECONOMY": "KB", "PROMO": "mb", "LARGE": "PB", "SMALL": "B"}, "parsecs")
     size = F.concat((F.col("p_size") + 0.5).cast("string"), F.lit(" "), unit)
-    span = F.concat(F.col("p_size").cast("string"), F.when(F.col("p_type").isin("LARGE", "PROMO"), " h").otherwise(" min"))
+    span = F.concat(F.col("p_size").cast("string"), F.lit(" "), by_type({"LARGE": "hours", "PROMO": "d", "SMALL": "seconds"}, "mins"))
     return t.part.select(
         "p_partkey",
         text.measure(size, text.SIZE_UNITS, upper=True).alias("bytes"),

@@ -139,7 +139,9 @@ def _(t):
          ORDER BY impressions DESC, keywords) AS rk FROM h) WHERE rk <= 120""",
 )
 def _(t):
-    both = read_folder(t.spark, t.folder, "{lineitem,orders}.parquet")
+    columns = ("o_orderpriority string, o_orderstatus string, o_totalprice double, "
+               "l_linestatus string, l_returnflag string, l_extendedprice double")
+    both = read_folder(t.spark, t.folder, "{lineitem,orders}.parquet", schema=columns)
     rows = both.select(
         F.coalesce("o_orderpriority", "l_linestatus").alias("keywords"),
         F.coalesce("o_orderstatus", "l_returnflag").alias("product_type"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keys_cased(m: Column, upper: bool = False) -> Column:
@@ -54,12 +55,21 @@ def with_defaults(m: Column, defaults: Column) -> Column:
     return merged(defaults, F.coalesce(m, F.from_json(F.lit("{}"), "map<string,string>")))
 
 
-def with_nested_defaults(m: Column, defaults: Column) -> Column:
-    """As `with_defaults` for a map of maps: the inner maps are completed as well."""
+def map_levels(kind: T.DataType) -> int:
+    """How many maps lie inside each other in a column type."""
+    return 1 + map_levels(kind.valueType) if isinstance(kind, T.MapType) else 0
+
+
+def with_nested_defaults(m: Column, defaults: Column, levels: int) -> Column:
+    """Missing keys taken from the defaults in a map of maps, down to its `levels`-th level.
+
+    A present key stays, also with a null value; where both sides hold a map, the maps are completed.
+    """
+    if levels == 1:
+        return F.coalesce(merged(defaults, m), m, defaults)
     completed = F.transform_values(
-        m, lambda k, v: F.coalesce(merged(F.try_element_at(defaults, k), v), v)
-    )
-    return merged(defaults, completed)
+        m, lambda k, v: F.when(v.isNotNull(), with_nested_defaults(v, F.try_element_at(defaults, k), levels - 1)))
+    return F.coalesce(merged(defaults, completed), completed, defaults)
 
 
 def as_text(m: Column) -> Column:

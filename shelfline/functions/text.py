@@ -25,17 +25,15 @@ DESCRIPTION_TAGS = (
 # Answers that mean "no attribute found".
 SENTINELS = ("NA", "[]", "NONE OF THE ABOVE")
 
-# Bytes per unit of a written size (decimal and binary prefixes).
-SIZE_UNITS = {
-    "B": 1,
-    "KB": 1000, "MB": 1000**2, "GB": 1000**3, "TB": 1000**4, "PB": 1000**5,
-    "KIB": 1024, "MIB": 1024**2, "GIB": 1024**3, "TIB": 1024**4, "PIB": 1024**5,
-}
+# Units of a written size in rising order; each is 1,024 times the one before.
+SIZE_NAMES = ("B", "KB", "MB", "GB", "TB", "PB", "EB", "ZB", "YB")
+SIZE_UNITS = {name: 1024.0**i for i, name in enumerate(SIZE_NAMES)}
 
-# Seconds per unit of a written duration.
+# Seconds per unit of a written duration, by long and short name.
 TIME_UNITS = {
-    "ms": 0.001, "s": 1.0, "sec": 1.0, "min": 60.0, "h": 3600.0, "hr": 3600.0, "day": 86400.0,
-    "week": 604800.0,
+    "nanoseconds": 1e-9, "microseconds": 1e-6, "milliseconds": 1e-3, "seconds": 1.0, "mins": 60.0, "hours": 3600.0, "days": 86400.0,
+    "ns": 1e-9, "us": 1e-6, "ms": 1e-3, "s": 1.0, "min": 60.0, "hr": 3600.0, "d": 86400.0,
+    "sec": 1.0, "minutes": 60.0, "h": 3600.0, "hour": 3600.0, "day": 86400.0, "week": 604800.0,
 }
 
 
@@ -68,8 +66,9 @@ def strip_literals(text: Column, literals: Sequence[str]) -> Column:
     return F.regexp_replace(text, f"{re.escape(shared)}(?:{rest})", "")
 
 
-def strip_suffix(text: Column, suffix: str) -> Column:
-    return F.regexp_replace(text, re.escape(suffix) + "$", "")
+def strip_phrase(text: Column, phrase: str) -> Column:
+    """The text without a literal phrase, wherever it stands."""
+    return F.replace(text, F.lit(phrase), F.lit(""))
 
 
 def conform_name(name: Column, suffix: str = "?standardized_values") -> Column:
@@ -94,6 +93,12 @@ def tag_text(text: Column, tag: str) -> Column:
     return F.replace(clean, F.lit("&amp;"), F.lit("&"))
 
 
+def first_answer(text: Column, tag: str, sentinels: Sequence[str] = SENTINELS) -> Column:
+    """The first text inside <tag>…</tag> that is an answer; null where none is."""
+    bare = F.transform(tag_values(text, tag), lambda x: F.trim(F.regexp_replace(x, r"</?item>|\n", "")))
+    return F.get(F.filter(bare, lambda x: (x != "") & ~x.isin(*sentinels)), F.lit(0))
+
+
 def normalise_label(text: Column, remove: str = " -_") -> Column:
     return F.translate(F.lower(text), remove, "")
 

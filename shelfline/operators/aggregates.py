@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.plans.ordered import exact_quantiles, keys_present, rank_picks, ranked_values
+from shelfline.plans.ordered import keys_present, rank_picks, ranked_values
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+# A cell and the row around it must stay below the 2 GB a row can have.
+MOST_BYTES = 1 << 30
 DESCRIBE = ("n", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -58,11 +60,15 @@ def join_texts(
 ) -> DataFrame:
     """Distinct texts of a group, sorted and joined.
 
-    Repeats are removed by a shuffle on (group, text) first, so a hot group
+    The joined text is one cell, so a group is as large as a cell may be: beyond `MOST_BYTES`
+    the job fails and names the group size; nothing is cut. Repeats are removed by a shuffle on (group, text) first, so a hot group
     brings only its distinct texts to the task that writes the joined value.
     """
     distinct = keys_present(df, keys).where(F.col(text).isNotNull()).select(*keys, text).distinct()
-    return distinct.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(text)), separator).alias(out))
+    size = F.sum(F.octet_length(text) + len(separator.encode()))
+    joined = distinct.groupBy(*keys).agg(size.alias("_bytes"), F.array_join(F.array_sort(F.collect_list(text)), separator).alias("_joined"))
+    refused = F.raise_error(F.concat(F.lit("texts of one group are too large for a cell, bytes: "), F.col("_bytes").cast("string")))
+    return joined.select(*keys, F.when(F.col("_bytes") > MOST_BYTES, refused.cast("string")).otherwise(F.col("_joined")).alias(out))
 
 
 def distinct_over_columns(df: DataFrame, columns: Sequence[str], out: str = "value") -> DataFrame:
@@ -96,16 +102,20 @@ def mode_of(df: DataFrame, keys: Sequence[str], value: str, out: str = "mode") -
 
 
 def by_strategies(df: DataFrame, keys: Sequence[str], value: str, at: str) -> DataFrame:
-    """average, min, max, sum, first (by time), median and mode of a value per group."""
-    plain = keys_present(df, keys).groupBy(*keys).agg(
-        F.avg(value).alias("average"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.sum(value).alias("sum"),
-        F.min_by(value, F.struct(at, value)).alias("first"),
+    """average, min, max, sum, first (by time), median and mode of a value per group; ties take the smallest value.
+
+    All come from one table of values counted per group and ranked. The median of a group is the
+    mean of its middle values.
+    """
+    ranked = ranked_values(df, keys, value, _at=F.min(at))
+    picks, (median,) = rank_picks(value, [0.5])
+    v = F.col(value)
+    stats = ranked.groupBy(*keys).agg(
+        (F.max("_sum") / F.max("_size")).alias("average"), F.min(value).alias("min"), F.max(value).alias("max"),
+        F.max("_sum").alias("sum"), F.min_by(value, F.struct("_at", value)).alias("first"),
+        F.min(F.struct((-F.col("_n")).alias("less"), v.alias("v")))["v"].alias("mode"), *picks,
     )
-    median = exact_quantiles(df, keys, value, [0.5]).withColumnRenamed("p50", "median")
-    return plain.join(median, list(keys), "left").join(mode_of(df, keys, value), list(keys), "left")
+    return stats.select(*keys, "average", "min", "max", "sum", "first", median.alias("median"), "mode")
 
 
 def single_value(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.paths import as_item, first_part
-from shelfline.functions.text import DESCRIPTION_TAGS, render_template, strip_literals
-from shelfline.operators.aggregates import join_texts
-from shelfline.operators.enrich import ClientFactory, build_prompts, infer_distinct, parse_reply
+from shelfline.functions.text import DESCRIPTION_TAGS, strip_literals
+from shelfline.operators.enrich import ClientFactory, infer_inputs, parse_reply
 from shelfline.operators.joins import join_renamed, leaves_under
 from shelfline.plans.ordered import cut_lineage
 
@@ -22,30 +21,27 @@ def classify_root_then_leaf(
 ) -> DataFrame:
     """items(item, title, description), nodes(path, node_key, is_leaf) → category and node key.
 
-    Both stages are one plan over all items: the options of a root are joined
-    to its items, there is no loop over roots. Identical prompts are sent once.
+    Both stages are one plan over all items: the options of a root are joined to its items
+    where the model is called, there is no loop over roots. Equal items are sent once.
     """
     # the taxonomy is read four times below
     below = cut_lineage(nodes.withColumn("path", F.regexp_replace("path", rf"^\[{root_prefix}|\]$", "")))
     roots = below.select(first_part(F.col("path")).alias("root_category")).distinct()
-    all_roots = join_texts(
-        roots.withColumn("item", as_item(F.col("root_category"))).withColumn("_all", F.lit(0)), ["_all"], "item", "\n"
-    )
     described = items.withColumn("description", strip_literals(F.col("description"), DESCRIPTION_TAGS))
-    with_options = described.withColumn("options", all_roots.select("texts").scalar())
-    root_prompt = render_template(ROOT_TEMPLATE, options="options", title="title", description="description")
-    asked = with_options.withColumn("prompt", root_prompt).drop("options")
-    replied = infer_distinct(asked, "prompt", client_factory, **call)
-    root = parse_reply("generated_text", {"root_category": "category"})
-    with_root = described_with(replied, root)
-
-    leaves = leaves_under(roots, below.where("is_leaf").select("path", "node_key"), "root_category", "path")
-    options = leaves.select("root_category", as_item(F.col("path")).alias("leaf"))
-    leaf_asked = build_prompts(
-        with_root, LEAF_TEMPLATE, options, ["root_category"], "leaf",
-        root_category="root_category", title="title", description="description",
+
+    # one option list for all items: a category of its own
+    every = roots.select(F.lit(0).alias("_all"), as_item(F.col("root_category")).alias("root"))
+    replied = infer_inputs(
+        described.withColumn("_all", F.lit(0)), ["_all", "title", "description"], ROOT_TEMPLATE, client_factory, every, ["_all"], "root",
+        columns={"title": "title", "description": "description"}, **call,
     )
-    leaf_replied = infer_distinct(leaf_asked, "prompt", client_factory, **call)
+    with_root = described_with(replied, parse_reply("generated_text", {"root_category": "category"}))
+
+    inner = roots.withColumn("_prefix", F.concat("root_category", F.lit(", ")))
+    leaves = leaves_under(inner, below.where("is_leaf").select("path", "node_key"), "_prefix", "path")
+    options = leaves.select("root_category", as_item(F.col("path")).alias("leaf"))
+    leaf_replied = infer_inputs(
+        with_root, ["root_category", "title", "description"], LEAF_TEMPLATE, client_factory, options, ["root_category"], "leaf", **call)
     parsed = leaf_replied.select(
         "item", "title", "description", "root_category",
         *[c.alias(n) for n, c in parse_reply("generated_text", TAGS).items()],

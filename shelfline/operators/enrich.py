@@ -11,7 +11,9 @@ down before anything downstream reads them twice.
 from __future__ import annotations
 
 import random
+import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.text import SENTINELS, render_template, tag_text
+from shelfline.functions.text import SENTINELS, fingerprint, render_template, tag_text
 from shelfline.operators.joins import with_group_options
 from shelfline.plans.ordered import cut_lineage
 
@@ -40,23 +42,37 @@ def build_prompts(
 
 
 class Pace:
-    """At most `rate` starts per second within one task."""
+    """At most `rate` starts per second within one task, over all its threads."""
 
     def __init__(self, rate: float | None):
         self.gap = 1.0 / rate if rate else 0.0
         self.next = 0.0
+        self.lock = threading.Lock()
 
     def wait(self) -> None:
-        if self.gap:
+        if not self.gap:
+            return
+        with self.lock:
             now = time.monotonic()
-            self.next = max(self.next + self.gap, now)
-            time.sleep(self.next - now)
+            at = max(self.next, now)
+            self.next = at + self.gap
+        time.sleep(at - now)
 
 
-def call_with_retry(client: Callable[[str], str], prompt: str, retries: int, wait: float, jitter: float) -> tuple:
-    """(text, seconds, attempts, error); sleeps only between attempts."""
+# The status of a row without a prompt, which is not sent.
+NO_PROMPT = "no prompt"
+
+
+def call_with_retry(
+    client: Callable[[str], str], prompt: str | None, retries: int, wait: float, jitter: float, pace: Pace | None = None
+) -> tuple:
+    """(text, seconds, attempts, error); every attempt is paced, and it sleeps only between attempts."""
+    if prompt is None:
+        return None, 0.0, 0, NO_PROMPT
     began, error = time.perf_counter(), None
     for attempt in range(1, retries + 2):
+        if pace:
+            pace.wait()
         try:
             return client(prompt), time.perf_counter() - began, attempt, None
         except Exception as failure:  # noqa: BLE001 - every failure of a remote call ends up in the status
@@ -76,36 +92,41 @@ def batch_infer(
     jitter: float = 0.5,
     partitions: int | None = None,
     calls_per_second: float | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Add generated_text, time_taken_sec, attempts and error to every row.
 
-    `partitions` spreads the prompts by hash and caps the concurrency; with
-    `calls_per_second` each partition gets its even share of the rate.
+    `partitions` caps the concurrency and deals the rows out evenly, equal prompts too; `spread=False` says
+    that the rows lie in so many partitions already. With `calls_per_second` each partition gets its even
+    share of the rate. The calls of the next batch of rows are submitted before the last of the
+    batch before it has answered, so a slow call does not leave the other threads idle. A null prompt is not sent.
     """
     if calls_per_second is not None and partitions is None:
         raise ValueError("a call rate needs a fixed number of partitions")
-    spread = df.repartition(partitions, prompt) if partitions else df
+    dealt = df.repartition(partitions) if partitions and spread else df
     rate = calls_per_second / partitions if calls_per_second else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, pace = client_factory(), Pace(rate)
-        call = partial(call_with_retry, client, retries=retries, wait=wait, jitter=jitter)
+        client = client_factory()
+        call = partial(call_with_retry, client, retries=retries, wait=wait, jitter=jitter, pace=Pace(rate))
+        columns = ["generated_text", "time_taken_sec", "attempts", "error"]
+
+        def answered(pdf: pd.DataFrame, calls: list) -> pd.DataFrame:
+            replies = pd.DataFrame([c.result() for c in calls], columns=columns).astype({"attempts": "int32"})
+            return pd.concat([pdf.reset_index(drop=True), replies], axis=1)
+
         with ThreadPoolExecutor(max_workers=max_workers) as pool:
+            ahead: deque = deque()
             for pdf in batches:
-                waiting = []
-                for text in pdf[prompt]:
-                    pace.wait()
-                    waiting.append(pool.submit(call, text))
-                replies = [w.result() for w in waiting]
-                columns = ["generated_text", "time_taken_sec", "attempts", "error"]
-                yield pd.concat(
-                    [pdf.reset_index(drop=True), pd.DataFrame(replies, columns=columns).astype({"attempts": "int32"})],
-                    axis=1,
-                )
+                ahead.append((pdf, [pool.submit(call, None if pd.isna(text) else text) for text in pdf[prompt]]))
+                if len(ahead) > 1:
+                    yield answered(*ahead.popleft())
+            while ahead:
+                yield answered(*ahead.popleft())
 
     added = "generated_text string, time_taken_sec double, attempts int, error string"
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spread.schema.fields)
-    return spread.mapInPandas(run, f"{kept}, {added}")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
+    return dealt.mapInPandas(run, f"{kept}, {added}")
 
 
 def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **options) -> DataFrame:
@@ -114,12 +135,38 @@ def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **
     Repeats are removed before the call, so a prompt shared by a third of the
     table costs one call. Rows and replies meet on the SHA-256 of the prompt;
     the prompt text itself is not shuffled again. The replies are written down
-    first, so nothing downstream calls the model a second time.
+    first, so nothing downstream calls the model a second time. A row without a prompt says so in its status.
     """
     keyed = df.withColumn("_digest", F.sha2(prompt, 256))
-    distinct = keyed.select("_digest", F.col(prompt).alias("_prompt")).distinct()
+    distinct = keyed.where(F.col(prompt).isNotNull()).select("_digest", F.col(prompt).alias("_prompt")).distinct()
     replies = cut_lineage(batch_infer(distinct, "_prompt", client_factory, **options).drop("_prompt"))
-    return keyed.join(replies, "_digest", "left").drop("_digest")
+    unsent = F.col(prompt).isNull()
+    return keyed.join(replies, "_digest", "left").drop("_digest").withColumns({
+        "attempts": F.when(unsent, 0).otherwise(F.col("attempts")),
+        "error": F.when(unsent, NO_PROMPT).otherwise(F.col("error")),
+    })
+
+
+def infer_inputs(
+    df: DataFrame, inputs: Sequence[str], template: str, client_factory: ClientFactory, options: DataFrame | None = None,
+    keys: Sequence[str] = (), option: str = "", partitions: int | None = None, columns: Mapping[str, str] | None = None, **call,
+) -> DataFrame:
+    """Ask once per distinct combination of the input columns and join the replies back to all rows.
+
+    The prompt is a template over the inputs and, with `options`, over the option list of the row's
+    category. Only the inputs are made distinct and dealt out; the lists meet them afterwards and the
+    prompt is rendered inside the calling stage, so no option list and no prompt is shuffled per row.
+    """
+    keyed = df.withColumn("_digest", fingerprint(inputs))
+    asked = keyed.select("_digest", *inputs).dropDuplicates(["_digest"])
+    dealt = asked.repartition(partitions) if partitions else asked
+    fields = dict(columns or {name: name for name in inputs})
+    if options is not None:
+        dealt = with_group_options(dealt, options, keys, option)
+        fields = {"options": "options", **fields}
+    prompted = dealt.select("_digest", render_template(template, **fields).alias("_prompt"))
+    called = batch_infer(prompted, "_prompt", client_factory, partitions=partitions, spread=False, **call)
+    return keyed.join(cut_lineage(called.drop("_prompt")), "_digest", "left").drop("_digest")
 
 
 def parse_reply(reply: str, tags: Mapping[str, str], sentinels: Sequence[str] = SENTINELS) -> dict[str, Column]:

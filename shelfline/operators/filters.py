@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -51,11 +52,23 @@ def starts_with_any(column: str | Column, prefixes: Sequence[str]) -> Column:
 
 
 def in_calendar(column: str, years: Sequence[int] = (), months: Sequence[int] = ()) -> Column:
-    test = F.lit(True)
-    if years:
-        test = test & F.year(column).isin(*years)
-    if months:
-        test = test & F.month(column).isin(*months)
+    """Dates in the given years and months, as ranges of the bare column so a scan can skip row groups.
+
+    Months without years cannot be ranges and are read off each date.
+    """
+    if not years:
+        return F.month(column).isin(*months) if months else F.lit(True)
+    numbers = sorted({12 * y + m - 1 for y in years for m in (months or range(1, 13))})
+    spans: list[list[int]] = []
+    for number in numbers:
+        if spans and spans[-1][1] == number:
+            spans[-1][1] = number + 1
+        else:
+            spans.append([number, number + 1])
+    first_of = lambda number: F.lit(dt.date(number // 12, number % 12 + 1, 1))
+    test = F.lit(False)
+    for start, stop in spans:
+        test = test | ((F.col(column) >= first_of(start)) & (F.col(column) < first_of(stop)))
     return test
 
 

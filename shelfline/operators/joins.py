@@ -8,16 +8,17 @@ joins whose hot keys adaptive execution splits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.paths import first_part
 from shelfline.functions.text import normalise_label
 from shelfline.operators.aggregates import join_texts
 from shelfline.operators.columns import fill_nulls
-from shelfline.plans.ordered import positions
+from shelfline.operators.sampling import hashed_number
+from shelfline.plans.ordered import cut_lineage, hash_head_flag, positions
 
 
 def join_renamed(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "left") -> DataFrame:
@@ -55,21 +56,32 @@ def in_frequent(df: DataFrame, other: DataFrame, column: str, other_column: str,
 
 
 def leaves_under(roots: DataFrame, nodes: DataFrame, root: str, path: str) -> DataFrame:
-    """Each root with the nodes whose path starts with it.
+    """Each root with the nodes whose path starts with it, also where it ends inside an element.
 
-    The first path element is the equi key, so the prefix test only runs on
-    rows that already share it; no nested-loop join is planned.
+    Roots have few distinct lengths. Each path is repeated once per length with its head of that
+    length, and heads meet roots by an equi-join: no pair is formed that does not match.
     """
-    left = roots.withColumn("_head", first_part(F.col(root)))
-    right = nodes.withColumn("_head", first_part(F.col(path)))
-    return left.join(right, ["_head"]).where(F.col(path).startswith(F.col(root))).drop("_head")
+    lengths = roots.select(F.char_length(root).alias("_length")).agg(F.collect_set("_length")).scalar()
+    heads = nodes.withColumn("_length", F.explode(lengths)).where(F.char_length(path) >= F.col("_length"))
+    headed = heads.withColumn("_head", F.left(F.col(path), F.col("_length"))).drop("_length")
+    return roots.join(headed, F.col(root) == F.col("_head")).drop("_head")
+
+
+# An option table up to this size is sent to every task; a larger one is shuffled by its key.
+MOST_OPTION_BYTES = 32 << 20
 
 
 def with_group_options(
     df: DataFrame, options: DataFrame, keys: Sequence[str], option: str, separator: str = "\n", out: str = "options"
 ) -> DataFrame:
-    """Join every row to the distinct options of its category, as one text."""
-    return df.join(join_texts(options, keys, option, separator, out), list(keys), "left")
+    """Join every row to the distinct options of its category, as one text.
+
+    The lists are written first and their size is read off: small ones are broadcast, so the
+    rows stay where they are; large ones meet the rows in a shuffle.
+    """
+    lists = cut_lineage(join_texts(options, keys, option, separator, out))
+    size = lists.agg(F.sum(F.octet_length(out))).first()[0] or 0
+    return df.join(F.broadcast(lists) if size <= MOST_OPTION_BYTES else lists, list(keys), "left")
 
 
 def join_normalised(left: DataFrame, right: DataFrame, left_on: str, right_on: str, normalise=normalise_label) -> DataFrame:
@@ -78,31 +90,45 @@ def join_normalised(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     return left.withColumn("_key", normalise(F.col(left_on))).join(one, "_key", "left").drop("_key")
 
 
-# Fixed value: a prime stride, so index * stride visits every combination once.
-STRIDE = 2_654_435_761
-
-
-def sample_pairs(
-    left: DataFrame, right: DataFrame, left_order: Sequence[Column], right_order: Sequence[Column], seed: int
+def sample_combinations(
+    sides: Sequence[tuple[DataFrame, Sequence[Column]]], n: int, seed: int
 ) -> DataFrame:
-    """Distinct pseudo-random (left, right) pairs, as many as there are left rows.
+    """n distinct random combinations of one row from each side, all equally likely; the product is never formed.
 
-    Combination numbers are drawn without repeats and decoded into one position
-    on each side, so the product of the sides is never formed.
+    A side is a table and a total order of its rows. Combination numbers are drawn by hash and decoded
+    into one position per side. Beyond half of all combinations their numbers are ranked by hash instead,
+    which is then no more than twice the rows asked for.
     """
-    l = positions(left, left_order, "_l")
-    r = positions(right, right_order, "_r")
-    n_l = l.agg(F.count(F.lit(1))).scalar()
-    n_r = r.agg(F.count(F.lit(1))).scalar()
-    wide = "decimal(38,0)"
-    drawn = l.select(
-        F.pmod(
-            F.col("_l").cast(wide) * F.lit(STRIDE).cast(wide) + F.lit(seed).cast(wide),
-            (n_l * n_r).cast(wide),
-        ).cast("bigint").alias("_pick"),
-        n_r.alias("_width"),
-    ).select(
-        F.expr("_pick div _width").alias("_l"),
-        F.pmod("_pick", "_width").alias("_r"),
-    )
-    return drawn.join(l, "_l").join(r, "_r").drop("_l", "_r")
+    spark = sides[0][0].sparkSession
+    placed = [cut_lineage(positions(df, order, f"_at{i}")) for i, (df, order) in enumerate(sides)]
+    sizes = [p.count() for p in placed]
+    total = math.prod(sizes)
+    if n > total:
+        raise ValueError(f"at most {total} combinations can be made")
+    if 2 * n >= total:
+        numbers = spark.range(total).withColumnRenamed("id", "_pick")
+        picks = hash_head_flag(numbers, ["_pick"], seed, lambda _: F.lit(n), "_in").where("_in").drop("_in")
+    else:
+        draws = 2 * n + 64
+        while True:
+            drawn = spark.range(draws).select("id", (hashed_number(seed, "id") % F.lit(total)).alias("_pick"))
+            firsts = cut_lineage(drawn.groupBy("_pick").agg(F.min("id").alias("_drawn")))
+            if firsts.count() >= n:
+                break
+            draws *= 2
+        picks = top_rows(firsts, "_drawn", n).select("_pick")
+    out = picks
+    for i in reversed(range(len(placed))):
+        out = out.withColumn(f"_at{i}", F.expr(f"({_whole_division(sizes[i + 1:])}) % {sizes[i]}L"))
+    for i, side in enumerate(placed):
+        out = out.join(side, f"_at{i}").drop(f"_at{i}")
+    return out.drop("_pick")
+
+
+def _whole_division(sizes: Sequence[int]) -> str:
+    return "_pick" + "".join(f" div {size}L" for size in reversed(sizes))
+
+
+def top_rows(df: DataFrame, column: str, n: int) -> DataFrame:
+    """The n rows with the smallest values of a unique column, by sliced positions."""
+    return positions(df, [F.col(column).asc()], "_rank").where(F.col("_rank") < n).drop("_rank")

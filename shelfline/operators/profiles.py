@@ -6,28 +6,53 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.dates import as_date
 from shelfline.functions.maps import NUMBER, as_integer
 from shelfline.functions.paths import ancestor_paths
+from shelfline.operators.sampling import chosen_with_probability, sample_rows
 
-def column_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """For each text column: rows, nulls, rows readable as bool, int, float, date, and the
+
+def _readable(name: str, kind: T.DataType) -> dict[str, Column]:
+    """Tests of a column's values. The type answers for a typed column; each later test of a
+    text column runs only where the earlier ones failed."""
+    value = F.col(f"`{name}`")
+    filled, never = value.isNotNull(), F.lit(False)
+    if isinstance(kind, T.BooleanType):
+        return {"n_bool": filled, "n_int": never, "n_float": never, "n_date": never}
+    if isinstance(kind, T.IntegralType):
+        return {"n_bool": never, "n_int": filled, "n_float": filled, "n_date": never}
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return {"n_bool": never, "n_int": never, "n_float": filled & ~F.isnan(value) & (F.abs(value) < float("inf")), "n_date": never}
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return {"n_bool": never, "n_int": never, "n_float": never, "n_date": filled}
+    text = value.cast("string")
+    is_bool = F.lower(F.trim(text)).isin("true", "false")
+    is_float = F.when(is_bool, False).otherwise(text.rlike(NUMBER))
+    is_int = F.when(is_float, as_integer(text).isNotNull())
+    is_date = F.when(is_bool | is_float, False).otherwise(as_date(text).isNotNull())
+    return {"n_bool": is_bool, "n_int": is_int, "n_float": is_float, "n_date": is_date}
+
+
+def column_types(
+    df: DataFrame, columns: Sequence[str] | None = None, sample: int | float | None = None, keys: Sequence[str] = (), seed: int = 0
+) -> DataFrame:
+    """For each column: rows, nulls, rows readable as bool, int, float, date, and the
     narrowest type that fits all non-null rows.
 
-    One aggregate over one scan; its single row is turned into one row per column.
+    One aggregate over one scan; its single row is turned into one row per column. `sample` looks at
+    so many rows (int) or that share of them (float) instead of all, picked by the key columns.
     """
     columns = list(columns or df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    if isinstance(sample, float):
+        df = df.where(chosen_with_probability(list(keys) or columns, seed, sample))
+    elif sample is not None:
+        df = sample_rows(df, list(keys) or columns, seed, n=sample)
     figures = []
     for i, c in enumerate(columns):
-        text = F.col(c)
-        tests = {
-            "n_null": text.isNull(),
-            "n_bool": F.lower(F.trim(text)).isin("true", "false"),
-            "n_int": as_integer(text).isNotNull(),
-            "n_float": text.rlike(NUMBER),
-            "n_date": as_date(text).isNotNull(),
-        }
+        tests = {"n_null": F.col(f"`{c}`").isNull(), **_readable(c, kinds[c])}
         figures.append(
             F.struct(
                 F.lit(c).alias("column_name"),

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.plans.ordered import hash_head_flag, hash_rank
+from shelfline.plans.ordered import cut_lineage, hash_head_flag, hash_rank, positions
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], seed: int, n: int | None = None, fraction: float | None = None) -> DataFrame:
@@ -17,26 +17,61 @@ def sample_rows(df: DataFrame, keys: Sequence[str], seed: int, n: int | None = N
     return hash_head_flag(df, keys, seed, wanted, "_in").where("_in").drop("_in")
 
 
-def sample_with_replacement(df: DataFrame, keys: Sequence[str], seed: int, fraction: float) -> DataFrame:
-    """Poisson draw count per row from the row's own hash; the expected size is the fraction.
+# A larger expectation is drawn as a sum of independent parts of at most this size.
+POISSON_PART = 16.0
 
-    The cut-offs are those of the Poisson distribution, so a row repeats as
-    often as a draw with replacement would repeat it.
-    """
-    u = bucket_share(keys, seed)
-    draws, mass, total = F.lit(0), math.exp(-fraction), 0.0
-    for k in range(12):
+
+def _poisson_cuts(rate: float) -> list[float]:
+    """Cumulated Poisson masses up to the resolution of the 52-bit hash share."""
+    cuts, mass, total, k = [], math.exp(-rate), 0.0, 0
+    while 1.0 - total > 2.0**-53 and k < 40 + 10 * rate:
         total += mass
-        draws = draws + F.when(u > total, 1).otherwise(0)
-        mass = mass * fraction / (k + 1)
+        cuts.append(total)
+        k += 1
+        mass *= rate / k
+    return cuts
+
+
+def sample_with_replacement(
+    df: DataFrame, keys: Sequence[str], seed: int, fraction: float | None = None, n: int | None = None
+) -> DataFrame:
+    """Rows drawn with replacement, numbered by `draw`: exactly n draws, or as many as a fraction of the table.
+
+    With a fraction every row gets a Poisson draw count from its own hash, without a bound: the cut-offs
+    run on until what is left is finer than the hash. With n, draw i picks the row at a hashed
+    position in key order.
+    """
+    if n is not None:
+        return _n_draws(df, keys, seed, n)
+    parts = max(1, math.ceil(fraction / POISSON_PART))
+    cuts = F.array(*[F.lit(c) for c in _poisson_cuts(fraction / parts)])
+    draws = F.lit(0)
+    for part in range(parts):
+        u = bucket_share(keys, seed + part)
+        draws = draws + F.size(F.filter(cuts, lambda cut: cut < u))
     return df.withColumn("_draws", draws).withColumn(
         "draw", F.explode(F.when(F.col("_draws") > 0, F.sequence(F.lit(1), F.col("_draws"))))
     ).drop("_draws")
 
 
+def hashed_number(seed: int, counter: str) -> Column:
+    """A 60-bit number per counter value."""
+    return F.conv(F.substring(F.sha2(F.concat_ws("#", F.col(counter).cast("string"), F.lit(str(seed))), 256), 1, 15), 16, 10).cast("bigint")
+
+
+def _n_draws(df: DataFrame, keys: Sequence[str], seed: int, n: int) -> DataFrame:
+    placed = cut_lineage(positions(df, [F.col(k).asc() for k in keys], "_at"))
+    total = placed.count()
+    if not total:
+        return placed.drop("_at").withColumn("draw", F.lit(0))
+    picks = df.sparkSession.range(1, n + 1).withColumnRenamed("id", "draw")
+    picks = picks.select("draw", (hashed_number(seed, "draw") % F.lit(total)).alias("_at"))
+    return placed.join(picks, "_at").drop("_at")
+
+
 def bucket_share(keys: Sequence[str], seed: int) -> Column:
-    """Uniform number in [0, 1) from the first 32 bits of the row's hash."""
-    return F.conv(F.substring(hash_rank(keys, seed), 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
+    """Uniform number in [0, 1) from the first 52 bits of the row's hash."""
+    return F.conv(F.substring(hash_rank(keys, seed), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
 
 
 def chosen_with_probability(keys: Sequence[str], seed: int, p: float) -> Column:

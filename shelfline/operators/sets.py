@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.plans.ordered import positions, union_all
+from shelfline.plans.ordered import cut_lineage, positions, union_all
 
 
 def sorted_by(df: DataFrame, columns: Sequence[str], descending: bool = False) -> DataFrame:
@@ -23,12 +23,30 @@ def with_sorted_position(df: DataFrame, order: Sequence[Column], out: str = "pos
     return positions(df, order, out)
 
 
-def top_and_bottom(df: DataFrame, value: str, tiebreak: Sequence[str], k: int) -> DataFrame:
-    """k largest and k smallest values with their ids, each from a bounded heap per task."""
-    ties = [F.col(c).asc() for c in tiebreak]
-    largest = df.orderBy(F.col(value).desc(), *ties).limit(k).withColumn("side", F.lit("largest"))
-    smallest = df.orderBy(F.col(value).asc(), *ties).limit(k).withColumn("side", F.lit("smallest"))
-    return largest.unionByName(smallest)
+def k_extremes(df: DataFrame, value: str, tiebreak: Sequence[str], k: int, how: str = "max", ascending: bool | None = None) -> DataFrame:
+    """The k largest (`max`) or smallest (`min`) values from a bounded heap per task, with their `place`.
+
+    By default the most extreme value comes first; `ascending` sorts the k rows the other way. Null values
+    are not extremes.
+    """
+    if how not in ("max", "min"):
+        raise ValueError(f"unknown side: {how}")
+    first = F.col(value).desc() if how == "max" else F.col(value).asc()
+    best = df.where(F.col(value).isNotNull()).orderBy(first, *[F.col(c).asc() for c in tiebreak]).limit(k)
+    rising = ascending if ascending is not None else how == "min"
+    shown = F.col(value).asc() if rising else F.col(value).desc()
+    # k rows
+    order = Window.partitionBy(F.lit(0)).orderBy(shown, *[F.col(c).asc() for c in tiebreak])
+    return best.withColumn("place", F.row_number().over(order) - 1)
+
+
+def top_and_bottom(
+    df: DataFrame, value: str, tiebreak: Sequence[str], k: int, position: Sequence[Column] = (), ascending: bool | None = None
+) -> DataFrame:
+    """k largest and k smallest values with their ids and, given an order of the table, their 0-based position in it."""
+    rows = cut_lineage(positions(df, position, "position")) if position else df
+    sides = {"largest": "max", "smallest": "min"}
+    return append(*[k_extremes(rows, value, tiebreak, k, how, ascending).withColumn("side", F.lit(side)) for side, how in sides.items()])
 
 
 def append(*frames: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ in whole periods of `STEP` days counted from a fixed Monday.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -14,8 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.aggregates import keys_present
-from shelfline.plans.ordered import exact_quantiles, quantile_name, union_all
+from shelfline.operators.aggregates import with_group_total
+from shelfline.plans.ordered import exact_quantiles, keys_present, quantile_name, union_all
 
 STEP = 7
 ORIGIN = "1990-01-01"  # a Monday
@@ -79,13 +80,6 @@ def min_history(df: DataFrame, keys: Sequence[str], y: str, n: int) -> DataFrame
     return df.join(long, list(keys), "left_semi")
 
 
-# Holidays that fall on the same day every year, by country.
-FIXED_HOLIDAYS = {
-    "IN": {"01-26": "Republic Day", "08-15": "Independence Day", "10-02": "Gandhi Jayanti", "12-25": "Christmas"},
-    "US": {"01-01": "New Year's Day", "07-04": "Independence Day", "11-11": "Veterans Day", "12-25": "Christmas Day"},
-}
-
-
 def join_holiday_table(df: DataFrame, holidays: DataFrame, at: str) -> DataFrame:
     """Holiday name and flag of each date from a calendar table (date, name); several names
     on a day become one."""
@@ -93,26 +87,17 @@ def join_holiday_table(df: DataFrame, holidays: DataFrame, at: str) -> DataFrame
     return df.join(one, at, "left").withColumn("is_holiday", F.col("holiday").isNotNull())
 
 
-def holiday_calendar(dates: DataFrame, at: str, country: str) -> DataFrame:
-    """Calendar table (date, name) for the years that occur in a column."""
-    years = dates.select(F.year(at).alias("y")).distinct()
-    days = F.array(
-        *[
-            F.struct(
-                F.make_date("y", F.lit(int(md[:2])), F.lit(int(md[3:]))).alias("date"), F.lit(name).alias("name")
-            )
-            for md, name in FIXED_HOLIDAYS[country].items()
-        ]
-    )
-    return years.select(F.inline(days))
+def line(y: Column, x: Column) -> list[Column]:
+    """Least-squares slope and intercept as aggregates; a level line where there is one period only."""
+    return [
+        F.coalesce(F.regr_slope(y, x), F.when(F.count(y) > 0, 0.0)).alias("slope"),
+        F.coalesce(F.regr_intercept(y, x), F.avg(y)).alias("intercept"),
+    ]
 
 
 def fit_trend(df: DataFrame, keys: Sequence[str], at: str, y: str) -> DataFrame:
     """Least-squares line per item as one aggregate."""
-    x = period_number(at)
-    return df.groupBy(*keys).agg(
-        F.regr_slope(F.col(y), x).alias("slope"), F.regr_intercept(F.col(y), x).alias("intercept")
-    )
+    return df.groupBy(*keys).agg(*line(F.col(y), period_number(at)))
 
 
 def trend_at(at: str | Column) -> Column:
@@ -140,53 +125,79 @@ def forecast_seasonal_naive(df: DataFrame, keys: Sequence[str], at: str, y: str,
     )
 
 
-def _design(periods: np.ndarray, start: float, span: float, order: int, extra: np.ndarray) -> np.ndarray:
-    t = (periods - start) / span
-    columns = [np.ones_like(t), t]
-    for k in range(1, order + 1):
-        angle = 2 * np.pi * k * periods / 52.18
-        columns += [np.sin(angle), np.cos(angle)]
-    return np.column_stack([*columns, extra]) if extra.shape[1] else np.column_stack(columns)
+SEASON = 52.18  # periods of a year in the wave terms
+SPAN = 520.0  # periods that count as one unit of trend
 
 
-def forecast_additive(
+def _terms(at: str | Column, order: int, regressors: Sequence[str]) -> list[Column]:
+    """Intercept, trend, yearly sine and cosine waves and the regressors of a date, as columns."""
+    t = period_number(at).cast("double")
+    waves = [f(t * (2 * math.pi * k / SEASON)) for k in range(1, order + 1) for f in (F.sin, F.cos)]
+    given = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in regressors]
+    return [F.lit(1.0), (t - F.lit(3 * SPAN)) / F.lit(SPAN), *waves, *given]
+
+
+def _dot(weights: Column, terms: Sequence[Column]) -> Column:
+    total = F.get(weights, F.lit(0)) * terms[0]
+    for i, term in enumerate(terms[1:], 1):
+        total = total + F.get(weights, F.lit(i)) * term
+    return total
+
+
+def fit_additive(
     df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3
 ) -> DataFrame:
-    """Trend plus yearly Fourier terms per item with a 95 % interval.
+    """Per item: n, the ridge weights of trend, waves and regressors, the residual spread, and
+    `gradient`, the largest remainder of the normal equations relative to their right side.
 
-    Rows with a target are fitted, rows without one are forecast; regressors
-    (holiday flags, encoded columns) must be set on both. A group holds one
-    item's periods, so its size is bounded by the calendar.
+    The normal equations are sums over the rows, added up by one built-in aggregate per item;
+    only the small solve of each item is numpy. An item without a target has null weights.
     """
-    extra = list(regressors)
-    frame = df.select(
-        F.col(item).cast("string").alias("item"), F.col(at).alias("at"), period_number(at).cast("double").alias("period"),
-        F.col(y).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in extra],
+    terms = _terms(at, order, regressors)
+    width = len(terms)
+    target = F.col(y).cast("double")
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    sums = df.where(target.isNotNull()).groupBy(F.col(item).alias("item")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(target * target).alias("_yy"),
+        F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("_xx"), F.array(*[F.sum(t * target) for t in terms]).alias("_xy"),
     )
 
-    def fit_predict(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("period")
-        known = pdf["y"].notna().to_numpy()
-        out = pdf.loc[~known, ["item", "at"]].copy()
-        n = int(known.sum())
-        if n == 0 or out.empty:
-            return out.assign(yhat=np.nan, yhat_lower=np.nan, yhat_upper=np.nan)
-        periods, target = pdf["period"].to_numpy(), pdf["y"].to_numpy()[known]
-        start = periods[known][0]
-        span = max(periods[known][-1] - start, 1.0)
-        waves = min(order, max((n - 2) // 4, 0))
-        x = _design(periods, start, span, waves, pdf[extra].fillna(0.0).to_numpy())
-        xk = x[known]
-        penalty = ridge * np.eye(x.shape[1])
+    @F.pandas_udf("weights array<double>, sigma double, gradient double")
+    def solve(n: pd.Series, yy: pd.Series, xx: pd.Series, xy: pd.Series) -> pd.DataFrame:
+        penalty = ridge * np.eye(width)
         penalty[0, 0] = 0.0
-        weights = np.linalg.lstsq(xk.T @ xk + penalty, xk.T @ target, rcond=None)[0]
-        rest = target - xk @ weights
-        half = 1.96 * (np.sqrt(rest @ rest / max(n - x.shape[1], 1)))
-        yhat = x[~known] @ weights
-        return out.assign(yhat=yhat, yhat_lower=yhat - half, yhat_upper=yhat + half)
+        out = []
+        for count, square, upper, right in zip(n, yy, xx, xy):
+            gram = np.zeros((width, width))
+            for (i, j), value in zip(pairs, upper):
+                gram[i, j] = gram[j, i] = value
+            right = np.asarray(right, float)
+            weights = np.linalg.lstsq(gram + penalty, right, rcond=None)[0]
+            rest = max(square - 2 * weights @ right + weights @ gram @ weights, 0.0)
+            left = (gram + penalty) @ weights - right
+            out.append((weights.tolist(), math.sqrt(rest / max(count - width, 1)), float(np.abs(left).max() / max(np.abs(right).max(), 1.0))))
+        return pd.DataFrame(out, columns=["weights", "sigma", "gradient"])
+
+    return sums.select("item", "n", solve("n", "_yy", "_xx", "_xy").alias("fit")).select("item", "n", "fit.*")
 
-    schema = "item string, at date, yhat double, yhat_lower double, yhat_upper double"
-    return frame.groupBy("item").applyInPandas(fit_predict, schema).withColumnRenamed("at", at)
+
+def forecast_additive(
+    df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3
+) -> DataFrame:
+    """Trend plus yearly waves per item with a 95 % interval.
+
+    Rows with a target are fitted, rows without one are forecast; regressors (holiday flags, encoded
+    columns) must be set on both. The order asked for is used whatever the length of the history; the
+    ridge keeps short ones tame. An item without any target has a null forecast.
+    """
+    fit = fit_additive(df, item, at, y, order, regressors, ridge)
+    coming = df.where(F.col(y).isNull()).withColumnRenamed(item, "item")
+    yhat = _dot(F.col("weights"), _terms(at, order, regressors))
+    half = 1.96 * F.col("sigma")
+    return (
+        coming.join(fit, "item", "left").withColumn("yhat", yhat)
+        .select(F.col("item").cast("string").alias("item"), at, "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
+    )
 
 
 def forecast_quantiles(
@@ -206,16 +217,16 @@ def backtest(
 ) -> DataFrame:
     """Hold-out forecasts of the trend and the seasonal model for several cut-offs.
 
-    The last `windows` stretches of `horizon` periods are forecast, each from
-    the periods before it. A row is repeated once per cut-off it serves.
+    The last `windows` stretches of `horizon` periods of each item are forecast, counted from the
+    item's own last period, each from the periods before it. A row is repeated once per cut-off it serves.
     """
-    placed = df.withColumn("_p", period_number(at)).withColumn("_last", period_number(df.agg(F.max(at)).scalar()))
+    placed = with_group_total(df.withColumn("_p", period_number(at)), keys, _last=F.max(period_number(at)))
     cutoffs = F.array(*[F.col("_last") - F.lit(horizon * w) for w in range(1, windows + 1)])
     rows = placed.withColumn("_cut", F.explode(cutoffs))
     trend = (
         rows.where(F.col("_p") <= F.col("_cut"))
         .groupBy(*keys, "_cut")
-        .agg(F.regr_slope(F.col(y), F.col("_p")).alias("slope"), F.regr_intercept(F.col(y), F.col("_p")).alias("intercept"))
+        .agg(*line(F.col(y), F.col("_p")))
     )
     held = rows.where((F.col("_p") > F.col("_cut")) & (F.col("_p") <= F.col("_cut") + horizon))
     ago = df.select(*keys, (period_number(at) + YEAR).alias("_p"), F.col(y).alias("_ago"))
@@ -276,10 +287,16 @@ def unlog_target(y_log: Column) -> Column:
 def ensemble_blend(
     candidates: Mapping[str, DataFrame], errors: DataFrame, keys: Sequence[str], at: str, floor: float = 1e-6
 ) -> DataFrame:
-    """Weighted mean of the candidate forecasts, weights the inverse of each model's error."""
+    """Weighted mean of the candidate forecasts, weights the inverse of each model's error.
+
+    A model without a known error counts with the mean error of the item's other models; where none
+    is known all weigh the same. No item is dropped.
+    """
     named = union_all(
         [f.select(*keys, at, "yhat", F.lit(name).alias("model")) for name, f in candidates.items()]
     ).where(F.col("yhat").isNotNull())
-    weight = 1 / F.greatest(F.col("error"), F.lit(floor))
-    weighted = named.join(errors, [*keys, "model"]).withColumn("_w", weight)
+    usual = errors.groupBy(*keys).agg(F.avg("error").alias("_usual"))
+    known = F.coalesce("error", "_usual", F.lit(1.0))
+    weighted = named.join(errors, [*keys, "model"], "left").join(usual, list(keys), "left").withColumn(
+        "_w", 1 / F.greatest(known, F.lit(floor)))
     return weighted.groupBy(*keys, at).agg((F.sum(F.col("_w") * F.col("yhat")) / F.sum("_w")).alias("yhat"))

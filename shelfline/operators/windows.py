@@ -9,26 +9,23 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.columns import stream_weight
 from shelfline.operators.filters import share_band
-from shelfline.plans.ordered import positions, running_sum
-
-
-# Above this rank Spark no longer limits groups ahead of the shuffle (its default setting).
-GROUP_LIMIT = 1000
+from shelfline.plans.ordered import keys_present, positions, running_sum
 
 
 def top_per_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, out: str = "rank"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, out: str = "rank", sliced: bool = False
 ) -> DataFrame:
-    """First k rows of each group (k rows, rank from 1).
+    """First k rows of each group (k rows, rank from 1). Null keys form no group.
 
-    The rank filter sits right on the window, so each task keeps k rows per
-    group before the shuffle and a hot group never travels whole. For a large k
-    the rank comes from the sliced positions instead.
+    The rank filter sits right on the window, so each task keeps k rows per group before the
+    shuffle and a hot group never travels whole; Spark does so up to
+    `spark.sql.optimizer.windowGroupLimitThreshold`. `sliced` ranks by sliced positions instead,
+    for a k that is not small beside the group.
     """
-    if k > GROUP_LIMIT:
+    if sliced:
         placed = positions(df, order, out, keys)
         return placed.where(F.col(out) < k).withColumn(out, (F.col(out) + 1).cast("int"))
-    ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    ranked = keys_present(df, keys).withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(out) <= k)
 
 

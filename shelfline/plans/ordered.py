@@ -12,12 +12,16 @@ total, so callers always pass a tiebreak column.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.session import scratch_path
+from shelfline.session import scratch_path, scratch_table
 
 SLICE = "_slice"
 LINE = "_line"
@@ -30,6 +34,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     branches read just the columns they use, and the planner knows the true
     size of what it joins.
     """
+    table = scratch_table()
+    if table:  # dropped with its scope
+        df.write.format("parquet").saveAsTable(table)
+        return df.sparkSession.table(table)
     path = scratch_path(df.sparkSession, "rows")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -42,11 +50,51 @@ def keys_present(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def order_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _sums_in_slice(keys: Sequence[str], value: str, out: str, kind: str):
+    """Running sum per group over rows that arrive in order, one batch after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            group = [batch.column(k) for k in keys]
+            values = pc.fill_null(batch.column(value), 0).to_numpy(zero_copy_only=False).astype(kind)
+            changes = np.zeros(n, bool)
+            for column in group:
+                changes[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            if [c[0].as_py() for c in group] == last:
+                values[0] += total
+            borders = [0, *np.flatnonzero(changes).tolist(), n]
+            sums = np.concatenate([np.cumsum(values[a:b]) for a, b in zip(borders[:-1], borders[1:])])
+            last, total = [c[n - 1].as_py() for c in group], sums[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums)], [*batch.schema.names, out])
+
+    return run
+
+
+def _summable(df: DataFrame, keys: Sequence[str], value: str) -> str | None:
+    """The numpy kind in which a value is summed in the order pass, if it can be."""
+    plain = (T.StringType, T.IntegralType, T.BooleanType, T.DateType, T.TimestampType)
+    if not all(isinstance(df.schema[k].dataType, plain) for k in keys):
+        return None
+    kind = df.schema[value].dataType
+    return "float64" if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else (
+        "int64" if isinstance(kind, T.IntegralType) else None)
+
+
+def order_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str | None = None, out: str = "_in_slice"
+) -> DataFrame:
     """Rows in (keys, order) order, tagged with a slice number and an increasing line number.
 
     The range borders come from a sample, so two runs may cut differently; the
-    tagged rows are therefore written once and read by every later branch.
+    tagged rows are therefore written once and read by every later branch. An input that is costly
+    and ends in no shuffle is run twice for the sample: settle it with `cut_lineage` first.
+
+    With a value, its running sum inside the slice is added while the rows pass in order; they
+    need no second shuffle or sort for it.
     """
     ordering = [F.col(k).asc() for k in keys] + list(order)
     tagged = (
@@ -55,7 +103,14 @@ def order_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(LINE, F.monotonically_increasing_id())
     )
-    return cut_lineage(tagged)
+    if value is None:
+        return cut_lineage(tagged)
+    kind = _summable(df, keys, value)
+    if kind is None:  # decimals and composite keys: by a window over each slice
+        w = Window.partitionBy(*keys, SLICE).orderBy(LINE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return cut_lineage(tagged.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0))))
+    summed = T.StructType([*tagged.schema.fields, T.StructField(out, T.DoubleType() if kind == "float64" else T.LongType())])
+    return cut_lineage(tagged.mapInArrow(_sums_in_slice(list(keys), value, out, kind), summed))
 
 
 def _before(totals: DataFrame, keys: Sequence[str], part: str, out: str) -> DataFrame:
@@ -86,23 +141,18 @@ def running_sum(
     They are added up from the slice totals, so they cost no further pass.
     """
     extra = dict(group_totals or {})
-    sliced = order_slices(keys_present(df, keys), keys, order)
+    sliced = order_slices(keys_present(df, keys), keys, order, value)
     per_slice = sliced.groupBy(*keys, SLICE).agg(
         F.coalesce(F.sum(value), F.lit(0)).alias("_part"), *[a.alias(n) for n, a in extra.items()]
     )
     totals = _before(per_slice, keys, "_part", "_before").drop("_part")
     whole = Window.partitionBy(*(keys or [F.lit(0)]))
     totals = totals.withColumns({n: F.sum(n).over(whole) for n in extra})
-    w = (
-        Window.partitionBy(*keys, SLICE)
-        .orderBy(LINE)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    total = F.col("_before") + F.coalesce(F.sum(value).over(w), F.lit(0))
+    total = F.col("_before") + F.col("_in_slice")
     return (
         _join_slices(sliced, totals, keys)
         .withColumn(out, F.when(F.col(value).isNotNull(), total))
-        .drop(SLICE, LINE, "_before")
+        .drop(SLICE, LINE, "_before", "_in_slice")
     )
 
 
@@ -126,14 +176,14 @@ def quantile_name(q: float) -> str:
     return f"p{round(q * 100):02d}"
 
 
-def ranked_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def ranked_values(df: DataFrame, keys: Sequence[str], value: str, **extra: Column) -> DataFrame:
     """Distinct non-null values per group with their count `_n`, the rows up to them `_upto`,
-    and the group's row count `_size` and value sum `_sum`.
+    and the group's row count `_size` and value sum `_sum`; `extra` adds aggregates per value.
 
     Rows are counted per distinct value first, so repeated values never travel.
     """
     present = keys_present(df, keys).where(F.col(value).isNotNull())
-    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"), *[a.alias(n) for n, a in extra.items()])
     sums = {"_size": F.sum("_n"), "_sum": F.sum(F.col(value).cast("double") * F.col("_n"))}
     return running_sum(counts, keys, [F.col(value).asc()], "_n", "_upto", sums)
 
@@ -168,41 +218,39 @@ def hash_rank(key_cols: Sequence[str], seed: int) -> Column:
     return F.sha2(F.concat_ws("#", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))), 256)
 
 
+# Hash digits by which a bucket is split per step (65,536 ways), and the bucket size that is ranked at last.
+DIGITS = 4
+RANKED_ROWS = 10_000
+
+
 def hash_head_flag(
     df: DataFrame, key_cols: Sequence[str], seed: int, wanted: Callable[[Column], Column], out: str
 ) -> DataFrame:
     """Flag the first `wanted(total)` rows in hash order, without sorting the table.
 
-    The key must identify a row. Rows are counted per hash prefix (65,536 buckets
-    of equal expected size); only the bucket that holds the cut is ranked, which
-    gives the last hash taken. The table itself is then compared with that hash
-    in a plain scan; both earlier passes read the key columns only.
+    The key must identify a row. The hashes are written once; rows are counted per hash prefix, and
+    the bucket that holds the cut is split by further digits until it is small enough to rank, so
+    no step grows beyond 65,536 counts or `RANKED_ROWS` hashes. The table is then compared with
+    the last hash taken in a plain scan. The input runs twice: settle a costly one first.
     """
-    hashes = df.select(hash_rank(key_cols, seed).alias("_hash")).withColumn("_bucket", F.substring("_hash", 1, 4))
-    sizes = hashes.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # at most 65,536 rows
-    ordered = Window.partitionBy(F.lit(0)).orderBy("_bucket")
-    walk = sizes.select(
-        "_bucket", "_n",
-        (F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_below"),
-        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"),
-    )
-    missing = wanted(F.col("_total")) - F.col("_below")
-    # the last bucket that starts below the cut; a cut of 0 leaves none
-    edge = (
-        walk.withColumn("_take", F.least(missing, F.col("_n")))
-        .where(F.col("_take") > 0)
-        .agg(F.max("_bucket").alias("_bucket"), F.max_by("_take", "_bucket").alias("_take"))
-    )
-    in_edge = Window.partitionBy("_bucket").orderBy("_hash")
-    last = (
-        hashes.join(edge, "_bucket")
-        .withColumn("_rn", F.row_number().over(in_edge))
-        .where(F.col("_rn") == F.col("_take"))
-        .agg(F.max("_hash"))
-        .scalar()
-    )
-    return df.withColumn(out, F.coalesce(hash_rank(key_cols, seed) <= last, F.lit(False)))
+    spark = df.sparkSession
+    hashes = cut_lineage(df.select(hash_rank(key_cols, seed).alias("_hash")))
+    total = hashes.count()
+    missing = spark.range(1).select(wanted(F.lit(total)).cast("bigint")).first()[0]
+    if missing <= 0:
+        return df.withColumn(out, F.lit(False))
+    if missing >= total:
+        return df.withColumn(out, F.lit(True))
+    prefix, inside = "", total
+    while inside > RANKED_ROWS and len(prefix) < 64:
+        bucket = F.substring("_hash", 1, len(prefix) + DIGITS).alias("_bucket")
+        sizes = hashes.where(F.col("_hash").startswith(prefix)).groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+        edge = sizes.withColumn("_upto", upto).where(F.col("_upto") >= missing).orderBy("_bucket").first()
+        prefix, inside, missing = edge["_bucket"], edge["_n"], missing - (edge["_upto"] - edge["_n"])
+    head = hashes.where(F.col("_hash").startswith(prefix)).orderBy("_hash").limit(missing)
+    last = head.agg(F.max("_hash")).first()[0]
+    return df.withColumn(out, hash_rank(key_cols, seed) <= F.lit(last))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -29,19 +32,12 @@ def build_session(app: str = "shelfline", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-# Settings the operators rely on that a running session still accepts.
-RUNTIME = ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
-           "spark.sql.adaptive.forceOptimizeSkewedJoin")
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    for key in RUNTIME:
-        spark.conf.set(key, SETTINGS[key])
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach; a machine-local one only in local mode."""
+    """The folder every executor can reach: `spark.checkpoint.dir`.
+
+    Only a local session, whose executors are this machine, may go without the setting; it gets
+    a temporary folder.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -57,6 +53,35 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_scope: ContextVar[tuple[str, str] | None] = ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are dropped at the end, failed or not.
+
+    They are tables of a database of their own whose folder lies in the shared one. Results must
+    be written or collected before the scope ends.
+    """
+    name = f"scratch_{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    before = _scope.set((name, folder))
+    try:
+        yield
+    finally:
+        _scope.reset(before)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def scratch_table() -> str | None:
+    """A fresh table name in the current scope, if there is one."""
+    scope = _scope.get()
+    return f"{scope[0]}.t_{uuid.uuid4().hex}" if scope else None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table; never reused, so nothing is overwritten."""
-    return f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
+    """A fresh path for written files; never reused, so nothing is overwritten."""
+    scope = _scope.get()
+    folder = scope[1] if scope else shared_dir(spark).rstrip("/")
+    return f"{folder}/scratch-{uuid.uuid4().hex}/{name}"

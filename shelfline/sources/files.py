@@ -2,37 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfline.plans.ordered import cut_lineage
 
 
 def read_folder(
-    spark: SparkSession, folder: str, name_glob: str = "*.parquet", recursive: bool = False, provenance: bool = True
+    spark: SparkSession, folder: str, name_glob: str = "*.parquet", recursive: bool = False, provenance: bool = True,
+    schema: str | T.StructType | None = None, merge_schemas: bool = False,
 ) -> DataFrame:
-    """All parquet files of a folder as one table; columns missing in a file are null.
+    """All parquet files of a folder as one table; columns of the schema missing in a file are null.
 
-    The file name rides along from the scan's metadata, so a per-file rule can
-    use it as a group key.
+    Declare the schema where files differ. Without one the first file's counts, or, with
+    `merge_schemas`, that of all files, for which every footer is read. The file name rides along from
+    the scan's metadata, so a per-file rule can use it as a group key.
     """
-    df = (
-        spark.read.option("pathGlobFilter", name_glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("mergeSchema", "true")
-        .parquet(folder)
-    )
+    reader = spark.read.option("pathGlobFilter", name_glob).option("recursiveFileLookup", str(recursive).lower())
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", str(merge_schemas).lower())
+    df = reader.parquet(folder)
     return df.select("*", F.col("_metadata.file_name").alias("file_name")) if provenance else df
 
 
 def read_reused(spark: SparkSession, path_glob: str, *columns: str) -> DataFrame:
-    """The named columns of a glob, kept for several uses; blocks that do not fit go to disk."""
-    return spark.read.parquet(path_glob).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    """The named columns of a glob as one written table, for several uses."""
+    return cut_lineage(spark.read.parquet(path_glob).select(*columns))
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", drop: tuple[str, ...] = ()) -> DataFrame:
-    """Header CSV/TSV with a declared schema; quoted cells may hold line ends and quotes."""
+def read_delimited(
+    spark: SparkSession, path: str, schema: str, sep: str = ",", drop: tuple[str, ...] = (), line_ends_in_cells: bool = False
+) -> DataFrame:
+    """Header CSV/TSV with a declared schema; quoted cells may hold quotes and separators.
+
+    Files are split over tasks by line. Only where quoted cells hold line ends must a file be read
+    whole by one task: say so with `line_ends_in_cells`.
+    """
     reader = spark.read.schema(schema).options(
-        header="true", sep=sep, multiLine="true", quote='"', escape='"', nullValue="\\N", emptyValue=""
+        header="true", sep=sep, multiLine=str(line_ends_in_cells).lower(), quote='"', escape='"', nullValue="\\N", emptyValue=""
     )
     return reader.csv(path).drop(*drop)
 
@@ -61,10 +68,11 @@ def file_inventory(
     return files.where(~F.col("file_name").isin(*ignore)) if ignore else files
 
 
-def whole_texts(spark: SparkSession, folder: str, name_glob: str = "*.txt") -> DataFrame:
-    """One row per file."""
+def whole_texts(spark: SparkSession, folder: str, name_glob: str = "*.txt", separator: str | None = None) -> DataFrame:
+    """One row per file or, with a separator, per document of a file. The last line end of a file is the writer's."""
     texts = spark.read.option("pathGlobFilter", name_glob).text(folder, wholetext=True)
-    return texts.select(F.col("value").alias("text"), F.col("_metadata.file_name").alias("file_name"))
+    whole = texts.select(F.regexp_replace("value", r"\n\z", "").alias("text"), F.col("_metadata.file_name").alias("file_name"))
+    return whole if separator is None else whole.withColumn("text", F.explode(F.split("text", separator, -1)))
 
 
 def json_documents(spark: SparkSession, folder: str, schema: str, name_glob: str = "*.json") -> DataFrame:

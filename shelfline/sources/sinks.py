@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.operators.columns import all_strings
+from shelfline.plans.ordered import cut_lineage
+from shelfline.session import scratch_path
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -32,27 +34,16 @@ def write_as_strings(df: DataFrame, path: str) -> None:
     write_parquet(all_strings(df), path)
 
 
-def _rename(spark: SparkSession, source: str, target: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(src)) and bool(fs.rename(src, dst))
-
-
 def replace_in_place(df: DataFrame, path: str) -> str:
-    """Replace the table a frame was read from.
+    """Replace the table a frame was read from; returns where the new rows are staged.
 
-    The new rows are complete beside the old ones before the folders are
-    swapped, and the old folder is kept under the returned name.
+    They are written completely to the shared scratch folder first, so nothing is read from the path while
+    it is overwritten, and a write that breaks off can be repeated from there.
     """
-    mark = uuid.uuid4().hex
-    staged, old = f"{path}.staged-{mark}", f"{path}.old-{mark}"
+    staged = scratch_path(df.sparkSession, "staged")
     write_parquet(df, staged)
-    if not _rename(df.sparkSession, path, old):
-        raise RuntimeError(f"cannot set {path} aside; new rows are in {staged}")
-    if not _rename(df.sparkSession, staged, path):
-        raise RuntimeError(f"cannot publish {staged}; old rows are in {old}")
-    return old
+    write_parquet(df.sparkSession.read.schema(df.schema).parquet(staged), path)
+    return staged
 
 
 def write_by_channel(df: DataFrame, path: str, channel: str) -> None:
@@ -75,37 +66,48 @@ def write_whole_series(df: DataFrame, path: str, item: str, order: Sequence[Colu
     df.repartition(shards, item).sortWithinPartitions(item, *order).write.mode("overwrite").parquet(path)
 
 
-def write_by_group(df: DataFrame, path: str, group: str, rounds: int = 4) -> None:
-    """Write groups in rounds; a restart skips the groups already recorded as done.
+def write_by_group(
+    df: DataFrame, path: str, group: str, work: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 4
+) -> None:
+    """Work on groups in rounds and write each round's rows; a restart skips the groups recorded as done.
 
-    A round that broke off is written again whole (its folders are replaced),
-    then recorded. The rounds are hash ranges of the group key, not a loop over
-    the groups.
+    `work` is the costly step, say a model call. The input is filtered by round and by the recorded groups
+    before it, so it sees every row once, however many rounds there are, and none of a finished group. A
+    round that broke off is worked on again whole (its folders are replaced). A group is done when its
+    round is written, also if `work` left no row of it. Rounds are hash ranges of the group key. Null groups
+    are a group. The input itself is read once.
     """
     spark = df.sparkSession
     done_path = f"{path.rstrip('/')}-done"
+    recorded = T.StructType([T.StructField(group, df.schema[group].dataType)])
+    # an empty record makes the folder readable from the start
+    spark.createDataFrame([], recorded).write.mode("append").parquet(done_path)
+    rows = cut_lineage(df) if rounds > 1 else df
     for i in range(rounds):
-        part = df.where(F.pmod(F.xxhash64(group), F.lit(rounds)) == i)
-        if _exists(spark, done_path):
-            part = part.join(spark.read.parquet(done_path), group, "left_anti")
-        part.hint("rebalance", group).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(group).parquet(path)
-        # the written folders name the groups: the rows are not worked out again
-        if _exists(spark, path):
-            landed = spark.read.parquet(path).select(group).distinct()
-            mine = landed.where(F.pmod(F.xxhash64(group), F.lit(rounds)) == i)
-            mine.write.mode("append").parquet(done_path)
+        done = cut_lineage(spark.read.schema(recorded).parquet(done_path).distinct())
+        mine = rows.where(F.pmod(F.xxhash64(group), F.lit(rounds)) == i)
+        part = mine.join(done.withColumnRenamed(group, "_done"), F.col(group).eqNullSafe(F.col("_done")), "left_anti")
+        groups = cut_lineage(part.select(group).distinct())
+        made = work(part) if work else part
+        made.hint("rebalance", group).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(group).parquet(path)
+        groups.write.mode("append").parquet(done_path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
+# Between the documents of one text file.
+RECORD_MARK = "\u001e"
 
 
-def write_documents(df: DataFrame, path: str, kind: str = "text") -> None:
-    """One file per row: its only text column, or the row as a JSON document.
+def write_documents(df: DataFrame, path: str, kind: str = "text", per_file: int = 10_000) -> None:
+    """Whole documents in a bounded number of files, about `per_file` in each.
 
-    Rows are spread by hash first; one task would create its files one by one.
+    `text`: the only text column, documents of a file separated by `RECORD_MARK`; `json`: an array of the
+    rows as documents. Rows go to files by a hash of their content.
     """
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(*df.columns))
-    writer = spread.write.mode("overwrite").option("maxRecordsPerFile", 1)
-    writer.text(path) if kind == "text" else writer.json(path)
+    files = max(1, -(-df.count() // per_file))
+    bucketed = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("_file"), F.struct("*").alias("_row"))
+    gathered = bucketed.groupBy("_file").agg(F.collect_list("_row").alias("_rows")).repartition(files, "_file")
+    if kind == "text":
+        body = F.array_join(F.transform("_rows", lambda r: r[df.columns[0]]), RECORD_MARK)
+        gathered.select(body).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    else:
+        gathered.select(F.to_json("_rows")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)

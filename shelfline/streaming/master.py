@@ -14,6 +14,15 @@ from shelfline.plans.ordered import cut_lineage
 BATCH = "batch_id"
 
 
+def in_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is (semi) or is not (anti) in the other table; nulls are equal."""
+    named = other.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return df.join(named, condition, how)
+
+
 def merge_batch(batch: DataFrame, batch_id: int, master: str, keys: Sequence[str], schema: T.StructType) -> None:
     """Write the rows of one micro-batch whose key is not in the master yet.
 
@@ -30,8 +39,9 @@ def merge_batch(batch: DataFrame, batch_id: int, master: str, keys: Sequence[str
         fresh = cut_lineage(fresh)
         stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
         earlier = spark.read.schema(stored).parquet(master).where(F.col(BATCH) < batch_id).select(*keys)
-        seen = earlier.join(fresh.select(*keys), list(keys), "left_semi").distinct()
-        fresh = fresh.join(seen, list(keys), "left_anti")
+        # a null key part meets a null one, else a redelivered row would be stored twice
+        seen = in_keys(earlier, fresh, keys).distinct()
+        fresh = in_keys(fresh, seen, keys, "left_anti")
     fresh.write.mode("overwrite").parquet(f"{master.rstrip('/')}/{BATCH}={batch_id}")
 
 

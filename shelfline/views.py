@@ -152,7 +152,7 @@ def taxonomy(t: Tables) -> DataFrame:
         leaves.select(F.explode(levels).alias("n"))
         .select(F.concat(F.lit("["), "n.p", F.lit("]")).alias("path"), F.col("n.leaf").alias("is_leaf"))
         .distinct()
-        .select("path", F.upper(F.substring(F.md5("path"), 1, 10)).alias("node_key"), "is_leaf")
+        .select("path", F.upper(F.md5("path")).alias("node_key"), "is_leaf")
     )
 
 
@@ -163,7 +163,7 @@ nodes AS (
   SELECT '[World, ' || r_name || ']' AS path, false AS is_leaf FROM leafs
   UNION SELECT '[World, ' || r_name || ', ' || n_name || ']', false FROM leafs
   UNION SELECT '[World, ' || r_name || ', ' || n_name || ', ' || c_mktsegment || ']', true FROM leafs),
-taxo AS (SELECT path, upper(substr(md5(path), 1, 10)) AS node_key, is_leaf FROM nodes)"""
+taxo AS (SELECT path, upper(md5(path)) AS node_key, is_leaf FROM nodes)"""
 
 
 def items_to_classify(t: Tables) -> DataFrame:

@@ -11,6 +11,7 @@ import duckdb
 
 sys.path.insert(0, "/root/repo")
 from shelfline.catalog import SQL, runnable  # noqa: E402
+from shelfline.session import scratch_scope  # noqa: E402
 from shelfline.views import NAMES  # noqa: E402
 
 
@@ -48,8 +49,9 @@ FAMILY = {
 
 def difference(spark, folder, name, con=None) -> str | None:
     """None when equal, else what differs."""
-    df = runnable()[name](spark, folder)
-    got = table(df.columns, [tuple(r) for r in df.collect()])
+    with scratch_scope(spark):
+        df = runnable()[name](spark, folder)
+        got = table(df.columns, [tuple(r) for r in df.collect()])
     if name not in SQL:
         return None if got[1] else "no rows"
     con = con or connect(folder)

@@ -10,7 +10,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from shelfline.catalog.stub_clients import attribute_tagger, flaky_echo
+from shelfline.catalog.stub_clients import attribute_tagger
 from shelfline.operators import enrich
 from shelfline.operators.classify import classify_root_then_leaf
 
@@ -41,6 +41,19 @@ def logged(path):
     return factory
 
 
+def flaky_echo():
+    """Fails (length mod 5) times for a prompt before it answers in upper case."""
+    failed: dict[str, int] = {}
+
+    def call(prompt):
+        if failed.get(prompt, 0) < len(prompt) % 5:
+            failed[prompt] = failed.get(prompt, 0) + 1
+            raise ConnectionError("busy")
+        return prompt.upper()
+
+    return call
+
+
 @pytest.fixture
 def prompts(spark):
     return spark.range(60).select("id", F.concat(F.lit("text "), (F.col("id") % 7).cast("string")).alias("prompt"))
@@ -93,6 +106,56 @@ def test_rate_limit(spark):
         enrich.batch_infer(df, "prompt", attribute_echo, calls_per_second=1.0)
 
 
+def test_every_attempt_is_paced():
+    def down(_):
+        raise OSError("down")
+
+    began = time.perf_counter()
+    enrich.call_with_retry(down, "p", retries=9, wait=0.0, jitter=0.0, pace=enrich.Pace(50.0))
+    assert time.perf_counter() - began >= 9 / 50
+
+
+def test_equal_prompts_are_dealt_out_evenly(spark):
+    df = spark.range(400).select("id", F.lit("same").alias("prompt"))
+    out = enrich.batch_infer(df, "prompt", attribute_echo, partitions=4, **NO_WAIT).withColumn("task", F.spark_partition_id())
+    assert all(95 <= r["count"] <= 105 for r in out.groupBy("task").count().collect())
+
+
+def test_a_null_prompt_is_not_sent_and_says_so(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "id int, prompt string")
+    for name, out in (
+        ("all", enrich.batch_infer(df, "prompt", logged(str(tmp_path)), **NO_WAIT)),
+        ("once", enrich.infer_distinct(df, "prompt", logged(str(tmp_path)), **NO_WAIT)),
+    ):
+        got = {r.id: (r.generated_text, r.attempts, r.error) for r in out.collect()}
+        assert got == {1: ("a", 1, None), 2: (None, 0, "no prompt"), 3: ("a", 1, None)}, name
+
+
+def test_a_slow_call_does_not_hold_up_the_next_batch(spark):
+    """20 batches of one row with one slow call each: two batches are in flight."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        df = spark.range(20).coalesce(1).select(F.col("id").cast("string").alias("prompt"))
+        began = time.perf_counter()
+        assert len(enrich.batch_infer(df, "prompt", slow_echo, **NO_WAIT).collect()) == 20
+        assert time.perf_counter() - began < 0.9 * 20 * 0.2
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def slow_echo():
+    return lambda prompt: time.sleep(0.2) or prompt
+
+
+def test_inputs_are_asked_once_with_the_options_of_their_category(spark, tmp_path):
+    rows_ = spark.createDataFrame([(i, "c1" if i % 3 else "c2", f"t{i % 2}") for i in range(12)], "id int, cat string, title string")
+    options = spark.createDataFrame([("c1", "x"), ("c1", "y")], "cat string, o string")
+    out = enrich.infer_inputs(rows_, ["cat", "title"], "{options}|{title}", logged(str(tmp_path)), options, ["cat"], "o", partitions=2, **NO_WAIT)
+    got = {(r.cat, r.title): r.generated_text for r in out.collect()}
+    assert got == {("c1", t): f"x\ny|{t}"[::-1] for t in ("t0", "t1")} | {("c2", t): f"|{t}"[::-1] for t in ("t0", "t1")}
+    assert out.count() == 12 and len(os.listdir(tmp_path)) == 4
+
+
 def test_tagger_stub():
     call = attribute_tagger()
     assert call("<att>red\nring\nrod</att>\n<inp>red ring</inp>") == "<res>red, ring</res>"

@@ -56,7 +56,13 @@ def test_prefix_join_is_an_equi_join(spark):
     roots = spark.createDataFrame([("a",), ("a, b",)], "root string")
     nodes = spark.createDataFrame([("a, b, c",), ("ab",)], "path string")
     out = joins.leaves_under(roots, nodes, "root", "path")
-    assert "NestedLoop" not in plan(out) and out.count() == 2
+    # "ab" starts with "a" too: a root may end inside an element
+    assert "NestedLoop" not in plan(out) and "Cartesian" not in plan(out) and out.count() == 3
+
+
+@pytest.mark.parametrize("name", ["filter_calendar", "split_by_time", "target_encode"])
+def test_calendar_filters_reach_the_scan_as_date_ranges(spark, folder, name):
+    assert "GreaterThanOrEqual(" in plan(runnable()[name](spark, folder))
 
 
 def test_infer_join_does_not_shuffle_the_prompt(spark, folder):
@@ -64,3 +70,12 @@ def test_infer_join_does_not_shuffle_the_prompt(spark, folder):
     for line in plan(out).splitlines():
         if "Exchange" in line:
             assert "prompt" not in line
+
+
+def test_no_option_list_is_shuffled_before_the_call(spark):
+    rows = spark.range(50).select("id", F.lit("c").alias("cat"), F.col("id").cast("string").alias("title"))
+    options = spark.createDataFrame([("c", "x"), ("c", "y")], "cat string, o string")
+    dealt = joins.with_group_options(rows.repartition(4), options, ["cat"], "o")
+    for line in plan(dealt).splitlines():
+        if "Exchange" in line and "Broadcast" not in line:
+            assert "options" not in line, line

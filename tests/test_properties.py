@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.text import fingerprint
 from shelfline.operators import aggregates, sampling, sets, timeseries, windows
-from shelfline.operators.joins import sample_pairs
+from shelfline.operators.joins import sample_combinations
 from shelfline.plans.ordered import exact_quantiles, positions, running_sum
 from shelfline.views import FINE_ITEM, weekly_series
 
@@ -109,7 +109,7 @@ def test_bernoulli_rate(skewed):
 
 def test_sampled_pairs_are_distinct(spark):
     left, right = spark.range(300).withColumnRenamed("id", "l"), spark.range(7).withColumnRenamed("id", "r")
-    pairs = sample_pairs(left, right, [F.asc("l")], [F.asc("r")], 5)
+    pairs = sample_combinations([(left, [F.asc("l")]), (right, [F.asc("r")])], 300, 5)
     assert pairs.count() == 300 and pairs.distinct().count() == 300
 
 

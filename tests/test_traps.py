@@ -49,9 +49,9 @@ def test_stop_phrases_word_and_literal_form(spark, rows):
     assert literal == sorted([("sale pens",), ("wholesale pens",), ("Offer pens",), ("two words",), (None,)], key=repr)
 
 
-def test_suffix_is_removed_from_the_text_not_only_whole_cells(spark, rows):
-    df = spark.createDataFrame([("pen - Genuine",), (" - Genuine",), ("pen",)], "k string")
-    assert rows(df.select(text.strip_suffix(F.col("k"), " - Genuine"))) == [("",), ("pen",), ("pen",)]
+def test_a_phrase_is_removed_wherever_it_stands(spark, rows):
+    df = spark.createDataFrame([("pen - Genuine",), (" - Genuine",), ("pen",), ("pen - Genuine leather",), (None,)], "k string")
+    assert rows(df.select(text.strip_phrase(F.col("k"), " - Genuine"))) == sorted([("",), ("pen",), ("pen",), ("pen leather",), (None,)], key=repr)
 
 
 def test_null_keys_form_no_group(spark, rows):
@@ -157,9 +157,8 @@ def test_target_encoding_is_learnt_on_train_only(spark, rows):
 def test_replace_in_place_reads_and_replaces_the_same_path(spark, rows):
     path = scratch_path(spark, "t")
     sinks.write_parquet(spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int"), path)
-    old = sinks.replace_in_place(spark.read.parquet(path).groupBy("k").agg(F.sum("v").alias("v")), path)
-    assert rows(spark.read.parquet(path)) == [("a", 3)]
-    assert rows(spark.read.parquet(old)) == [("a", 1), ("a", 2)]
+    staged = sinks.replace_in_place(spark.read.parquet(path).groupBy("k").agg(F.sum("v").alias("v")), path)
+    assert rows(spark.read.parquet(path)) == [("a", 3)] == rows(spark.read.parquet(staged))
 
 
 def test_suffix_of_a_column_name_is_no_pattern(spark):
@@ -242,10 +241,13 @@ def test_typed_values(spark):
 
 
 def test_measures(spark):
-    df = spark.createDataFrame([("2.5 MB",), ("1KiB",), ("3 furlongs",), ("x",)], "v string")
+    df = spark.createDataFrame([("2.5 MB",), ("1kb",), ("3 furlongs",), ("x",), ("2 YB",)], "v string")
     assert [r[0] for r in df.select(text.measure(F.col("v"), text.SIZE_UNITS, upper=True)).collect()] == [
-        2_500_000.0, 1024.0, None, None
+        2.5 * 1024**2, 1024.0, None, None, 2.0 * 1024**8
     ]
+    spans = spark.createDataFrame([("2 hours",), ("3 mins",), ("4 d",), ("5 us",), ("6 seconds",), ("7 ns",)], "v string")
+    got = [r[0] for r in spans.select(text.measure(F.col("v"), text.TIME_UNITS)).collect()]
+    assert got == [7200.0, 180.0, 345600.0, 5 * 1e-6, 6.0, 7 * 1e-9]
 
 
 def test_gap_fill_modes(spark, rows):
@@ -264,7 +266,7 @@ def test_csv_round_trip_keeps_line_ends_quotes_and_empty_text(spark, rows):
     path = scratch_path(spark, "c")
     df = spark.createDataFrame([(1, 'a "b"\nc,d'), (2, ""), (3, None), (4, "tab\tx")], "id int, t string")
     sinks.write_delimited(df, path)
-    assert rows(files.read_delimited(spark, path, "id int, t string")) == rows(df)
+    assert rows(files.read_delimited(spark, path, "id int, t string", line_ends_in_cells=True)) == rows(df)
 
 
 def test_empty_input(spark):
@@ -297,3 +299,131 @@ def test_templates(spark):
     assert text.template_fields(template) == ["title", "n"]
     df = spark.createDataFrame([("a{n}", None)], "title string, n int")
     assert df.select(text.render_template(template, title="title", n="n")).first()[0] == "<t>a{n}</t> a{n} "
+
+
+def test_the_largest_running_total_is_not_the_sum(spark, rows):
+    df = spark.createDataFrame([("a", "X", 5.0), ("b", "X", 3.0), ("c", "X", -4.0)], KW)
+    running = running_sum(df, ["product_type"], [F.desc("impressions")], "impressions", "cum")
+    assert rows(running.groupBy("product_type").agg(F.max("cum"))) == [("X", 8.0)]
+
+
+def test_running_sums_of_whole_numbers_decimals_and_hot_groups(spark, rows):
+    df = spark.range(3000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise("cold").alias("g"), "id", (F.col("id") - 1500).alias("v"))
+    for kind in ("bigint", "int", "double", "decimal(12,2)"):
+        out = running_sum(df.withColumn("v", F.col("v").cast(kind)), ["g"], [F.asc("id")], "v", "cum").toPandas().sort_values(["g", "id"])
+        assert (out["cum"].astype(float) == out.groupby("g")["v"].transform(lambda v: v.astype(float).cumsum())).all(), kind
+
+
+def test_hash_cuts_are_refined_until_the_bucket_is_small(spark, monkeypatch):
+    from shelfline.plans import ordered
+
+    df = spark.range(5000)
+    wide = {r.id for r in sampling.sample_rows(df, ["id"], 2, n=1234).collect()}
+    monkeypatch.setattr(ordered, "RANKED_ROWS", 1)
+    monkeypatch.setattr(ordered, "DIGITS", 1)
+    assert {r.id for r in sampling.sample_rows(df, ["id"], 2, n=1234).collect()} == wide and len(wide) == 1234
+
+
+@pytest.mark.parametrize("fraction", [0.3, 12.0, 40.0])
+def test_draws_with_replacement_have_the_mean_of_the_fraction(spark, fraction):
+    n = sampling.sample_with_replacement(spark.range(2000), ["id"], 7, fraction=fraction).count()
+    assert abs(n / 2000 - fraction) < 4 * math.sqrt(fraction / 2000)
+
+
+def test_exactly_n_draws_with_replacement(spark):
+    drawn = sampling.sample_with_replacement(spark.range(10), ["id"], 7, n=500)
+    assert drawn.count() == 500 and drawn.select("draw").distinct().count() == 500 and drawn.select("id").distinct().count() == 10
+    assert sampling.sample_with_replacement(spark.range(0), ["id"], 7, n=5).count() == 0
+
+
+def test_a_missing_feature_loses_no_row(spark):
+    data = [(float(i), None if i % 9 == 0 else float(i % 7), int(i > 40)) for i in range(80)] + [(float("nan"), 1.0, 1), (None, None, 0)]
+    df = spark.createDataFrame(data, "a double, b double, y int")
+    model = features.train_classifier(df, ["a", "b"], "y", rounds=3)
+    out = features.score(model, df)
+    assert out.count() == 82 and out.where("p is null or isnan(p)").count() == 0 and out.columns == ["a", "b", "y", "p"]
+    assert model.stages[-1].getMinInfoGain() > 0
+
+
+def test_an_ended_item_is_tested_on_its_own_last_weeks_and_stays_in_the_blend(spark):
+    d = lambda i: dt.date(2024, 1, 1) + dt.timedelta(weeks=i)
+    data = [("on", d(i), 1.0 + i) for i in range(40)] + [("ended", d(i), 2.0 * i) for i in range(20)] + [("one", d(3), 5.0)]
+    df = spark.createDataFrame(data, "item string, week date, y double")
+    held = timeseries.backtest(df, ["item"], "week", "y")
+    assert {r.item for r in held.select("item").distinct().collect()} == {"on", "ended"}
+    assert held.where("item = 'ended'").agg(F.max("week")).first()[0] == d(19)
+    errors = timeseries.model_errors(timeseries.window_errors(held, ["item"], "y"), ["item"])
+    blend = timeseries.ensemble_blend({"trend": timeseries.forecast_trend(df, ["item"], "week", "y", 2)}, errors, ["item"], "week")
+    got = {(r.item, r.week): r.yhat for r in blend.collect()}
+    assert len(got) == 6 and math.isclose(got[("ended", d(20))], 40.0) and math.isclose(got[("one", d(4))], 5.0)
+
+
+def test_redelivered_null_keys_are_stored_once(spark, rows):
+    from shelfline.streaming.master import merge_batch, read_master
+
+    df = spark.createDataFrame([(1, None), (None, "x"), (2, "y")], "a int, b string")
+    master = scratch_path(spark, "nulls")
+    for batch in range(3):
+        merge_batch(df, batch, master, ["a", "b"], df.schema)
+    assert rows(read_master(spark, master)) == rows(df)
+
+
+def test_prefixes_may_end_inside_an_element(spark, rows):
+    roots = spark.createDataFrame([("AS",), ("ASIA, J",), ("EU",)], "root string")
+    nodes = spark.createDataFrame([("ASIA, JAPAN",), ("ASIA",), ("A",), (None,)], "path string")
+    assert rows(joins.leaves_under(roots, nodes, "root", "path"), "root", "path") == [("AS", "ASIA"), ("AS", "ASIA, JAPAN"), ("ASIA, J", "ASIA, JAPAN")]
+
+
+def test_nested_defaults_and_flattening_at_any_depth(spark):
+    from shelfline.functions import arrays
+
+    df = spark.sql("""select map('a', map('b', map('c', '1')), 'n', null) m,
+                             map('a', map('b', map('c', '0', 'd', '2'), 'e', map('f', '3')), 'z', map('y', map('x', '4'))) d,
+                             array(array(array(1, 2), null), array(), array(array(3))) deep""")
+    assert maps.map_levels(df.schema["m"].dataType) == 3
+    got = df.select(maps.with_nested_defaults(F.col("m"), F.col("d"), 3)).first()[0]
+    assert got == {"a": {"b": {"c": "1", "d": "2"}, "e": {"f": "3"}}, "n": None, "z": {"y": {"x": "4"}}}
+    levels = arrays.array_levels(df.schema["deep"].dataType)
+    assert df.select(arrays.flatten_all(F.col("deep"), levels)).first()[0] == [1, 2, 3]
+    assert df.select(arrays.flatten_inner(F.col("deep"), levels)).first()[0] == [[1, 2], [], [3]]
+
+
+def test_extremes_have_a_position_a_place_and_a_direction(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([5.0, 9.0, None, 1.0, 9.0])], "id int, v double")
+    out = sets.top_and_bottom(df, "v", ["id"], 2, position=[F.asc("id")])
+    got = {(r.side, r.place): (r.id, r.position) for r in out.collect()}
+    assert got == {("largest", 0): (1, 1), ("largest", 1): (4, 4), ("smallest", 0): (3, 3), ("smallest", 1): (0, 0)}
+    rising = {r.place: r.v for r in sets.k_extremes(df, "v", ["id"], 3, "max", ascending=True).collect()}
+    assert rising == {0: 5.0, 1: 9.0, 2: 9.0}
+
+
+def test_combinations_are_distinct_random_and_bounded(spark):
+    sides = [(spark.range(n).withColumnRenamed("id", c), [F.asc(c)]) for n, c in ((30, "a"), (7, "b"), (5, "c"))]
+    some = joins.sample_combinations(sides, 100, 5)
+    assert some.count() == 100 == some.distinct().count() and sorted(some.columns) == ["a", "b", "c"]
+    every = joins.sample_combinations(sides, 1050, 5)
+    assert every.distinct().count() == 1050
+    with pytest.raises(ValueError):
+        joins.sample_combinations(sides, 1051, 5)
+
+
+def test_a_profile_by_sample_and_by_type(spark):
+    from shelfline.operators.profiles import column_types
+
+    df = spark.range(1000).select("id", (F.col("id") / 2).alias("d"), (F.col("id") % 2 == 0).alias("b"), F.lit("x").alias("t"))
+    got = {r.column_name: r.narrowest for r in column_types(df).collect()}
+    assert got == {"id": "int", "d": "float", "b": "bool", "t": "text"}
+    assert {r.n for r in column_types(df, sample=37, keys=["id"]).collect()} == {37}
+    assert 40 < column_types(df, ["id"], sample=0.1, keys=["id"]).first()["n"] < 170
+
+
+def test_strategies_agree_with_their_definitions(spark):
+    df = spark.createDataFrame([("a", 2.0, 5), ("a", 1.0, 4), ("a", 2.0, 6), ("a", None, 1), ("b", 7.0, 1)], "k string, v double, at int")
+    got = {r.k: r for r in aggregates.by_strategies(df, ["k"], "v", "at").collect()}
+    assert (got["a"]["sum"], got["a"]["first"], got["a"]["median"], got["a"]["mode"], got["a"]["min"], got["a"]["max"]) == (5.0, 1.0, 2.0, 2.0, 1.0, 2.0)
+    assert math.isclose(got["a"]["average"], 5 / 3) and got["b"]["mode"] == 7.0
+
+
+def test_an_unanswered_tag_is_passed_over(spark):
+    df = spark.createDataFrame([("<c><item>NA</item></c><c><item>b</item></c>",), ("<c>a</c> <c>b</c>",), ("none",), (None,)], "r string")
+    assert [r[0] for r in df.select(text.first_answer(F.col("r"), "c")).collect()] == ["b", "a", None, None]
