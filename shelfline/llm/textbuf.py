@@ -8,7 +8,9 @@ values, taken as a difference of prefix sums, then mixed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,20 +43,28 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 LOWER_VALUES = lowered(BYTE_VALUES)
-_powers: dict[int, np.ndarray] = {}
+TABLE = 2 * BLOCK_BYTES
+
+
+def _power_table(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+def kept(name: str, make: Callable[[], object]):
+    """A value made once per worker process. It lives beside the code, so functions travel without it."""
+    store = sys.modules.setdefault("shelfline_worker_values", types.ModuleType("shelfline_worker_values")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 ... base^(n-1) modulo 2^64; the longest table made so far is kept for a worker."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, 2 * BLOCK_BYTES)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        have = np.cumprod(have)
-        if size <= 2 * BLOCK_BYTES:
-            _powers[base] = have
-    return have[:n]
+    """base^0 ... base^(n-1) modulo 2^64; a worker keeps the table for blocks of usual size."""
+    if n > TABLE:
+        return _power_table(base, n)
+    return kept(f"powers of {base}", lambda: _power_table(base, TABLE))[:n]
 
 
 @dataclass

@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.llm.textbuf import kept
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,8 +44,11 @@ EDITS = T.ArrayType(T.StructType().add("start", LONG).add("stop", LONG).add("rep
 COUNTS = T.StructType().add("tokens", LONG).add("leaves", LONG).add("encoded_leaves", LONG).add("encoded_chars", LONG)
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str):
+    return kept(f"ranks of {path}", lambda: read_encoder(path))
+
+
+def read_encoder(path: str):
     import tiktoken
 
     with open(path, "rb") as lines:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from shelfline.llm import labelled
 from shelfline.llm.boosted import Isotonic, Trees, isotonic, train
 from shelfline.llm.textbuf import blocks
-from shelfline.llm.textstats import distinct_terms, toxicity_features
+from shelfline.llm.textstats import among, distinct_terms, toxicity_features
 
 LIMIT = 0.5
 CALIBRATION_FOLDS = (8, 9)
@@ -38,25 +38,41 @@ LEAST_TEXTS = 4
 LEXICON_WORDS = 4096
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def term_hashes(texts: pa.Array) -> pa.Array:
-    """The distinct words and stems of each text, as hashes."""
-    sizes, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for block in blocks(texts):
-        rows, hashes = distinct_terms(block)
-        sizes.append(np.bincount(rows, minlength=block.rows))
-        keys.append(hashes)
-    borders = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(borders), pa.array(np.concatenate(keys).view(np.int64)))
+def term_hashes(text: Column, wanted: np.ndarray | None = None) -> Column:
+    """The distinct words and stems of each text, as hashes; of a given set only, if there is one."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def found(texts: pa.Array) -> pa.Array:
+        sizes, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for block in blocks(texts):
+            rows, hashes = distinct_terms(block)
+            if wanted is not None:
+                known = among(hashes, wanted)
+                rows, hashes = rows[known], hashes[known]
+            sizes.append(np.bincount(rows, minlength=block.rows))
+            keys.append(hashes)
+        borders = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(borders), pa.array(np.concatenate(keys).view(np.int64)))
+
+    return found(text)
 
 
 def lexicons(sample: DataFrame) -> list[np.ndarray]:
-    """Sorted term hashes learnt from even folds, from odd folds, and from all."""
+    """Sorted term hashes learnt from even folds, from odd folds, and from all.
+
+    Terms with some support in the toxic texts are found first; only those are counted in the others.
+    Their number is bounded by the sample: terms per text over the least share.
+    """
     texts = sample.groupBy("fold").agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")).collect()
     of = lambda part, column: sum(r[column] for r in texts if part is None or r["fold"] % 2 == part)
-    half = F.pmod("fold", F.lit(2))
+    support = max(LEAST_TEXTS / 2, LEAST_SHARE / 2 * of(None, "toxic"))
+    supported = (
+        sample.where("y = 1").select(F.explode(term_hashes(F.col("text"))).alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support).collect()
+    )
+    wanted = np.sort(np.array([r["term"] for r in supported], np.int64).view(np.uint64))
     counts = (
-        sample.select("y", half.alias("half"), F.explode(term_hashes("text")).alias("term"))
+        sample.select("y", F.pmod("fold", F.lit(2)).alias("half"), F.explode(term_hashes(F.col("text"), wanted)).alias("term"))
         .groupBy("term").agg(*[F.sum(F.when((F.col("half") == h) & (F.col("y") == y), 1).otherwise(0)).alias(f"c{h}{y}") for h in (0, 1) for y in (0, 1)])
         .where(F.col("c01") + F.col("c11") >= LEAST_TEXTS)
     )
