@@ -10,10 +10,10 @@ distinct 3-word shingles (a shorter text is one shingle). Two documents are link
   bin that is the same in all documents (optimal densification).
 * 192 bins in 32 bands of 6: a pair at the limit of 0.85 misses every bucket with probability 3e-7.
 * In a bucket the candidates are the edges of a star around its smallest id: as many as members.
-  They are confirmed on the full sets. A failed star edge says nothing about two outer members, so
-  every bucket whose members do not all lie in one component yet gets further centres, twice as
-  many in each round, until every member of another component has been met or was a centre. Nothing
-  is capped, and a bucket of one component, such as a large group of near copies, ends at once.
+  They are confirmed on the full sets.
+* A failed star edge says nothing about two outer members. The members of buckets that do not lie in
+  one component yet meet in an exact set join with prefix, length and positional filters, so no link is
+  lost and nothing is capped; a bucket of one component, such as a group around its base, needs none.
 * Components come from smallest-label propagation with pointer jumping over the confirmed links;
   links and labels stay in written tables.
 
@@ -28,13 +28,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.llm.common import boxed, cut_lineage, unboxed
 from shelfline.llm.textbuf import (
-    BASE, LOWER_VALUES, SPACE, Block, blocks, mix, prefix_sums, row_bounds, span_hashes, spans,
+    BASE, LOWER_VALUES, SPACE, Block, blocks, kept, mix, prefix_sums, row_bounds, span_hashes, spans,
 )
 
 SHINGLE = 3
@@ -74,14 +74,12 @@ def shingle_sets(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return out, row_bounds(rows, block.rows)
 
 
-def _probe_table() -> np.ndarray:
+def probe_table() -> np.ndarray:
+    """The bins that each empty bin tries in turn, the same for all documents."""
     seeds = np.arange(PROBES * BINS, dtype=np.uint64).reshape(PROBES, BINS) + np.uint64(BASE)
     return ((mix(seeds) >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
 
 
-PROBE = _probe_table()
-
-
 def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One row of densified bin minima per set; rows of empty sets are meaningless."""
     n = len(bounds) - 1
@@ -94,11 +92,12 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     first[1:] = slot[1:] != slot[:-1]  # hashes ascend, so the first of a bin is its smallest
     values[rows[first], bins[first]] = hashes[first]
     full[rows[first], bins[first]] = True
+    probes = kept("probes", probe_table)
     row, empty = np.nonzero(~full & full.any(axis=1, keepdims=True))
     for step in range(PROBES + BINS):
         if not len(row):
             break
-        source = PROBE[step, empty] if step < PROBES else (empty + step) % BINS
+        source = probes[step, empty] if step < PROBES else (empty + step) % BINS
         found = full[row, source]
         values[row[found], empty[found]] = values[row[found], source[found]]
         row, empty = row[~found], empty[~found]
@@ -177,57 +176,60 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("u", "rep")
 
 
-def _edges(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Each centre of a bucket with the members of other components, smaller id first."""
-    hub = centres.select("band", "key", F.col("rep").alias("_hub"), F.col("label").alias("_hub_label"))
-    return (
-        members.join(hub, ["band", "key"])
-        .where("label <> _hub_label")
-        .select(F.least("rep", "_hub").alias("a"), F.greatest("rep", "_hub").alias("b"))
-        .distinct()
-    )
+def star_edges(buckets: DataFrame) -> DataFrame:
+    """Every member of a bucket with the smallest one: as many pairs as members."""
+    bucket = ["band", "key"]
+    hubs = buckets.groupBy(bucket).agg(F.min("rep").alias("a"))
+    return buckets.join(hubs, bucket).where("rep > a").select("a", F.col("rep").alias("b")).distinct()
 
 
-def find_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links between representatives that share a bucket, enough to connect every component.
+def rest_edges(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members of different components that can be similar enough, by an exact set join.
 
-    buckets: (band, key, rep). Round one takes the smallest member as the centre. A bucket is closed
-    when its members lie in one component, or when all members but one have been centres.
+    members: (rep, label). Items are ordered by how many members hold them, rarest first. A pair at the limit
+    shares `needed` items, so with the smaller set on the left one of its first items is among the first
+    items of the larger one, and from there on both still have as many left as are needed. The larger side
+    meets only sizes for which that holds, so copies of one text that differ from it by more than the limit
+    do not meet over what they all share.
     """
+    needed = lambda m, n: F.ceil(percent * (m + n) / (100 + percent))
+    items = cut_lineage(
+        sets.join(members, "rep").select("rep", "label", F.size("items").cast("bigint").alias("n"), F.explode("items").alias("item")))
+    held = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    # one document's own items; what nobody else holds comes first and needs no row
+    own = Window.partitionBy("rep")
+    placed = cut_lineage(
+        items.join(held, "item")
+        .withColumn("place", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("held", "item")) - 1)
+        .where(F.col("n") - F.col("place") >= F.ceil(percent * F.col("n") / 100)).drop("held")
+    )
+    small = placed.where(F.col("n") - F.col("place") >= needed(F.col("n"), F.col("n"))).select(
+        "item", F.col("n").alias("m"), F.col("rep").alias("_rep"), F.col("label").alias("_label"), F.col("place").alias("_place"))
+    sizes = small.select("item", "m").distinct()
+    large = placed.join(sizes, "item").where(
+        (F.col("m") <= F.col("n")) & (100 * F.col("m") >= percent * F.col("n")) & (F.col("n") - F.col("place") >= needed(F.col("m"), F.col("n"))))
+    met = large.join(small, ["item", "m"]).where(
+        (F.col("label") != F.col("_label"))
+        & ((F.col("m") < F.col("n")) | (F.col("_rep") < F.col("rep")))
+        & (F.col("m") - F.col("_place") >= needed(F.col("m"), F.col("n"))))
+    return met.select(F.least("rep", "_rep").alias("a"), F.greatest("rep", "_rep").alias("b")).distinct()
+
+
+def find_components(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, label) of the linked representatives; `buckets` (band, key, rep) hold two or more each."""
     bucket = ["band", "key"]
-    open_ = buckets.select(*bucket, "rep", F.col("rep").alias("label"), F.lit(False).alias("used"))
-    links = tried = None
-    hubs = 1
-    while True:
-        free = open_.where("not used")
-        sizes = free.groupBy(bucket).agg(F.min("rep").alias("_low"), F.count(F.lit(1)).alias("_free"))
-        centres = free.join(sizes, bucket).where(F.col("rep") == F.col("_low"))
-        if hubs > 1:
-            # about `hubs` more, spread by a hash; no bucket is gathered to choose them
-            every = F.ceil(F.col("_free") / hubs)
-            picked = F.pmod(F.xxhash64("rep", "band", F.lit(hubs)), F.greatest(every, F.lit(1))) == 0
-            centres = free.join(sizes, bucket).where((F.col("rep") == F.col("_low")) | picked)
-        centres = cut_lineage(centres.drop("_low", "_free"))
-        edges = _edges(open_, centres)
-        if tried is not None:
-            edges = edges.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = cut_lineage(_confirmed(cut_lineage(edges), sets, percent))
-        tried = checked if tried is None else cut_lineage(tried.unionByName(checked))
-        links = tried.where("linked")
-        labels = components(links)
-        fresh = (
-            open_.select(*bucket, "rep", "used").join(labels, "rep", "left")
-            .withColumn("label", F.coalesce("label", "rep"))
-            .join(centres.select(*bucket, "rep", F.lit(True).alias("_now")), [*bucket, "rep"], "left")
-            .select(*bucket, "rep", "label", (F.col("used") | F.coalesce("_now", F.lit(False))).alias("used"))
-        )
-        state = fresh.groupBy(bucket).agg(
-            F.min("label").alias("_low"), F.max("label").alias("_high"), F.sum((~F.col("used")).cast("int")).alias("_unused"))
-        unsettled = state.where("_low <> _high and _unused > 1").select(*bucket)
-        open_ = cut_lineage(fresh.join(unsettled, bucket))
-        if open_.isEmpty():
-            return links
-        hubs *= 2
+    starred = cut_lineage(_confirmed(star_edges(buckets), sets, percent))
+    labels = components(starred.where("linked"))
+    found = buckets.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    torn = found.groupBy(bucket).agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
+    members = cut_lineage(found.join(torn.select(*bucket), bucket, "left_semi").select("rep", "label").distinct())
+    if members.isEmpty():
+        return labels
+    edges = rest_edges(members, sets, percent).join(starred.select("a", "b"), ["a", "b"], "left_anti")
+    rest = cut_lineage(_confirmed(edges, sets, percent))
+    if rest.where("linked").isEmpty():
+        return labels
+    return components(starred.unionByName(rest).where("linked"))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
@@ -252,7 +254,7 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
         wanted.select("rep", "digest", shingles("_text").alias("s")).where("s.digest = digest")
         .select("rep", F.col("s.items").alias("items")).dropDuplicates(["rep"])
     )
-    labels = components(find_links(rivals, sets, percent))
+    labels = find_components(rivals, sets, percent)
     home = classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("label", "rep").alias("_home"))
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("_home"))
     return (
