@@ -11,7 +11,6 @@ A stage works on all that its predecessor kept, and all but the last return the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfline.llm import exact_dedup, mixing, near_dedup, pieces, quality_model
 from shelfline.llm.common import cut_lineage, table
@@ -35,11 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, pieces, and text_sha256 of the text that the pieces decode to."""
-    coded = docs.select("doc_id", pieces.encode(F.col("text"), F.col("doc_id")).alias("pieces"))
-    return coded.select(
-        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint").alias("n_pieces"), "pieces",
-        F.sha2(pieces.decode(F.col("pieces")).cast("binary"), 256).alias("text_sha256"),
-    )
+    return pieces.sampled_pieces(docs)
 
 
 STAGES = [
