@@ -85,7 +85,7 @@ def rate(limit: int) -> Column:
 
 def solve(counts: DataFrame, sources: DataFrame, limit: int) -> DataFrame:
     """Adds `_lambda` to the sources: Newton on the logarithm of the words taken."""
-    ratio = F.log(F.col("target") / F.col("source_size"))
+    ratio = F.log(F.nullif(F.col("target"), F.lit(0.0)) / F.nullif(F.col("source_size"), F.lit(0)))
     state = cut_lineage(
         sources.withColumn("_settled", F.col("_full") | (F.col("source_size") == 0))
         .withColumn("_lambda", F.lit(0.0))
@@ -94,13 +94,15 @@ def solve(counts: DataFrame, sources: DataFrame, limit: int) -> DataFrame:
     )
     words = F.col("_n") * F.col("size") * rate(limit)
     bends = F.when(rate(limit) < limit, words * F.col("size")).otherwise(F.lit(0.0))
+    # summed as decimals, so the result is the same in whatever order the rows come
+    exact = lambda terms: F.sum(terms.cast("decimal(38,10)")).cast("double")
     for _ in range(MOST_ROUNDS):
         sums = (
             counts.join(state.where("not _settled").select("_source", "_lambda", "_full"), "_source")
-            .groupBy("_source").agg(F.sum(words).alias("_g"), F.sum(bends).alias("_h"))
+            .groupBy("_source").agg(exact(words).alias("_g"), exact(bends).alias("_h"))
         )
         above = F.col("_g") > F.col("target")
-        newton = F.col("_lambda") - F.log(F.col("_g") / F.col("target")) * F.col("_g") / F.nullif(F.col("_h"), F.lit(0.0))
+        newton = F.col("_lambda") - F.log(F.col("_g") / F.nullif(F.col("target"), F.lit(0.0))) * F.col("_g") / F.nullif(F.col("_h"), F.lit(0.0))
         inside = F.coalesce((newton > F.col("_lo")) & (newton < F.col("_hi")), F.lit(False))
         moved = F.col("_g").isNotNull() & ~F.col("_close")
         state = cut_lineage(
