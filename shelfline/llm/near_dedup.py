@@ -28,11 +28,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import boxed, cut_lineage, unboxed
+from shelfline.llm.common import boxed, cut_lineage, unboxed, whole_text
 from shelfline.llm.textbuf import (
     BASE, LOWER_VALUES, SPACE, Block, blocks, kept, mix, prefix_sums, row_bounds, span_hashes, spans,
 )
@@ -234,9 +234,18 @@ def find_components(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFr
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
+    return _decided(docs, id_col, text_col, percent).drop("th")
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(whole_text(text_col))
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """As `decide`, with the hash of each row's text as `th`."""
     sketched = cut_lineage(
-        docs.select(F.col(id_col).alias("doc_id"), sketch(F.col(text_col)).alias("s"))
-        .select("doc_id", F.col("s.n").alias("n"), F.col("s.digest").alias("digest"), F.col("s.bands").alias("bands"))
+        docs.select(F.col(id_col).alias("doc_id"), _text_hash(text_col).alias("th"), sketch(F.col(text_col)).alias("s"))
+        .select("doc_id", "th", F.col("s.n").alias("n"), F.col("s.digest").alias("digest"), F.col("s.bands").alias("bands"))
     )
     # one representative per distinct set; a class of null ids only takes no part
     classes = cut_lineage(
@@ -258,8 +267,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     home = classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("label", "rep").alias("_home"))
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("_home"))
     return (
-        sketched.select("doc_id", "n", "digest").join(home, "digest", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        sketched.select("doc_id", "th", "n", "digest").join(home, "digest", "left")
+        .select("doc_id", "th", F.col("n").alias("n_shingles"), component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
@@ -272,7 +281,10 @@ def _rivals(buckets: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
     """The documents without those that are near copies of a kept one, with all their columns."""
-    gone = decide(docs, id_col, text_col, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = boxed(docs)
-    return unboxed(rows.join(gone, F.col(f"_row.`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti"))
+    gone = (
+        _decided(docs, id_col, text_col, percent).where("not kept")
+        .select(F.col("doc_id").alias("_gone"), F.col("th").alias("_gone_th")).distinct()
+    )
+    rows = boxed(docs).select("_row", F.col(f"_row.`{id_col}`").alias("_id"), _text_hash(f"_row.`{text_col}`").alias("_th"))
+    return unboxed(rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_th") == F.col("_gone_th")), "left_anti"))
 

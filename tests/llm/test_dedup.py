@@ -136,6 +136,16 @@ def test_near_cases(awkward):
     assert left.columns == awkward.columns and left.where("doc_id in (5, 9)").count() == 0 and left.where("doc_id = 1").count() == 2
 
 
+def test_near_dedup_drops_a_text_not_all_texts_of_its_id(spark, awkward):
+    """A null-id copy and a copy under an id of two texts go alone."""
+    data = [(1, "a b c d e f g"), (None, "a b c d e f g"), (None, "quite another text here"), (7, "two texts of one id"), (7, "A b C d e f g")]
+    left = near_dedup.deduplicate(spark.createDataFrame(data, "doc_id bigint, text string").repartition(3))
+    assert {tuple(r) for r in left.collect()} == {data[0], data[2], data[3]}
+    left = [(r.doc_id, r.text) for r in near_dedup.deduplicate(awkward).collect()]
+    assert (None, None) in left and (7, "twice") in left and (7, "two texts of one id") in left
+    assert sum(d is None for d, _ in left) == 1
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(4)
     words = [f"w{i}" for i in range(600)]
