@@ -4,7 +4,8 @@ Words are runs of non-white bytes with A-Z lower-cased; a document's set holds t
 distinct 3-word shingles (a shorter text is one shingle). Two documents are linked when
 100 * |A and B| >= 85 * |A or B|, and a document's component is everything reachable over links.
 
-* Equal sets are one class from the start (a digest of the set), so copies never meet in pairs.
+* Equal sets are one class from the start (a digest of the set), so copies never meet in pairs. Classes
+  are what is linked, so texts with a null id or under one id lose no link.
 * One permutation: the 64-bit shingle hash picks the bin by its high bits, the smallest hash of a
   bin is its value. Empty bins borrow from a random full bin, chosen by a fixed probe sequence per
   bin that is the same in all documents (optimal densification).
@@ -18,8 +19,9 @@ distinct 3-word shingles (a shorter text is one shingle). Two documents are link
   links and labels stay in written tables.
 
 Defined cases: null, empty and white texts have an empty set, link with nothing and are their own
-component; rows that share a doc_id are one document for the component, and `kept` holds on each;
-a null id counts after all others; an empty table gives an empty result; other columns are not read.
+component, kept; the links are between sets, whatever ids their rows have; a component is named after its
+smallest doc_id, null last, and of that id's texts the one with the smallest text hash is kept; rows that
+repeat both id and text are one document; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import boxed, cut_lineage, unboxed, whole_text
+from shelfline.llm.common import boxed, cut_lineage, id_order, unboxed, whole_text
 from shelfline.llm.textbuf import (
     BASE, LOWER_VALUES, SPACE, Block, blocks, kept, mix, prefix_sums, row_bounds, span_hashes, spans,
 )
@@ -216,7 +218,7 @@ def rest_edges(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def find_components(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, label) of the linked representatives; `buckets` (band, key, rep) hold two or more each."""
+    """(rep, label) of the linked classes; `buckets` (band, key, rep) hold two or more each."""
     bucket = ["band", "key"]
     starred = cut_lineage(_confirmed(star_edges(buckets), sets, percent))
     labels = components(starred.where("linked"))
@@ -247,29 +249,32 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
         docs.select(F.col(id_col).alias("doc_id"), _text_hash(text_col).alias("th"), sketch(F.col(text_col)).alias("s"))
         .select("doc_id", "th", F.col("s.n").alias("n"), F.col("s.digest").alias("digest"), F.col("s.bands").alias("bands"))
     )
-    # one representative per distinct set; a class of null ids only takes no part
+    # one class per distinct set, led by its first text; numbered in the order of the leads, so the
+    # smallest number of a component is that of its first text
     classes = cut_lineage(
         sketched.where(F.col("digest").isNotNull())
-        .groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
+        .groupBy("digest").agg(F.min(F.struct(id_order().alias("id"), F.col("th"))).alias("lead"), F.any_value("bands").alias("bands"))
+        .orderBy("lead", "digest").withColumn("rep", F.monotonically_increasing_id())
     )
-    # an id that names several texts stands for the one with the smallest digest
-    reps = classes.where(F.col("rep").isNotNull()).groupBy("rep").agg(
-        F.min("digest").alias("digest"), F.min_by("bands", "digest").alias("bands"))
-    buckets = reps.select("rep", F.posexplode("bands").alias("band", "key"))
+    buckets = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     rivals = cut_lineage(_rivals(buckets))
-    involved = rivals.select("rep").distinct().join(reps.select("rep", "digest"), "rep")
-    wanted = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text")).join(involved, "rep")
+    involved = rivals.select("rep").distinct().join(classes.select("rep", "digest", "lead"), "rep")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _text_hash(text_col).alias("_th"))
+    wanted = texts.join(involved, F.col("_id").eqNullSafe(F.col("lead.id.doc_id")) & (F.col("_th") == F.col("lead.th")))
     sets = cut_lineage(
         wanted.select("rep", "digest", shingles("_text").alias("s")).where("s.digest = digest")
         .select("rep", F.col("s.items").alias("items")).dropDuplicates(["rep"])
     )
     labels = find_components(rivals, sets, percent)
-    home = classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("label", "rep").alias("_home"))
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("_home"))
+    leads = labels.join(classes.select(F.col("rep").alias("label"), F.col("lead").alias("_lead")), "label").select("rep", "_lead")
+    home = classes.select("digest", "rep", "lead").join(leads, "rep", "left").select("digest", F.coalesce("_lead", "lead").alias("lead"))
+    alone = F.col("digest").isNull()
+    first = F.col("doc_id").eqNullSafe(F.col("lead.id.doc_id")) & (F.col("th") == F.col("lead.th"))
     return (
         sketched.select("doc_id", "th", "n", "digest").join(home, "digest", "left")
-        .select("doc_id", "th", F.col("n").alias("n_shingles"), component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "th", F.col("n").alias("n_shingles"),
+                F.when(alone, F.col("doc_id")).otherwise(F.col("lead.id.doc_id")).alias("component_id"),
+                (alone | first).alias("kept"))
     )
 
 

@@ -146,6 +146,30 @@ def test_near_dedup_drops_a_text_not_all_texts_of_its_id(spark, awkward):
     assert sum(d is None for d, _ in left) == 1
 
 
+def test_near_links_do_not_depend_on_ids(spark):
+    """Texts under null ids, or several under one id, link and chain like others."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(200)]
+
+    def variant(words, *places):
+        return [f"v{i}" if i in places else w for i, w in enumerate(words)]
+
+    chain = [base, variant(base, 20, 60), variant(base, 20, 60, 100, 140), variant(base, 20, 60, 100, 140, 170, 190)]
+    other = [f"o{i}" for i in range(90)]
+    texts = [*chain, other, variant(other, 50), [f"z{i}" for i in range(40)]]
+    data = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    ids = {0: 30, 1: None, 2: 8, 3: 40, 4: 8, 5: 50, 6: None}  # the links of 0 to 3 run over a null id and a shared id
+    want = {d: c for d, _, c, _ in by_hand_near(data)}
+    assert len({want[i] for i in range(4)}) == 1 and want[4] == want[5] and want[6] == 6
+    given = [(ids[i], text) for i, text in data]
+    rng.shuffle(given)
+    df = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id) for r in near_dedup.decide(df).collect()), key=repr)
+    assert got == sorted([(30, 8), (None, 8), (8, 8), (40, 8), (8, 8), (50, 8), (None, None)], key=repr)
+    left = {(r.doc_id, r.text) for r in near_dedup.deduplicate(df).collect()}
+    assert left == {(8, data[2][1]), (8, data[4][1]), (None, data[6][1])}
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(4)
     words = [f"w{i}" for i in range(600)]
