@@ -197,8 +197,12 @@ def rest_edges(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     needed = lambda m, n: F.ceil(percent * (m + n) / (100 + percent))
     items = cut_lineage(
         sets.join(members, "rep").select("rep", "label", F.size("items").cast("bigint").alias("n"), F.explode("items").alias("item")))
-    held = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    # one document's own items; what nobody else holds comes first and needs no row
+    # no pair shares an item that one component alone holds
+    held = (
+        items.groupBy("item").agg(F.count(F.lit(1)).alias("held"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        .where("_low <> _high").select("item", "held")
+    )
+    # one document's own items; what no other component holds comes first and needs no row
     own = Window.partitionBy("rep")
     placed = cut_lineage(
         items.join(held, "item")
@@ -207,12 +211,18 @@ def rest_edges(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     small = placed.where(F.col("n") - F.col("place") >= needed(F.col("n"), F.col("n"))).select(
         "item", F.col("n").alias("m"), F.col("rep").alias("_rep"), F.col("label").alias("_label"), F.col("place").alias("_place"))
-    sizes = small.select("item", "m").distinct()
-    large = placed.join(sizes, "item").where(
-        (F.col("m") <= F.col("n")) & (100 * F.col("m") >= percent * F.col("n")) & (F.col("n") - F.col("place") >= needed(F.col("m"), F.col("n"))))
-    met = large.join(small, ["item", "m"]).where(
-        (F.col("label") != F.col("_label"))
-        & ((F.col("m") < F.col("n")) | (F.col("_rep") < F.col("rep")))
+    # components meet first, with one row per item and size, so members of one component never meet
+    groups = small.groupBy("item", "m", "_label").agg(F.min("_place").alias("_first"))
+    sizes = groups.select("item", "m").distinct()
+    pairs = (
+        placed.groupBy("item", "n", "label").agg(F.min("place").alias("first")).join(sizes, "item")
+        .where((F.col("m") <= F.col("n")) & (100 * F.col("m") >= percent * F.col("n")) & (F.col("n") - F.col("first") >= needed(F.col("m"), F.col("n"))))
+        .join(groups, ["item", "m"]).where((F.col("label") != F.col("_label")) & (F.col("m") - F.col("_first") >= needed(F.col("m"), F.col("n"))))
+        .select("item", "n", "label", "m", "_label")
+    )
+    large = placed.join(pairs, ["item", "n", "label"]).where(F.col("n") - F.col("place") >= needed(F.col("m"), F.col("n")))
+    met = large.join(small, ["item", "m", "_label"]).where(
+        ((F.col("m") < F.col("n")) | (F.col("_rep") < F.col("rep")))
         & (F.col("m") - F.col("_place") >= needed(F.col("m"), F.col("n"))))
     return met.select(F.least("rep", "_rep").alias("a"), F.greatest("rep", "_rep").alias("b")).distinct()
 

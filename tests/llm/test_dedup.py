@@ -170,6 +170,19 @@ def test_near_links_do_not_depend_on_ids(spark):
     assert left == {(8, data[2][1]), (8, data[4][1]), (None, data[6][1])}
 
 
+def test_members_of_one_component_never_meet(spark):
+    """A large group torn by one outsider: the members meet by component, and only the pairs across are made."""
+    rng = random.Random(5)
+    sets = [(rep, sorted([*rng.sample(range(100), 97), 1000 + rep, 2000 + rep, 3000 + rep])) for rep in range(31)]
+    df = spark.createDataFrame(sets, "rep bigint, items array<bigint>")
+    members = spark.createDataFrame([(rep, 0 if rep < 30 else 30) for rep, _ in sets], "rep bigint, label bigint")
+    edges = near_dedup.rest_edges(members, df, 85)
+    assert {tuple(r) for r in edges.collect()} == {(rep, 30) for rep in range(30)}
+    plan = edges._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [line for line in plan if "Join " in line and "_rep" in line]
+    assert joins and not any("NOT (label" in line for line in joins)
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(4)
     words = [f"w{i}" for i in range(600)]
