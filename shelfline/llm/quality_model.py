@@ -37,7 +37,7 @@ def statistics(texts: pa.Array) -> pa.Array:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = labelled.TRAINING_ROWS) -> Trees:
     """About `rows` short rows at most of statistics come to the driver."""
     sample = labelled.training_texts(docs, labels, "quality", id_col, text_col, rows)
-    found = sample.select("_id", "y", statistics("text").alias("x")).orderBy("_id").collect()
+    found = sample.select("_id", "_th", "y", statistics("text").alias("x")).orderBy("_id", "_th").collect()
     if not found:
         return train(np.zeros((0, 1)), np.zeros(0))
     return train(np.array([r.x for r in found]), np.array([r.y for r in found]))

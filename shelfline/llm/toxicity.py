@@ -118,11 +118,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     even, odd, whole = lexicons(sample)
     found = [
         r for part, lexicon in ((0, odd), (1, even))
-        for r in sample.where(F.pmod("fold", F.lit(2)) == part).select("_id", "fold", "y", _features(F.col("text"), lexicon).alias("x")).collect()
+        for r in sample.where(F.pmod("fold", F.lit(2)) == part).select("_id", "_th", "fold", "y", _features(F.col("text"), lexicon).alias("x")).collect()
     ]
     if not found:
         return Model(train(np.zeros((0, 1)), np.zeros(0)), isotonic(np.zeros(0), np.zeros(0)), whole)
-    found.sort(key=lambda r: (r["_id"], r["y"]))
+    found.sort(key=lambda r: (r["_id"], r["_th"]))
     x, y = np.array([r["x"] for r in found]), np.array([r["y"] for r in found])
     aside = np.isin([r["fold"] for r in found], CALIBRATION_FOLDS)
     trees = train(x[~aside], y[~aside])

@@ -114,3 +114,15 @@ def test_keep_good_keeps_all_columns(awkward, labels):
     assert quality_model.keep_good(awkward, labels, limit=0.0).columns == awkward.columns
     assert quality_model.keep_good(awkward, labels, limit=0.0).count() == awkward.count()
     assert quality_model.keep_good(awkward, labels, limit=1.01).count() == 0
+
+
+def test_training_rows_are_bounded_where_one_id_has_many_rows(spark):
+    """Rows of the same id and text are one; an id of many texts brings no more rows than the sample may have."""
+    labels = spark.range(1, 101).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    hot = next(i for i in range(1, 101) if zlib.crc32(str(i).encode()) % 5)
+    rows = [(i, f"text {i}") for i in range(1, 101) for _ in range(2)] + [(hot, f"another text {k}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(r._id, r.text) for r in labelled.training_texts(docs, labels, "quality", rows=400).collect()]
+    assert len(got) == len(set(got)) and 250 < len(got) < 550
+    small = labelled.training_texts(docs.where("text like 'text %'"), labels, "quality", rows=400)
+    assert small.count() == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(1, 101))
