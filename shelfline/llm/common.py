@@ -9,6 +9,8 @@ Conventions of every operator in this package
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,15 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over a value that is computed once per row, as no optimizer rule writes a lambda's argument out.
+
+    A column used in the lambdas of another is computed anew per element once projections are merged,
+    for example when a filter is pushed through them.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def id_order(column: str = "doc_id") -> Column:
     """Smallest id first, null last, as one comparable value."""
     return F.struct(F.col(column).isNull(), F.col(column))
@@ -57,4 +68,4 @@ def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*keys), F.lit(buckets)) < F.lit(buckets * rows // total))
 
 
-__all__ = ["WHITE", "WORD", "bounded_sample", "boxed", "cut_lineage", "id_order", "table", "unboxed", "whole_text", "words"]
+__all__ = ["WHITE", "WORD", "bound", "bounded_sample", "boxed", "cut_lineage", "id_order", "table", "unboxed", "whole_text", "words"]

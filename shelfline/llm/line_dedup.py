@@ -23,38 +23,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import boxed, cut_lineage, id_order, unboxed, whole_text
+from shelfline.llm.common import bound, boxed, cut_lineage, id_order, unboxed, whole_text
 
 # Fixed values of the rolling hash: a multiplier and a prime below 2^32, so products fit a long.
 MULTIPLIER = 65_599
 MODULUS = 4_294_967_291
 
 
+def chunks(lines: Column) -> Column:
+    """An array of (start, len) that covers all lines; each array on the way is built once per row."""
+    hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("bigint"))
+    rolling = lambda h: F.transform(
+        h, lambda x, i: (F.coalesce(F.get(h, i - 1), F.lit(0)) * MULTIPLIER + x) % MODULUS)
+    ends = lambda r: F.array_compact(F.transform(
+        r, lambda x, i: F.when((x < F.get(r, i - 1)) & (x < F.get(r, i + 1)), i + 1)))
+    starts = lambda r: F.concat(F.array(F.lit(0)), ends(r))
+    parts = lambda at: F.transform(
+        at, lambda s, i: F.struct(s.alias("start"), (F.coalesce(F.get(at, i + 1), F.size(lines)) - s).alias("len")))
+    return bound(hashes, lambda h: bound(rolling(h), lambda r: bound(starts(r), parts)))
+
+
 def with_chunks(df: DataFrame, text: Column) -> DataFrame:
-    """Adds `_lines` and `_chunks`, an array of (start, len) that covers all lines.
-
-    One projection per step; each array is used more than once by the next step, so it is
-    kept as a value.
-    """
-    line_hash = F.transform("_lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("bigint"))
-    rolling = F.transform(
-        "_hashes", lambda h, i: (F.coalesce(F.get("_hashes", i - 1), F.lit(0)) * MULTIPLIER + h) % MODULUS)
-    ends = F.filter(
-        F.transform("_rolling", lambda r, i: F.when((r < F.get("_rolling", i - 1)) & (r < F.get("_rolling", i + 1)), i + 1)),
-        lambda cut: cut.isNotNull(),
-    )
-    chunks = F.transform(
-        "_starts",
-        lambda s, i: F.struct(s.alias("start"), (F.coalesce(F.get("_starts", i + 1), F.size("_lines")) - s).alias("len")),
-    )
-    return (
-        df.withColumn("_lines", F.split(text, "\n"))
-        .withColumn("_hashes", line_hash)
-        .withColumn("_rolling", rolling)
-        .withColumn("_starts", F.concat(F.array(F.lit(0)), ends))
-        .withColumn("_chunks", chunks)
-        .drop("_hashes", "_rolling", "_starts")
-    )
+    """Adds `_lines` and `_chunks`, an array of (start, len) that covers all lines."""
+    lines = F.split(text, "\n")
+    return df.withColumns({"_lines": lines, "_chunks": bound(lines, chunks)})
 
 
 def body(start: Column, length: Column) -> Column:
@@ -112,7 +104,8 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (
         with_chunks(joined, F.col("_text"))
         .withColumn("_left", F.coalesce(F.array_except("_chunks", "gone"), F.col("_chunks")))
-        .withColumn("_clean", F.array_join(F.flatten(F.transform("_left", lambda c: F.slice("_lines", c["start"] + 1, c["len"]))), "\n"))
+        .withColumn("_clean", bound(F.col("_lines"), lambda lines: F.array_join(
+            F.flatten(F.transform("_left", lambda c: F.slice(lines, c["start"] + 1, c["len"]))), "\n")))
     )
 
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import WHITE, WORD, bounded_sample, cut_lineage, whole_text, words
+from shelfline.llm.common import WHITE, WORD, bound, bounded_sample, cut_lineage, whole_text, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 3
@@ -32,42 +32,36 @@ SAMPLE_ROWS = 1024
 
 def with_counts(docs: DataFrame, text: Column) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (all long)."""
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-    return with_repeated_words(
-        docs.withColumns({"_words": words(text), "_lines": lines}).withColumns({
-            "n_words": F.size("_words").cast("bigint"),
-            "word_chars": (F.char_length(text) - F.regexp_count(text, F.lit(WHITE))).cast("bigint"),
-            "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-        }),
-        "_words",
-    ).drop("_words", "_lines")
-
-
-def with_repeated_words(df: DataFrame, words_col: str, out: str = "n_repeat_words") -> DataFrame:
-    """Words that lie in a 3-word window found twice or more in the same text.
-
-    The steps are separate projections, each used more than once by the next, so the
-    optimizer keeps the sorted array as a value and does not build it per element.
-    """
-    word = F.col(words_col)
+    return docs.withColumns({
+        "n_words": F.regexp_count(text, F.lit(WORD)).cast("bigint"),
+        "word_chars": (F.char_length(text) - F.regexp_count(text, F.lit(WHITE))).cast("bigint"),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint"),
+        "n_dup_lines": bound(worded_lines(text), lambda lines: repeats(lines)).cast("bigint"),
+        "n_repeat_words": bound(words(text), repeated_words),
+    })
+
+
+def worded_lines(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
+
+
+def repeats(items: Column) -> Column:
+    return F.size(items) - F.size(F.array_distinct(items))
+
+
+def repeated_words(word: Column) -> Column:
+    """Words that lie in a 3-word window found twice or more in the same text. Each array is built once per row."""
     starts = F.when(F.size(word) >= WINDOW, F.sequence(F.lit(0), F.size(word) - WINDOW)).otherwise(
         F.array().cast("array<int>"))
     windows = F.transform(
         starts, lambda i: F.struct(F.xxhash64(*[F.get(word, i + k) for k in range(WINDOW)]).alias("h"), i.alias("p")))
     same = lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False))
-    twice = F.transform(
-        "_sorted",
-        lambda x, i: F.when(same(x, F.get("_sorted", i - 1)) | same(x, F.get("_sorted", i + 1)), x["p"]),
-    )
-    covered = F.transform(
-        "_twice", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get("_twice", i + 1) - p, F.lit(WINDOW))))
-    return (
-        df.withColumn("_sorted", F.sort_array(windows))
-        .withColumn("_twice", F.sort_array(F.array_compact(twice)))
-        .withColumn(out, F.aggregate(covered, F.lit(0).cast("bigint"), lambda total, x: total + x))
-        .drop("_sorted", "_twice")
-    )
+    twice = lambda sorted_: F.array_compact(F.transform(
+        sorted_, lambda x, i: F.when(same(x, F.get(sorted_, i - 1)) | same(x, F.get(sorted_, i + 1)), x["p"])))
+    covered = lambda at: F.transform(
+        at, lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(at, i + 1) - p, F.lit(WINDOW))))
+    total = lambda at: F.aggregate(covered(at), F.lit(0).cast("bigint"), lambda sum_, x: sum_ + x)
+    return bound(F.sort_array(windows), lambda sorted_: bound(F.sort_array(twice(sorted_)), total))
 
 
 @dataclass(frozen=True)
@@ -83,7 +77,7 @@ def default_rules(text: Column) -> list[Rule]:
     """
     n_words = F.regexp_count(text, F.lit(WORD))
     count = lambda pattern: F.regexp_count(text, F.lit(pattern))
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
+    many_repeats = bound(worded_lines(text), lambda lines: repeats(lines) * 100 > F.size(lines) * 40)
     same_as_before = F.aggregate(
         words(text),
         F.struct(F.lit("").alias("last"), F.lit(0).alias("n")),
@@ -94,13 +88,16 @@ def default_rules(text: Column) -> list[Rule]:
         Rule("shouting", count("!!") * 100 > n_words * 15),
         Rule("long words", F.char_length(text) > n_words * 30),
         Rule("immediate repeats", same_as_before * 100 > n_words * 20),
-        Rule("repeated lines", (F.size(lines) - F.size(F.array_distinct(lines))) * 100 > F.size(lines) * 40),
+        Rule("repeated lines", many_repeats),
     ]
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], key_cols: Sequence[str], rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(rule, share rejected, seconds) on a sample of about `rows` rows with a small key hash, in one task."""
-    sample = cut_lineage(bounded_sample(docs, rows, *key_cols).coalesce(1))
+    """(rule, share rejected, seconds) on a sample of about `rows` rows with a small key hash.
+
+    Every task of the scan writes its own sampled rows; only what was written is brought into one task.
+    """
+    sample = cut_lineage(cut_lineage(bounded_sample(docs, rows, *key_cols)).coalesce(1))
 
     def timed(column: Column) -> tuple[float, float]:
         began = time.perf_counter()

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from shelfline.llm import (
-    exact_dedup, licences, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, token_counts, toxicity,
+    centroids, exact_dedup, licences, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, substring_dedup,
+    token_counts, toxicity,
 )
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
@@ -118,3 +119,46 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
+
+
+def _clustering_sql(k: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS) -> str:
+    """The rounds written out one after the other: a(r) assigns all vectors to the centroids c(r)."""
+    steps = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                 WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS cluster, v AS c FROM v
+                 QUALIFY cluster < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+                 SELECT vec_id, v, cluster, CAST(list_sum(list_transform(generate_series(1, 64), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS d
+                 FROM v, c{r}) GROUP BY vec_id, v)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN (
+                 SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+                     SELECT cluster, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n FROM a{r}, generate_series(1, 64) AS g(i) GROUP BY cluster, i)
+                 GROUP BY cluster) m USING (cluster))""")
+    return "WITH " + ",\n".join(steps) + f"""
+        SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+@query("op11_centroid_clustering", _clustering_sql())
+def _(spark, sf_dir):
+    return centroids.decide(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_substring_dedup",
+    r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g
+                   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)),
+             m AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g HAVING min(doc_id) < max(doc_id)),
+             r AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM s JOIN m USING (g) WHERE doc_id > first),
+             x AS (SELECT doc_id, list(p) AS p FROM r GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(p), 0) AS BIGINT) AS n_removed,
+               sha256(array_to_string(list_transform(list_filter(generate_series(1, len(w)), lambda i: NOT list_contains(coalesce(p, []), i)),
+                                                     lambda i: w[i]), ' ')) AS kept_sha256
+        FROM d LEFT JOIN x USING (doc_id)""",
+)
+def _(spark, sf_dir):
+    return substring_dedup.decide(table(spark, sf_dir, "documents"))
