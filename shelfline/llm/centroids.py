@@ -53,11 +53,11 @@ def whole_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     )
 
 
-def start_centroids(whole: DataFrame, k: int = CENTROIDS) -> np.ndarray:
+def start_centroids(whole: DataFrame, k: int = CENTROIDS, dimensions: int = DIMENSIONS) -> np.ndarray:
     """The `k` vectors with the smallest hash of their id; every task keeps `k` of its own."""
     mark = F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     rows = whole.orderBy(mark, F.col("id").isNull(), "v").limit(k).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), dimensions)
 
 
 def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,8 +154,8 @@ def moved(whole: DataFrame, centroids: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(whole: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS) -> np.ndarray:
-    centroids = start_centroids(whole, k)
+def fit(whole: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, dimensions: int = DIMENSIONS) -> np.ndarray:
+    centroids = start_centroids(whole, k, dimensions)
     for _ in range(rounds if len(centroids) else 0):
         centroids = moved(whole, centroids)
     return centroids
@@ -171,7 +171,7 @@ def decide(
 ) -> DataFrame:
     """One row per usable vector: vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256."""
     whole = whole_vectors(vectors, id_col, vector_col, dimensions)
-    centroids = fit(whole, k, rounds)
+    centroids = fit(whole, k, rounds, dimensions)
     assigned = cut_lineage(assign(whole, centroids))
     marks = vectors.sparkSession.createDataFrame([(i, digest(c)) for i, c in enumerate(centroids)], "cluster int, centroid_sha256 string")
     sums = assigned.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))

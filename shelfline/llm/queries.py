@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from shelfline.llm import (
     centroids, exact_dedup, licences, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, substring_dedup,
-    token_counts, toxicity,
+    token_alignment, token_counts, toxicity,
 )
 from shelfline.llm.common import table
 from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
@@ -147,6 +147,11 @@ def _(spark, sf_dir):
     return centroids.decide(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_token_alignment")
+def _(spark, sf_dir):
+    return token_alignment.decide(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op13_substring_dedup",
     r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
