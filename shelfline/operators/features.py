@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.operators import boosting
 from shelfline.operators.aggregates import with_group_total
+from shelfline.operators.boosting import BoostedTrees
 from shelfline.plans.ordered import cut_lineage
 
 
@@ -69,54 +71,26 @@ def min_max_scale(df: DataFrame, column: str, keys: Sequence[str] = (), out: str
     ).drop("_lo", "_hi")
 
 
-def train_classifier(
-    train: DataFrame, features: Sequence[str], label: str, seed: int = 1729, rounds: int = 50, min_gain: float = 4.0
-):
-    """Boosted trees for a binary label: depth 5, step 0.2, 50 rounds, 70 % subsample, at
-    least 6 rows per leaf. The trees grow over binned feature statistics summed per
-    partition; the rows stay where they are.
-
-    `min_gain` is the loss a split must save over all train rows; the trainer asks for its mean
-    per row. A null or NaN feature counts as the train mean of its column. Rows without a label are left out.
+def train_classifier(train: DataFrame, features: Sequence[str], label: str, seed: int = 1729, rounds: int = 50, **options) -> BoostedTrees:
+    """Boosted trees for a binary label: depth 5, step 0.2, 50 rounds, 70 % subsample, a child weight
+    (sum of hessians) of 6 or more, and a loss reduction of 4 or more per split. See `operators.boosting`.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import Imputer, VectorAssembler
-
-    known = train.where(F.col(label).isNotNull())
-    filled = [f"_filled_{c}" for c in features]
-    mean = Imputer(inputCols=list(features), outputCols=filled, strategy="mean")
-    shared = VectorAssembler(inputCols=filled, outputCol="features")
-    trees = GBTClassifier(
-        featuresCol="features", labelCol=label, maxDepth=5, stepSize=0.2, maxIter=rounds, subsamplingRate=0.7,
-        minInstancesPerNode=6, minInfoGain=min_gain / max(known.count(), 1), seed=seed, checkpointInterval=10,
-    )
-    return Pipeline(stages=[mean, shared, trees]).fit(known)
-
+    return boosting.train(train, features, label, seed, rounds, **options)
 
-def score(model, df: DataFrame) -> DataFrame:
-    """Every row with its probability `p`; missing features count as in training."""
-    from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(df).withColumn("p", vector_to_array("probability")[1])
-    return scored.select(*df.columns, "p")
+def score(model: BoostedTrees, df: DataFrame) -> DataFrame:
+    """Every row with its probability `p`; missing features go the way they went in training."""
+    return boosting.score(model, df)
 
 
-def tree_summary(model, df: DataFrame) -> DataFrame:
-    """One row per tree of the model: weight, depth, nodes."""
-    trees = model.stages[-1]
-    rows = [
-        (i, float(w), int(t.depth), int(t.numNodes)) for i, (t, w) in enumerate(zip(trees.trees, trees.treeWeights))
-    ]
-    return df.sparkSession.createDataFrame(rows, "tree int, weight double, depth int, nodes int")
+def tree_nodes(model: BoostedTrees, df: DataFrame) -> DataFrame:
+    """One row per node of the model's trees."""
+    return boosting.nodes(model, df.sparkSession)
 
 
-def feature_importance(model, features: Sequence[str], df: DataFrame) -> DataFrame:
-    """Importance of each feature, scaled to sum 1."""
-    raw = model.stages[-1].featureImportances.toArray()
-    total = float(raw.sum()) or 1.0
-    rows = [(name, float(v) / total) for name, v in zip(features, raw)]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+def feature_importance(model: BoostedTrees, df: DataFrame) -> DataFrame:
+    """Importance of each feature: its share of the loss saved by all splits."""
+    return df.sparkSession.createDataFrame(boosting.importance(model), "feature string, importance double")
 
 
 def predicted_class(p: Column) -> Column:
