@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.session import scratch_path, scratch_table
+from shelfline.session import passing_shuffles, scratch_path, scratch_table, sweep, tie_to_result
 
 SLICE = "_slice"
 LINE = "_line"
@@ -32,15 +32,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     The plan is run exactly once, a lost executor costs a re-read only, later
     branches read just the columns they use, and the planner knows the true
-    size of what it joins.
+    size of what it joins. The files go with the scope, else when nothing reads them any more.
     """
-    table = scratch_table()
-    if table:  # dropped with its scope
-        df.write.format("parquet").saveAsTable(table)
-        return df.sparkSession.table(table)
-    path = scratch_path(df.sparkSession, "rows")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, table = df.sparkSession, scratch_table()
+    with passing_shuffles(spark):
+        if table:  # dropped with its scope
+            df.write.format("parquet").saveAsTable(table)
+            return spark.table(table)
+        sweep(spark)
+        path = scratch_path(spark, "rows")
+        df.write.parquet(path)
+    return tie_to_result(spark.read.schema(df.schema).parquet(path), path)
 
 
 def keys_present(df: DataFrame, keys: Sequence[str]) -> DataFrame:

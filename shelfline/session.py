@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,6 +23,9 @@ SETTINGS = {
 }
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app: str = "shelfline", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -81,7 +84,58 @@ def scratch_table() -> str | None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for written files; never reused, so nothing is overwritten."""
+    """A fresh path for written files; never reused, so nothing is overwritten. Its folder goes with the scope, or with the application."""
     scope = _scope.get()
-    folder = scope[1] if scope else shared_dir(spark).rstrip("/")
-    return f"{folder}/scratch-{uuid.uuid4().hex}/{name}"
+    if scope:
+        return f"{scope[1]}/scratch-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    path, store = _stored(spark, folder)
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return f"{folder}/{name}"
+
+
+def _stored(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+# Written rows that no scope drops: (weak reference to the relation that reads them, their folder), by application.
+_written: list[tuple[str, object, str]] = []
+
+
+def tie_to_result(df: DataFrame, path: str) -> DataFrame:
+    """Rows read back from `path`: the files go once no frame, plan or cached result reads them any more.
+
+    All frames made from this one share its relation; when the JVM has let go of that, the next call removes the files.
+    """
+    spark = df.sparkSession
+    relation = df._jdf.queryExecution().analyzed().relation().location()
+    reference = spark.sparkContext._jvm.java.lang.ref.WeakReference(relation)
+    _written.append((spark.sparkContext.applicationId, reference, path.rsplit("/", 1)[0]))
+    return df
+
+
+def sweep(spark: SparkSession) -> int:
+    """Remove written rows that nothing can read any more; the number of folders removed."""
+    mine, gone = spark.sparkContext.applicationId, 0
+    for entry in list(_written):
+        if entry[0] != mine:  # went with its application
+            _written.remove(entry)
+        elif entry[1].get() is None:
+            path, store = _stored(spark, entry[2])
+            store.delete(path, True)
+            _written.remove(entry)
+            gone += 1
+    return gone
+
+
+@contextlib.contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside are removed when each write is done: what was written is read from then on."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
