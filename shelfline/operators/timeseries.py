@@ -7,11 +7,12 @@ in whole periods of `STEP` days counted from a fixed Monday.
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,78 +127,213 @@ def forecast_seasonal_naive(df: DataFrame, keys: Sequence[str], at: str, y: str,
 
 
 SEASON = 52.18  # periods of a year in the wave terms
-SPAN = 520.0  # periods that count as one unit of trend
+CHANGES = 25  # places where the trend may bend, evenly over the first BENDING of an item's history
+BENDING = 0.8
+CHANGE_SCALE = 0.05  # prior scale of a bend, in units of the item's largest value over its whole span
+SIMULATIONS = 1000
 
 
-def _terms(at: str | Column, order: int, regressors: Sequence[str]) -> list[Column]:
-    """Intercept, trend, yearly sine and cosine waves and the regressors of a date, as columns."""
-    t = period_number(at).cast("double")
-    waves = [f(t * (2 * math.pi * k / SEASON)) for k in range(1, order + 1) for f in (F.sin, F.cos)]
-    given = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in regressors]
-    return [F.lit(1.0), (t - F.lit(3 * SPAN)) / F.lit(SPAN), *waves, *given]
+def _design(period: np.ndarray, span: np.ndarray, order: int, changes: int, given: np.ndarray) -> np.ndarray:
+    """Per row: 1, time as a share of the history, its excess over every change point, yearly waves, regressors."""
+    places = BENDING * np.arange(1, changes + 1) / max(changes, 1)
+    angle = period[:, None] * (2 * math.pi * np.arange(1, order + 1) / SEASON)
+    bends = np.maximum(span[:, None] - places, 0.0)
+    return np.concatenate([np.ones((len(period), 1)), span[:, None], bends, np.sin(angle), np.cos(angle), given], axis=1)
 
 
-def _dot(weights: Column, terms: Sequence[Column]) -> Column:
-    total = F.get(weights, F.lit(0)) * terms[0]
-    for i, term in enumerate(terms[1:], 1):
-        total = total + F.get(weights, F.lit(i)) * term
-    return total
+def _span(period: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    return (period - lo) / np.maximum(hi - lo, 1)
+
+
+def sparse_solve(gram: np.ndarray, right: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    """The weights w with the least w'Gw/2 - r'w + sum(penalty * |w|), by a search over their signs; no penalty leaves a weight free.
+
+    A weight joins when its gradient exceeds its penalty; the joined ones are solved for together, and where one would
+    change its sign on the way, the best point of the way is taken. Every step lowers the target, so the search ends.
+    """
+    free = penalty == 0
+    w, sign, active = np.zeros(len(right)), np.zeros(len(right)), free.copy()
+
+    def target(x: np.ndarray) -> float:
+        return float(x @ gram @ x / 2 - right @ x + penalty @ np.abs(x))
+
+    for _ in range(20 * len(right)):
+        while True:
+            at = np.flatnonzero(active)
+            new = np.zeros_like(w)
+            if len(at):
+                new[at] = np.linalg.solve(gram[np.ix_(at, at)], right[at] - penalty[at] * sign[at])
+            turned = active & ~free & (np.sign(new) != sign)
+            if not turned.any():
+                w = new
+                break
+            step = new - w
+            crossing = np.flatnonzero(active & ~free & (w * new < 0))
+            points = [new, *(w - step * (w[i] / step[i]) for i in crossing)]
+            for point, i in zip(points[1:], crossing):
+                point[i] = 0.0
+            best = min(points, key=target)
+            if target(best) >= target(w) - 1e-15:
+                break
+            w = best
+            active &= free | (w != 0)
+            sign = np.where(free, 0.0, np.sign(w))
+        left = gram @ w - right
+        excess = np.where(active, 0.0, np.abs(left) - penalty)
+        joins = int(excess.argmax())
+        if excess[joins] <= 1e-12 + 1e-9 * abs(penalty[joins]):
+            break
+        active[joins], sign[joins] = True, -np.sign(left[joins])
+    return w
+
+
+def solve_additive(
+    n: float, square: float, gram: np.ndarray, right: np.ndarray, changes: int, ridge: float, change_scale: float = CHANGE_SCALE
+) -> tuple[np.ndarray, float]:
+    """(weights, sigma) of scaled values: the penalty of a bend is sigma^2 / change_scale, sigma^2 the mean squared rest.
+
+    Both are found in turns, beginning without bends, until sigma stands still.
+    """
+    width = len(right)
+    held = gram + ridge * np.diag([0.0] + [1.0] * (width - 1))
+    bends = np.zeros(width, bool)
+    bends[2: 2 + changes] = True
+    rest = lambda w: max((square - 2 * w @ right + w @ gram @ w) / max(n, 1), 1e-8)
+    straight = np.flatnonzero(~bends)
+    w = np.zeros(width)
+    w[straight] = np.linalg.solve(held[np.ix_(straight, straight)], right[straight])
+    variance = rest(w)
+    for _ in range(50):
+        w = sparse_solve(held, right, np.where(bends, variance / change_scale, 0.0))
+        before, variance = variance, rest(w)
+        if abs(variance - before) <= 1e-6 * before:
+            break
+    return w, math.sqrt(variance)
 
 
 def fit_additive(
-    df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3
+    df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3, changes: int = CHANGES
 ) -> DataFrame:
-    """Per item: n, the ridge weights of trend, waves and regressors, the residual spread, and
-    `gradient`, the largest remainder of the normal equations relative to their right side.
+    """Per item: n, first and last period `lo` and `hi`, the largest absolute value `scale`, and for values divided by it the
+    weights of level, trend, bends, waves and regressors, the spread `sigma` and the mean size of a bend `bend`.
 
-    The normal equations are sums over the rows, added up by one built-in aggregate per item;
-    only the small solve of each item is numpy. An item without a target has null weights.
+    Every task adds up the normal equations of the rows it reads, per item, so no item's rows need to meet; the few sums of
+    an item meet and are solved. An item without a target has no row.
     """
-    terms = _terms(at, order, regressors)
-    width = len(terms)
-    target = F.col(y).cast("double")
-    pairs = [(i, j) for i in range(width) for j in range(i, width)]
-    sums = df.where(target.isNotNull()).groupBy(F.col(item).alias("item")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(target * target).alias("_yy"),
-        F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("_xx"), F.array(*[F.sum(t * target) for t in terms]).alias("_xy"),
-    )
-
-    @F.pandas_udf("weights array<double>, sigma double, gradient double")
-    def solve(n: pd.Series, yy: pd.Series, xx: pd.Series, xy: pd.Series) -> pd.DataFrame:
-        penalty = ridge * np.eye(width)
-        penalty[0, 0] = 0.0
-        out = []
-        for count, square, upper, right in zip(n, yy, xx, xy):
-            gram = np.zeros((width, width))
-            for (i, j), value in zip(pairs, upper):
-                gram[i, j] = gram[j, i] = value
-            right = np.asarray(right, float)
-            weights = np.linalg.lstsq(gram + penalty, right, rcond=None)[0]
-            rest = max(square - 2 * weights @ right + weights @ gram @ weights, 0.0)
-            left = (gram + penalty) @ weights - right
-            out.append((weights.tolist(), math.sqrt(rest / max(count - width, 1)), float(np.abs(left).max() / max(np.abs(right).max(), 1.0))))
-        return pd.DataFrame(out, columns=["weights", "sigma", "gradient"])
-
-    return sums.select("item", "n", solve("n", "_yy", "_xx", "_xy").alias("fit")).select("item", "n", "fit.*")
+    width = 2 + changes + 2 * order + len(regressors)
+    upper = np.triu_indices(width)
+    rows = df.where(F.col(y).isNotNull()).select(
+        F.col(item).cast("string").alias("item"), period_number(at).cast("double").alias("p"), F.col(y).cast("double").alias("y"),
+        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in regressors]).cast("array<double>").alias("given"))
+    spans = rows.groupBy(F.col("item").alias("_item")).agg(
+        F.min("p").alias("lo"), F.max("p").alias("hi"), F.greatest(F.max(F.abs("y")), F.lit(1e-12)).alias("scale"))
+    placed = rows.join(spans, F.col("item").eqNullSafe(F.col("_item"))).select("item", "lo", "hi", "scale", "p", "y", "given")
+    sums = "item string, lo double, hi double, scale double, n double, yy double, xx array<double>, xy array<double>"
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+
+        def out():
+            keys = list(held)
+            columns = [pa.array([k[0] for k in keys], pa.string()), *[pa.array([k[j] for k in keys], pa.float64()) for j in (1, 2, 3)]]
+            for j in range(4):
+                columns.append(pa.array([held[k][j] for k in keys], pa.float64() if j < 2 else pa.list_(pa.float64())))
+            return pa.RecordBatch.from_arrays(columns, [f.split(" ")[0] for f in sums.split(", ")])
+
+        for batch in batches:
+            numbers = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:6]]
+            lo, hi, scale, period, value = numbers
+            given = batch.column(6).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(regressors))
+            x = _design(period, _span(period, lo, hi), order, changes, given)
+            codes = batch.column(0).dictionary_encode(null_encoding="encode")
+            index = codes.indices.to_numpy()
+            by_item = np.argsort(index, kind="stable")
+            borders = np.flatnonzero(np.diff(index[by_item], prepend=-1, append=-2))
+            names = codes.dictionary.to_pylist()
+            for a, b in zip(borders[:-1], borders[1:]):
+                mine = by_item[a:b]
+                first = mine[0]
+                part, target = x[mine], value[mine] / scale[first]
+                key = (names[index[first]], lo[first], hi[first], scale[first])
+                new = (float(b - a), float(target @ target), (part.T @ part)[upper], part.T @ target)
+                held[key] = tuple(p + q for p, q in zip(held[key], new)) if key in held else new
+            if len(held) >= 1000:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    def solved(table: pa.Table) -> pa.Table:
+        n, square = (float(np.sum(table.column(c).to_numpy())) for c in ("n", "yy"))
+        gram, right = np.zeros((width, width)), np.zeros(width)
+        parts = lambda c, k: table.column(c).combine_chunks().flatten().to_numpy().reshape(-1, k).sum(axis=0)
+        gram[upper] = parts("xx", len(upper[0]))
+        gram = gram + np.triu(gram, 1).T
+        right = parts("xy", width)
+        w, sigma = solve_additive(n, square, gram, right, changes, ridge)
+        head = table.select(["item", "lo", "hi", "scale"]).slice(0, 1)
+        bend = float(np.abs(w[2: 2 + changes]).mean()) if changes else 0.0
+        for name, value in (("n", pa.array([int(n)])), ("weights", pa.array([w.tolist()])), ("sigma", pa.array([sigma])), ("bend", pa.array([bend]))):
+            head = head.append_column(name, value)
+        return head
+
+    fitted = "item string, lo double, hi double, scale double, n long, weights array<double>, sigma double, bend double"
+    return placed.mapInArrow(added, sums).groupBy("item").applyInArrow(solved, fitted)
+
+
+def simulated_bounds(
+    item: str | None, period: float, ahead: float, sigma: float, bend: float, changes: int, seed: int, level: float = 0.95
+) -> tuple[float, float]:
+    """Bounds of the rest around a forecast whose time lies `ahead` of the history (as a share of it).
+
+    The trend goes on bending as often and as much as it did: a Poisson number of bends at even places, of Laplace size, plus noise.
+    """
+    name = np.frombuffer(hashlib.sha256(f"{seed}:{item}:{period:.0f}".encode()).digest(), np.uint32)
+    draw = np.random.default_rng(name)
+    rest = draw.normal(0.0, sigma, SIMULATIONS)
+    if ahead > 0 and bend > 0:
+        n = draw.poisson(changes / BENDING * ahead, SIMULATIONS)
+        run = np.repeat(np.arange(SIMULATIONS), n)
+        rest += np.bincount(run, draw.laplace(0.0, bend, len(run)) * draw.uniform(0.0, ahead, len(run)), SIMULATIONS)
+    return tuple(np.quantile(rest, [(1 - level) / 2, (1 + level) / 2]).tolist())
 
 
 def forecast_additive(
-    df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3
+    df: DataFrame, item: str, at: str, y: str, order: int = 3, regressors: Sequence[str] = (), ridge: float = 1e-3, changes: int = CHANGES,
+    seed: int = 1729,
 ) -> DataFrame:
-    """Trend plus yearly waves per item with a 95 % interval.
+    """A trend that bends, plus yearly waves and regressors per item, with a simulated 95 % interval.
 
     Rows with a target are fitted, rows without one are forecast; regressors (holiday flags, encoded
     columns) must be set on both. The order asked for is used whatever the length of the history; the
     ridge keeps short ones tame. An item without any target has a null forecast.
     """
-    fit = fit_additive(df, item, at, y, order, regressors, ridge)
-    coming = df.where(F.col(y).isNull()).withColumnRenamed(item, "item")
-    yhat = _dot(F.col("weights"), _terms(at, order, regressors))
-    half = 1.96 * F.col("sigma")
-    return (
-        coming.join(fit, "item", "left").withColumn("yhat", yhat)
-        .select(F.col("item").cast("string").alias("item"), at, "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
-    )
+    fit = fit_additive(df, item, at, y, order, regressors, ridge, changes)
+    coming = df.where(F.col(y).isNull()).select(
+        F.col(item).cast("string").alias("_item"), F.col(at), period_number(at).cast("double").alias("_p"),
+        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in regressors]).cast("array<double>").alias("_given"))
+
+    @F.arrow_udf("yhat double, yhat_lower double, yhat_upper double")
+    def predicted(
+        names: pa.Array, period: pa.Array, given: pa.Array, lo: pa.Array, hi: pa.Array, scale: pa.Array, weights: pa.Array,
+        sigma: pa.Array, bend: pa.Array,
+    ) -> pa.Array:
+        known = weights.is_valid().to_numpy(zero_copy_only=False)
+        out = np.full((3, len(names)), np.nan)
+        p, low, high, size, spread, bends = (c.to_numpy(zero_copy_only=False)[known] for c in (period, lo, hi, scale, sigma, bend))
+        if known.any():
+            span = _span(p, low, high)
+            extra = given.flatten().to_numpy(zero_copy_only=False).reshape(len(names), len(regressors))[known]
+            w = weights.filter(pa.array(known)).flatten().to_numpy().reshape(len(p), -1)
+            mid = (_design(p, span, order, changes, extra) * w).sum(axis=1)
+            items = [x for x, k in zip(names.to_pylist(), known) if k]
+            around = np.array([simulated_bounds(*row, changes, seed) for row in zip(items, p, span - 1, spread, bends)])
+            out[:, known] = np.stack([mid, mid + around[:, 0], mid + around[:, 1]]) * size
+        return pa.StructArray.from_arrays([pa.array(x, from_pandas=True) for x in out], ["yhat", "yhat_lower", "yhat_upper"])
+
+    joined = coming.join(fit, F.col("_item").eqNullSafe(F.col("item")), "left")
+    made = predicted("_item", "_p", "_given", "lo", "hi", "scale", "weights", "sigma", "bend")
+    return joined.withColumn("_f", made).select(F.col("_item").alias("item"), at, "_f.yhat", "_f.yhat_lower", "_f.yhat_upper")
 
 
 def forecast_quantiles(
