@@ -11,7 +11,7 @@ Anchors held by several ids are extended in two steps. First by their context, t
 that any window around the anchor can reach: where a smaller id has the very same context, all those windows are
 shared at once. What is left is extended window by window: its windows are hashed, and the smallest id
 per window decides. An id that has a smaller partner in context can not be the smallest holder
-of any of these windows, so it needs no window of its own.
+of any of these windows, so it needs no window of its own; neither does an anchor that only one id is left with.
 
 What travels: 6 slim rows per 31 words, then rows of repeated anchors only. Hashes of windows and contexts have
 128 bits. Smallest ids are partial aggregates; they come back by a join in which the keys that hold more than
@@ -201,8 +201,9 @@ def removed_runs(keyed: DataFrame) -> DataFrame:
     repeated = cut_lineage(with_smallest(anchors, "anchor").drop("_first"))
     # where a smaller id has the context, so has it all windows around the anchor
     settled = cut_lineage(
-        with_smallest(repeated, "anchor", "context", others=True).select("_id", "_th", "at", _later().alias("gone")))
-    spots = settled.where("not gone").groupBy(*key).agg(F.collect_set("at").alias("spots"))
+        with_smallest(repeated, "anchor", "context", others=True).select("_id", "_th", "at", "anchor", _later().alias("gone")))
+    # an anchor left in one id only has no partner with another context
+    spots = with_smallest(settled.where("not gone"), "anchor").groupBy(*key).agg(F.collect_set("at").alias("spots"))
     windows = cut_lineage(
         keyed.join(spots, _on_key(keyed, spots)).select("_id", "_th", "_text", "spots")
         .mapInArrow(_window_rows, f"_id {kind}, _th long, at int, w0 long, w1 long"))
