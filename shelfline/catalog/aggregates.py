@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfline.catalog.registry import query
 from shelfline.operators import aggregates as A
 from shelfline.operators.windows import pareto_head
-from shelfline.plans.ordered import running_sum
+from shelfline.plans.ordered import cut_lineage, running_sum
 from shelfline.views import (
     ATTR, DOCS_LEFT, KW, SCORED, documents_with_labels, keyword_traffic,
     labelled_keywords, scored_labels,
@@ -45,7 +45,7 @@ DESCRIBE_SQL = """count(impressions) AS n, round(avg(impressions), 6) AS mean,
 
 @query("agg_describe", f"WITH {KW} SELECT product_type, {DESCRIBE_SQL} FROM kw GROUP BY 1")
 def _(t):
-    stats = A.describe(keyword_traffic(t), ["product_type"], "impressions")
+    stats = A.describe(cut_lineage(keyword_traffic(t)), ["product_type"], "impressions")
     return _rounded(stats, ["mean", "std", "p25", "p50", "p75"]).orderBy(F.desc("n"), "product_type")
 
 
@@ -66,7 +66,7 @@ def _(t):
 @query("agg_describe_global", f"WITH {KW} SELECT {DESCRIBE_SQL} FROM kw WHERE product_type = 'PROMO'")
 def _(t):
     kept = keyword_traffic(t).where("product_type = 'PROMO'")
-    return _rounded(A.describe(kept, [], "impressions"), ["mean", "std", "p25", "p50", "p75"])
+    return _rounded(A.describe(cut_lineage(kept), [], "impressions"), ["mean", "std", "p25", "p50", "p75"])
 
 
 @query(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.plans.ordered import keys_present, rank_picks, ranked_values
+from shelfline.plans.ordered import bracketed_quantiles, keys_present, rank_picks, ranked_values
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 # A cell and the row around it must stay below the 2 GB a row can have.
@@ -20,35 +20,23 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and interpolated quartiles per group.
 
-    The deviation of a one-row group falls back to its minimum. Where quartiles
-    are wanted, every figure comes from the ranked value counts, so the input
-    is read once; otherwise one plain aggregate does.
+    The deviation of a one-row group falls back to its minimum. The quartiles come from sketched brackets and
+    an exact ranking inside them (`bracketed_quantiles`), all other figures from the same aggregate as the sketch.
     """
     if not keys:
         return describe(df.withColumn("_all", F.lit(0)), ["_all"], value, columns).drop("_all")
-    qs = [QUARTILES[c] for c in columns if c in QUARTILES]
-    if not qs:
-        plain = {
-            "n": F.count(value),
-            "mean": F.avg(value),
-            "std": F.coalesce(F.stddev_samp(value), F.min(value).cast("double")),
-            "min": F.min(value),
-            "max": F.max(value),
-        }
-        return keys_present(df, keys).groupBy(*keys).agg(*[plain[c].alias(c) for c in columns])
-    v, n, mean = F.col(value).cast("double"), F.col("_n"), F.col("_sum") / F.col("_size")
-    picks, quartiles = rank_picks(value, qs)
-    spread = F.sqrt(F.try_divide(F.sum(n * (v - mean) * (v - mean)), F.sum(n) - 1))
-    figures = {
-        "n": F.sum(n),
-        "mean": F.max(mean),
-        "std": F.coalesce(spread, F.min(v)),
+    plain = {
+        "n": F.count(value),
+        "mean": F.avg(value),
+        "std": F.coalesce(F.stddev_samp(value), F.min(value).cast("double")),
         "min": F.min(value),
         "max": F.max(value),
     }
-    wanted = [figures[c].alias(c) for c in columns if c in figures]
-    stats = ranked_values(df, keys, value).groupBy(*keys).agg(*picks, *wanted)
-    return stats.select(*keys, *[c for c in columns if c in figures], *quartiles).select(*keys, *columns)
+    wanted = {c: plain[c] for c in columns if c in plain}
+    qs = [QUARTILES[c] for c in columns if c in QUARTILES]
+    if not qs:
+        return keys_present(df, keys).groupBy(*keys).agg(*[a.alias(c) for c, a in wanted.items()])
+    return bracketed_quantiles(df, keys, value, qs, **wanted).select(*keys, *columns)
 
 
 def value_counts(df: DataFrame, column: str, out: str = "n") -> DataFrame:

@@ -204,15 +204,75 @@ def rank_picks(value: str, qs: Sequence[float]) -> tuple[list[Column], list[Colu
     return picks, cols
 
 
+# Accuracy of the sketch that brackets a quantile: a bracket holds about 6 / ACCURACY of a group's rows.
+ACCURACY = 2000
+BELOW, INSIDE, ABOVE = 0, 1, 2
+
+
+def bracket_stats(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], **extra: Column) -> DataFrame:
+    """One row per group with a non-null value: `_cuts`, two values around each quantile from a mergeable sketch, and `extra` aggregates."""
+    margin = 3.0 / ACCURACY
+    ends = [min(max(q + side, 0.0), 1.0) for q in qs for side in (-margin, margin)]
+    cuts = F.percentile_approx(value, ends, ACCURACY).alias("_cuts")
+    present = keys_present(df, keys).where(F.col(value).isNotNull())
+    return cut_lineage(present.groupBy(*keys).agg(cuts, *[a.alias(n) for n, a in extra.items()]))
+
+
+def bracket_counts(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], stats: DataFrame) -> DataFrame:
+    """Per group and quantile `_q`: the values inside the bracket with their count `_n`, and one row each for all below and above it.
+
+    Counted where the rows lie; what travels is these counts. `_v` is the value, or the one nearest to the bracket.
+    """
+    named = stats.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_cuts")
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & (F.col(k) == F.col(f"_g{i}"))
+    present = df.where(F.col(value).isNotNull()).join(named, on)
+    v = F.col(value)
+    zones = F.array(*[
+        F.struct(F.lit(i).alias("q"), F.when(v < F.get("_cuts", F.lit(2 * i)), BELOW).when(v > F.get("_cuts", F.lit(2 * i + 1)), ABOVE).otherwise(INSIDE).alias("zone"))
+        for i in range(len(qs))
+    ])
+    placed = present.select(*keys, v.alias("_v"), F.explode(zones).alias("_z"))
+    own = F.when(F.col("_z.zone") == INSIDE, F.col("_v"))
+    nearest = F.when(F.col("_zone") == BELOW, F.max("_v")).otherwise(F.min("_v"))
+    return placed.groupBy(*keys, F.col("_z.q").alias("_q"), F.col("_z.zone").alias("_zone"), own.alias("_own")).agg(
+        nearest.alias("_v"), F.count(F.lit(1)).alias("_n")).drop("_own")
+
+
+def bracketed_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], **extra: Column) -> DataFrame:
+    """Exact quantiles per group with linear interpolation, one column per q (p25, p50, ...), and the `extra` aggregates.
+
+    A sketch brackets each quantile; then the rows below the bracket are counted and only the values inside it
+    are ranked. Near-unique values of a large table are never shuffled. The input runs twice: settle a costly one first.
+    The sketch's error is bounded, so a rank outside its bracket cannot occur; it would fail the job, not give a wrong value.
+    """
+    stats = bracket_stats(df, keys, value, qs, **extra)
+    counts = bracket_counts(df, keys, value, qs, stats)
+    ranked = running_sum(
+        counts, [*keys, "_q"], [F.col("_zone").asc(), F.col("_v").asc()], "_n", "_upto", {"_size": F.sum("_n")})
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast(df.schema[value].dataType)
+    picks, columns = [], []
+    for i, q in enumerate(qs):
+        spot = (F.col("_size") - 1) * F.lit(float(q))
+        name = quantile_name(q)
+        for end, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
+            here = (F.col("_q") == i) & (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
+            # of the rows below only the last is known, of those above only the first
+            far = (F.col("_zone") == BELOW) & (F.col("_upto") - 1 != rank) | (F.col("_zone") == ABOVE) & (F.col("_upto") - F.col("_n") != rank)
+            picks.append(F.max(F.when(here, F.when(far, missed).otherwise(F.col("_v")))).alias(f"_{end}_{name}"))
+        picks.append(F.max(F.when(F.col("_q") == i, spot - F.floor(spot))).alias(f"_f_{name}"))
+        lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
+        columns.append((lo + (hi - lo) * F.col(f"_f_{name}")).alias(name))
+    found = ranked.groupBy(*keys).agg(*picks).select(*keys, *columns)
+    return stats.drop("_cuts").join(found, list(keys)) if extra else found
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float]
 ) -> DataFrame:
-    """Quantiles per group with linear interpolation, one column per q (p25, p50, ...).
-
-    No group is held in memory, unlike the built-in exact percentile.
-    """
-    picks, cols = rank_picks(value, qs)
-    return ranked_values(df, keys, value).groupBy(*keys).agg(*picks).select(*keys, *cols)
+    """Quantiles per group with linear interpolation, one column per q (p25, p50, ...)."""
+    return bracketed_quantiles(df, keys, value, qs)
 
 
 def hash_rank(key_cols: Sequence[str], seed: int) -> Column:
