@@ -23,4 +23,4 @@ def _(t):
         rows.where(wanted).write.mode("errorifexists").parquet(f"{landing}/delivery-{i}")
         run = grow_master(t.spark, landing, rows.schema, master, progress, keys=rows.columns, files_per_batch=8)
         run.awaitTermination()
-    return read_master(t.spark, master)
+    return read_master(t.spark, master, rows.schema)

@@ -89,13 +89,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if scope:
         return f"{scope[1]}/scratch-{uuid.uuid4().hex}/{name}"
     folder = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
-    path, store = _stored(spark, folder)
+    path, store = stored(spark, folder)
     store.mkdirs(path)
     store.deleteOnExit(path)
     return f"{folder}/{name}"
 
 
-def _stored(spark: SparkSession, folder: str):
+def stored(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -123,7 +123,7 @@ def sweep(spark: SparkSession) -> int:
         if entry[0] != mine:  # went with its application
             _written.remove(entry)
         elif entry[1].get() is None:
-            path, store = _stored(spark, entry[2])
+            path, store = stored(spark, entry[2])
             store.delete(path, True)
             _written.remove(entry)
             gone += 1
