@@ -121,13 +121,13 @@ def _(t):
     "join_prediction_to_key",
     f"""WITH {LLM_OUT}, cat AS (SELECT id, CASE WHEN contains(output, '<category>')
                THEN regexp_extract(output, '<category><item>([a-z0-9]+)', 1) END AS category FROM llm_out),
-             nodes AS (SELECT DISTINCT source AS path, upper(md5(source)) AS node_key FROM documents WHERE source <> 'src3')
+             nodes AS (SELECT DISTINCT source AS path, upper(md5(source)) AS node_key FROM documents)
         SELECT id, category, node_key FROM cat LEFT JOIN nodes ON category = path""",
 )
 def _(t):
-    # a reply with two tags names the category in the first of them that holds an answer
+    # a reply with two tags names the category in the first of them that holds an answer; one without an answer finds no node
     predicted = model_replies(t).select("id", first_answer(F.col("output"), "category").alias("category"))
-    nodes = t.documents.where("source <> 'src3'").select(F.col("source").alias("path")).distinct()
+    nodes = t.documents.select(F.col("source").alias("path")).distinct()
     return J.join_renamed(predicted, nodes.withColumn("node_key", F.upper(F.md5("path"))), {"category": "path"})
 
 

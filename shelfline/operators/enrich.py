@@ -11,6 +11,7 @@ down before anything downstream reads them twice.
 from __future__ import annotations
 
 import random
+import re
 import threading
 import time
 from collections import deque
@@ -19,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import SENTINELS, fingerprint, render_template, tag_text
@@ -42,11 +43,14 @@ def build_prompts(
 
 
 class Pace:
-    """At most `rate` starts per second within one task, over all its threads."""
+    """At most `rate` starts per second within one task, over all its threads.
+
+    The first start waits as well, so tasks that follow each other in a slot keep the gap between them.
+    """
 
     def __init__(self, rate: float | None):
         self.gap = 1.0 / rate if rate else 0.0
-        self.next = 0.0
+        self.next = time.monotonic() + self.gap
         self.lock = threading.Lock()
 
     def wait(self) -> None:
@@ -59,6 +63,26 @@ class Pace:
         time.sleep(at - now)
 
 
+def task_slots(spark: SparkSession) -> int | None:
+    """How many tasks the application can run at once at most; None where its settings do not bound that."""
+    conf = spark.sparkContext.getConf()
+    cpus = int(conf.get("spark.task.cpus", "1"))
+    local = re.fullmatch(r"local\[(\d+)(?:,\d+)?\]", spark.sparkContext.master)
+    if local:
+        return max(int(local[1]) // cpus, 1)
+    cores = conf.get("spark.executor.cores", None)
+    dynamic = conf.get("spark.dynamicAllocation.enabled", "false") == "true"
+    executors = conf.get("spark.dynamicAllocation.maxExecutors" if dynamic else "spark.executor.instances", None)
+    if cores and executors:
+        return max(int(cores) // cpus, 1) * int(executors)
+    most = conf.get("spark.cores.max", None)
+    return max(int(most) // cpus, 1) if most else None
+
+
+# Rows held per thread while an early call of theirs has not answered.
+HELD = 200
+
+
 # The status of a row without a prompt, which is not sent.
 NO_PROMPT = "no prompt"
 
@@ -93,18 +117,21 @@ def batch_infer(
     partitions: int | None = None,
     calls_per_second: float | None = None,
     spread: bool = True,
+    slots: int | None = None,
 ) -> DataFrame:
     """Add generated_text, time_taken_sec, attempts and error to every row.
 
     `partitions` caps the concurrency and deals the rows out evenly, equal prompts too; `spread=False` says
-    that the rows lie in so many partitions already. With `calls_per_second` each partition gets its even
-    share of the rate. The calls of the next batch of rows are submitted before the last of the
-    batch before it has answered, so a slow call does not leave the other threads idle. A null prompt is not sent.
+    that the rows lie in so many partitions already. `calls_per_second` holds for the job: it is shared by the tasks that
+    can run at once, which are the partitions or, where fewer, the task `slots` of the application (found
+    from its settings when not given). Rows are read on while threads are free, so neither a slow call nor small
+    batches leave them idle; up to `HELD` answered rows per thread wait for a slow call before them. A null prompt is not sent.
     """
     if calls_per_second is not None and partitions is None:
         raise ValueError("a call rate needs a fixed number of partitions")
     dealt = df.repartition(partitions) if partitions and spread else df
-    rate = calls_per_second / partitions if calls_per_second else None
+    at_once = min(partitions, slots or task_slots(df.sparkSession) or partitions) if calls_per_second else None
+    rate = calls_per_second / at_once if calls_per_second else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
@@ -115,14 +142,38 @@ def batch_infer(
             replies = pd.DataFrame([c.result() for c in calls], columns=columns).astype({"attempts": "int32"})
             return pd.concat([pdf.reset_index(drop=True), replies], axis=1)
 
+        changed, unanswered = threading.Condition(), [0]
+
+        def submitted(pool: ThreadPoolExecutor, pdf: pd.DataFrame) -> tuple[pd.DataFrame, list, list[int]]:
+            left = [len(pdf)]
+
+            def over(_):
+                with changed:
+                    left[0] -= 1
+                    unanswered[0] -= 1
+                    changed.notify()
+
+            with changed:
+                unanswered[0] += len(pdf)
+            calls = [pool.submit(call, None if pd.isna(text) else text) for text in pdf[prompt]]
+            for c in calls:
+                c.add_done_callback(over)
+            return pdf, calls, left
+
         with ThreadPoolExecutor(max_workers=max_workers) as pool:
             ahead: deque = deque()
             for pdf in batches:
-                ahead.append((pdf, [pool.submit(call, None if pd.isna(text) else text) for text in pdf[prompt]]))
-                if len(ahead) > 1:
-                    yield answered(*ahead.popleft())
+                ahead.append(submitted(pool, pdf))
+                while ahead:
+                    left = ahead[0][2]
+                    with changed:
+                        changed.wait_for(lambda: left[0] == 0 or unanswered[0] < max_workers)
+                    held = sum(len(calls) for _, calls, _ in ahead)
+                    if left[0] and (len(ahead) == 1 or held <= HELD * max_workers):
+                        break  # a thread is free: read on
+                    yield answered(*ahead.popleft()[:2])
             while ahead:
-                yield answered(*ahead.popleft())
+                yield answered(*ahead.popleft()[:2])
 
     added = "generated_text string, time_taken_sec double, attempts int, error string"
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
@@ -138,7 +189,7 @@ def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **
     first, so nothing downstream calls the model a second time. A row without a prompt says so in its status.
     """
     keyed = df.withColumn("_digest", F.sha2(prompt, 256))
-    distinct = keyed.where(F.col(prompt).isNotNull()).select("_digest", F.col(prompt).alias("_prompt")).distinct()
+    distinct = keyed.where(F.col(prompt).isNotNull()).groupBy("_digest").agg(F.any_value(prompt).alias("_prompt"))
     replies = cut_lineage(batch_infer(distinct, "_prompt", client_factory, **options).drop("_prompt"))
     unsent = F.col(prompt).isNull()
     return keyed.join(replies, "_digest", "left").drop("_digest").withColumns({

@@ -69,10 +69,16 @@ def file_inventory(
 
 
 def whole_texts(spark: SparkSession, folder: str, name_glob: str = "*.txt", separator: str | None = None) -> DataFrame:
-    """One row per file or, with a separator, per document of a file. The last line end of a file is the writer's."""
-    texts = spark.read.option("pathGlobFilter", name_glob).text(folder, wholetext=True)
-    whole = texts.select(F.regexp_replace("value", r"\n\z", "").alias("text"), F.col("_metadata.file_name").alias("file_name"))
-    return whole if separator is None else whole.withColumn("text", F.explode(F.split("text", separator, -1)))
+    """One row per file or, with a separator behind each of them, per document of a file. The last line end of a whole file is the writer's.
+
+    With a separator a file is read document by document, by several tasks where it is large.
+    """
+    reader = spark.read.option("pathGlobFilter", name_glob)
+    file_name = F.col("_metadata.file_name").alias("file_name")
+    if separator is not None:
+        return reader.option("lineSep", separator).text(folder).select(F.col("value").alias("text"), file_name)
+    texts = reader.text(folder, wholetext=True)
+    return texts.select(F.regexp_replace("value", r"\n\z", "").alias("text"), file_name)
 
 
 def json_documents(spark: SparkSession, folder: str, schema: str, name_glob: str = "*.json") -> DataFrame:

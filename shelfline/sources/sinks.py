@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,17 +99,31 @@ def write_by_group(
 RECORD_MARK = "\u001e"
 
 
-def write_documents(df: DataFrame, path: str, kind: str = "text", per_file: int = 10_000) -> None:
-    """Whole documents in a bounded number of files, about `per_file` in each.
+def write_documents(df: DataFrame, path: str, kind: str = "text", per_file: int = 10_000, bytes_per_file: int = 128 << 20) -> None:
+    """Whole documents in a bounded number of files: about `per_file` documents and `bytes_per_file` at most in each.
 
-    `text`: the only text column, documents of a file separated by `RECORD_MARK`; `json`: an array of the
-    rows as documents. Rows go to files by a hash of their content.
+    `text`: the only text column, every document followed by `RECORD_MARK`; `json`: an array of the rows as
+    documents. One pass counts rows and bytes; rows are then dealt out in turn, so equal documents part, and every
+    task writes its file row by row. No row ever holds more than one document.
     """
-    files = max(1, -(-df.count() // per_file))
-    bucketed = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("_file"), F.struct("*").alias("_row"))
-    gathered = bucketed.groupBy("_file").agg(F.collect_list("_row").alias("_rows")).repartition(files, "_file")
+    name = df.columns[0]
+    body = F.col(f"`{name}`").cast("string") if kind == "text" else F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    # a null text is an empty document
+    rows = df.select(F.coalesce(body, F.lit("")).alias("value"))
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("value").cast("bigint")), F.lit(0))).first()
+    dealt = rows.repartition(max(1, -(-n // per_file), -(-size // bytes_per_file)))
     if kind == "text":
-        body = F.array_join(F.transform("_rows", lambda r: r[df.columns[0]]), RECORD_MARK)
-        gathered.select(body).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+        dealt.write.mode("overwrite").option("lineSep", RECORD_MARK).text(path)
     else:
-        gathered.select(F.to_json("_rows")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+        dealt.mapInArrow(_as_array, "value string").write.mode("overwrite").text(path)
+
+
+def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one JSON array over all documents of a task."""
+    before = "["
+    for batch in batches:
+        if batch.num_rows:
+            marks = pa.array([before] + [","] * (batch.num_rows - 1))
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column(0).cast(pa.string()), "")], ["value"])
+            before = ","
+    yield pa.RecordBatch.from_pydict({"value": ["[]" if before == "[" else "]"]})

@@ -189,3 +189,53 @@ def by_name():
         return f"<category><item>{fits[-1] if fits else 'NONE OF THE ABOVE'}</item></category>"
 
     return call
+
+
+PACED = '''
+import sys, time
+sys.path.insert(0, {repo!r})
+from pyspark.sql import functions as F
+from shelfline.operators import enrich
+from shelfline.session import build_session
+
+spark = build_session("paced", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": {shared!r}}})
+assert enrich.task_slots(spark) == 2
+df = spark.range(60).select(F.col("id").cast("string").alias("prompt"))
+
+def clock():
+    return lambda prompt: str(time.time())
+
+rows = enrich.batch_infer(df, "prompt", clock, partitions=20, calls_per_second=20.0, wait=0.0, jitter=0.0).collect()
+print("STARTS", *sorted(float(r.generated_text) for r in rows))
+'''
+
+
+def test_a_rate_holds_for_the_job_with_more_partitions_than_slots(tmp_path):
+    import subprocess
+
+    code = PACED.format(repo=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), shared=str(tmp_path))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120).stdout
+    starts = [float(x) for x in next(line for line in out.splitlines() if line.startswith("STARTS")).split()[1:]]
+    assert len(starts) == 60
+    # never above the rate, over any second; and not far below it: a twentieth each would take 60 s
+    assert all(sum(a <= x < a + 1 for x in starts) <= 20 + 3 for a in starts)
+    assert starts[-1] - starts[0] < 2 * 60 / 20 + 4
+
+
+def test_a_slow_call_leaves_no_thread_idle(spark, monkeypatch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        df = spark.range(40).coalesce(1).select(F.col("id").cast("string").alias("prompt"))
+
+        def slow_first():
+            def call(prompt):
+                time.sleep(1.5 if prompt == "0" else 0.05)
+                return str(time.time())
+
+            return call
+
+        rows = {int(r.prompt): float(r.generated_text) for r in enrich.batch_infer(df, "prompt", slow_first, max_workers=4, **NO_WAIT).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # all others are answered while the first one, alone in its batch with another, still runs
+    assert len(rows) == 40 and max(v for k, v in rows.items() if k) < rows[0]
