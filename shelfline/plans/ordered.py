@@ -45,6 +45,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return tie_to_result(spark.read.schema(df.schema).parquet(path), path)
 
 
+# Plan nodes over a file scan that cost no more when they run again.
+CHEAP = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
+# Below these lies a shuffle, whose files are read again; what is before it runs once.
+SHUFFLED = {"Aggregate", "RepartitionByExpression", "Repartition", "RebalancePartitions"}
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows of a frame that is about to run more than once: written down unless it is a plain scan or ends in a shuffle.
+
+    Sampling the borders of range slices runs the input a second time, so do two passes over it.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in CHEAP and plan.children().size() == 1:
+        plan = plan.children().head()
+    return df if plan.nodeName() in CHEAP | SHUFFLED else cut_lineage(df)
+
+
 def keys_present(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups are formed on non-null keys only."""
     for key in keys:
@@ -92,15 +109,15 @@ def order_slices(
     """Rows in (keys, order) order, tagged with a slice number and an increasing line number.
 
     The range borders come from a sample, so two runs may cut differently; the
-    tagged rows are therefore written once and read by every later branch. An input that is costly
-    and ends in no shuffle is run twice for the sample: settle it with `cut_lineage` first.
+    tagged rows are therefore written once and read by every later branch. The input runs once: one that is more
+    than a scan and ends in no shuffle is written down before it is sampled.
 
     With a value, its running sum inside the slice is added while the rows pass in order; they
     need no second shuffle or sort for it.
     """
     ordering = [F.col(k).asc() for k in keys] + list(order)
     tagged = (
-        df.repartitionByRange(*ordering)
+        settled(df).repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(LINE, F.monotonically_increasing_id())
@@ -244,9 +261,10 @@ def bracketed_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequ
     """Exact quantiles per group with linear interpolation, one column per q (p25, p50, ...), and the `extra` aggregates.
 
     A sketch brackets each quantile; then the rows below the bracket are counted and only the values inside it
-    are ranked. Near-unique values of a large table are never shuffled. The input runs twice: settle a costly one first.
+    are ranked. Near-unique values of a large table are never shuffled. A costly input is written down first, so it runs once.
     The sketch's error is bounded, so a rank outside its bracket cannot occur; it would fail the job, not give a wrong value.
     """
+    df = settled(df.select(*keys, value))
     stats = bracket_stats(df, keys, value, qs, **extra)
     counts = bracket_counts(df, keys, value, qs, stats)
     ranked = running_sum(
@@ -293,9 +311,9 @@ def hash_head_flag(
     The key must identify a row. The hashes are written once; rows are counted per hash prefix, and
     the bucket that holds the cut is split by further digits until it is small enough to rank, so
     no step grows beyond 65,536 counts or `RANKED_ROWS` hashes. The table is then compared with
-    the last hash taken in a plain scan. The input runs twice: settle a costly one first.
+    the last hash taken in a plain scan. A costly input is written down first, so it runs once.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, settled(df)
     hashes = cut_lineage(df.select(hash_rank(key_cols, seed).alias("_hash")))
     total = hashes.count()
     missing = spark.range(1).select(wanted(F.lit(total)).cast("bigint")).first()[0]
