@@ -64,12 +64,9 @@ def decide(
     slim = slim_rows(docs, id_col, text_col)
     winners = F.broadcast(heavy_winners(slim, share, counters))
     hot = slim.join(winners, "sha")
-    group = Window.partitionBy("sha")
-    rest = (
-        slim.join(winners, "sha", "left_anti")
-        .withColumn("best", _best().over(group))
-        .withColumn("group_size", F.count(F.lit(1)).over(group))
-    )
+    cold = slim.join(winners, "sha", "left_anti")
+    # summed where the rows lie and joined back, so a digest just below the share is split like any skewed join key
+    rest = cold.join(cold.groupBy("sha").agg(_best().alias("best"), F.count(F.lit(1)).alias("group_size")), "sha")
     columns = ["sha", "doc_id", "n", "best", "group_size"]
     keep_id = F.col("best.id.doc_id")
     return hot.select(*columns).unionByName(rest.select(*columns)).select(
