@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from shelfline.llm import labelled
 from shelfline.llm.boosted import Isotonic, Trees, isotonic, train
 from shelfline.llm.textbuf import blocks
-from shelfline.llm.textstats import among, distinct_terms, toxicity_features
+from shelfline.llm.textstats import distinct_terms, toxicity_features
 
 LIMIT = 0.5
 CALIBRATION_FOLDS = (8, 9)
@@ -35,20 +35,16 @@ CALIBRATION_FOLDS = (8, 9)
 TIMES_MORE = 20.0
 LEAST_SHARE = 0.01
 LEAST_TEXTS = 4
-LEXICON_WORDS = 4096
 
 
-def term_hashes(text: Column, wanted: np.ndarray | None = None) -> Column:
-    """The distinct words and stems of each text, as hashes; of a given set only, if there is one."""
+def term_hashes(text: Column) -> Column:
+    """The distinct words and stems of each text, as hashes."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def found(texts: pa.Array) -> pa.Array:
         sizes, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for block in blocks(texts):
             rows, hashes = distinct_terms(block)
-            if wanted is not None:
-                known = among(hashes, wanted)
-                rows, hashes = rows[known], hashes[known]
             sizes.append(np.bincount(rows, minlength=block.rows))
             keys.append(hashes)
         borders = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
@@ -60,34 +56,24 @@ def term_hashes(text: Column, wanted: np.ndarray | None = None) -> Column:
 def lexicons(sample: DataFrame) -> list[np.ndarray]:
     """Sorted term hashes learnt from even folds, from odd folds, and from all.
 
-    Terms with some support in the toxic texts are found first; only those are counted in the others.
-    Their number is bounded by the sample: terms per text over the least share.
+    All terms of the sample are counted in Spark; only those that pass come back. A term that passes stands in
+    `LEAST_SHARE` of the toxic texts, so their number is bounded by the terms of a text over that share.
     """
     texts = sample.groupBy("fold").agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")).collect()
     of = lambda part, column: sum(r[column] for r in texts if part is None or r["fold"] % 2 == part)
-    support = max(LEAST_TEXTS / 2, LEAST_SHARE / 2 * of(None, "toxic"))
-    supported = (
-        sample.where("y = 1").select(F.explode(term_hashes(F.col("text"))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support).collect()
-    )
-    wanted = np.sort(np.array([r["term"] for r in supported], np.int64).view(np.uint64))
     counts = (
-        sample.select("y", F.pmod("fold", F.lit(2)).alias("half"), F.explode(term_hashes(F.col("text"), wanted)).alias("term"))
+        sample.select("y", F.pmod("fold", F.lit(2)).alias("half"), F.explode(term_hashes(F.col("text"))).alias("term"))
         .groupBy("term").agg(*[F.sum(F.when((F.col("half") == h) & (F.col("y") == y), 1).otherwise(0)).alias(f"c{h}{y}") for h in (0, 1) for y in (0, 1)])
         .where(F.col("c01") + F.col("c11") >= LEAST_TEXTS)
     )
-    # only terms that can pass in one of the three; the strongest, should there be very many
-    rows = counts.orderBy(F.desc((F.col("c01") + F.col("c11")) / (F.col("c00") + F.col("c10") + 1)), "term").limit(2 * LEXICON_WORDS).collect()
-    found = []
+    passes = []
     for part in (0, 1, None):
-        hits = np.array([sum(r[f"c{h}1"] for h in (0, 1) if part in (None, h)) for r in rows], float)
-        clean = np.array([sum(r[f"c{h}0"] for h in (0, 1) if part in (None, h)) for r in rows], float)
+        hits, clean = (F.col(f"c{part}{y}") if part is not None else F.col(f"c0{y}") + F.col(f"c1{y}") for y in (1, 0))
         toxic, other = of(part, "toxic") or 0, of(part, "n") - (of(part, "toxic") or 0)
-        strong = (hits >= max(LEAST_TEXTS / (2 if part is not None else 1), LEAST_SHARE * toxic)) & (
-            hits / max(toxic, 1) > TIMES_MORE * (clean + 0.5) / max(other, 1))
-        ranked = np.array([r["term"] for r in rows], np.int64)[strong][:LEXICON_WORDS]
-        found.append(np.sort(ranked.view(np.uint64)))
-    return found
+        least = max(LEAST_TEXTS / (2 if part is not None else 1), LEAST_SHARE * toxic)
+        passes.append((hits >= least) & (hits / F.lit(float(max(toxic, 1))) > TIMES_MORE * (clean + 0.5) / F.lit(float(max(other, 1)))))
+    rows = counts.select("term", *[p.alias(f"p{i}") for i, p in enumerate(passes)]).where("p0 or p1 or p2").collect()
+    return [np.sort(np.array([r["term"] for r in rows if r[f"p{i}"]], np.int64).view(np.uint64)) for i in range(3)]
 
 
 @dataclass(frozen=True)
