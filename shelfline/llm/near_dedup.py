@@ -245,8 +245,12 @@ def find_components(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFr
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept."""
-    return _decided(docs, id_col, text_col, percent).drop("th")
+    """One row per input row: doc_id, n_shingles, component_id, kept (the row's id is that of its component).
+
+    Of several texts under one id that are linked, all are kept rows here; `deduplicate` leaves the one that leads.
+    """
+    return _decided(docs, id_col, text_col, percent).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _text_hash(text_col: str) -> Column:
@@ -254,7 +258,7 @@ def _text_hash(text_col: str) -> Column:
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """As `decide`, with the hash of each row's text as `th`."""
+    """As `decide`, with the hash of each row's text as `th`; `leads` says that this very text stands for its component."""
     sketched = cut_lineage(
         docs.select(F.col(id_col).alias("doc_id"), _text_hash(text_col).alias("th"), sketch(F.col(text_col)).alias("s"))
         .select("doc_id", "th", F.col("s.n").alias("n"), F.col("s.digest").alias("digest"), F.col("s.bands").alias("bands"))
@@ -284,7 +288,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
         sketched.select("doc_id", "th", "n", "digest").join(home, "digest", "left")
         .select("doc_id", "th", F.col("n").alias("n_shingles"),
                 F.when(alone, F.col("doc_id")).otherwise(F.col("lead.id.doc_id")).alias("component_id"),
-                (alone | first).alias("kept"))
+                (alone | first).alias("leads"))
     )
 
 
@@ -297,7 +301,7 @@ def _rivals(buckets: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
     """The documents without those that are near copies of a kept one, with all their columns."""
     gone = (
-        _decided(docs, id_col, text_col, percent).where("not kept")
+        _decided(docs, id_col, text_col, percent).where("not leads")
         .select(F.col("doc_id").alias("_gone"), F.col("th").alias("_gone_th")).distinct()
     )
     rows = boxed(docs).select("_row", F.col(f"_row.`{id_col}`").alias("_id"), _text_hash(f"_row.`{text_col}`").alias("_th"))

@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.llm import exact_dedup, line_dedup, near_dedup
 from shelfline.llm.textbuf import blocks
@@ -263,3 +264,19 @@ def test_blocks_keep_slices_nulls_and_long_texts():
     assert texts == ["a b", "", "", "é" * 5, "c"] and [b.lo for b in found][0] == 0
     assert list(blocks(pa.array([], pa.string()))) == []
     assert np.concatenate([np.diff(b.offsets) for b in found]).tolist() == [3, 0, 0, 10, 1]
+
+
+def test_two_texts_of_one_id_in_one_component(spark):
+    words = [f"w{i}" for i in range(120)]
+    near = [*words[:60], "other", *words[61:]]
+    df = spark.createDataFrame([(5, " ".join(words)), (5, " ".join(near)), (9, " ".join(near))], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.decide(df).collect())
+    assert got == [(5, 5, True), (5, 5, True), (9, 5, False)]
+    assert near_dedup.deduplicate(df).count() == 1
+
+
+def test_digests_below_the_share_are_summed_before_they_meet(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 900).cast("string")).alias("text"))
+    out = exact_dedup.decide(df)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.where("kept").count() == 900 and out.where("group_size not in (3, 4)").count() == 0
