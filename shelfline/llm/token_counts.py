@@ -10,6 +10,9 @@ An edit replaces characters [start, stop) of the original text. Edits of one doc
 those that overlap are applied as one replacement of the covered range. Only the leaves they touch are
 encoded again, plus the neighbouring leaf where an edit has spoilt the cut between them.
 
+`apply_edits` only counts; `edit_tree` returns the edited text with its tree, in which the touched runs are cut into
+leaves anew, so one edit can follow another.
+
 Defined cases: a null or empty text has one empty leaf and 0 tokens; no or null edits change
 nothing; an edit past the end is cut to the text, an edit with start after stop inserts at start; rows are
 independent, so repeated rows agree; an empty table gives an empty result; extra columns are not read.
@@ -219,6 +222,44 @@ def apply_edits(text: Column, tree: Column, edits: Column, ranks: str = RANKS) -
     return recount(text.cast("string"), tree, edits)
 
 
+def edited_leaves(text: str, known: dict, edits, encode) -> tuple[str, list[int], list[int], int]:
+    """(edited text, characters per leaf, tokens per leaf, leaves encoded); runs that were touched are cut into leaves anew."""
+    chars, tokens = known["chars"], known["tokens"]
+    width = len(chars) // 2
+    n = max(1, sum(1 for c in chars[width:] if c))
+    sizes, counts = chars[width: width + n], tokens[width: width + n]
+    merged = merged_edits(edits, len(text))
+    runs = [(first, last, cut_leaves(body)) for first, last, body in touched_runs(text, chars, merged)]
+    coded = iter(encode.encode_ordinary_batch([leaf for *_, leaves in runs for leaf in leaves], num_threads=1))
+    fresh = [(first, last, [len(x) for x in leaves], [len(next(coded)) for _ in leaves]) for first, last, leaves in runs]
+    for first, last, new_sizes, new_counts in reversed(fresh):
+        sizes[first: last + 1], counts[first: last + 1] = new_sizes, new_counts
+    return edited_text(text, merged), sizes, counts, sum(len(leaves) for *_, leaves in runs)
+
+
+EDITED = T.StructType().add("text", T.StringType()).add("tree", TREE).add("encoded_leaves", LONG)
+
+
+def edit_tree(text: Column, tree: Column, edits: Column, ranks: str = RANKS) -> Column:
+    """The edited text and its tree, ready for further edits; only the touched leaves are encoded. A null text without edits stays null."""
+
+    @F.arrow_udf(EDITED)
+    def edited(texts: pa.Array, trees: pa.Array, changes: pa.Array) -> pa.Array:
+        encode = encoder(ranks)
+        out = []
+        for text_, tree_, change in zip(texts, trees, changes):
+            known, asked = tree_.as_py(), change.as_py()
+            if not asked:
+                out.append({"text": text_.as_py(), "tree": known, "encoded_leaves": 0})
+                continue
+            body, sizes, counts, encoded = edited_leaves(text_.as_py() or "", known, asked, encode)
+            out.append({"text": body, "tree": {"chars": heap(sizes), "tokens": heap(counts)}, "encoded_leaves": encoded})
+        kind = pa.struct([("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+        return pa.array(out, pa.struct([("text", pa.string()), ("tree", kind), ("encoded_leaves", pa.int64())]))
+
+    return edited(text.cast("string"), tree, edits)
+
+
 @F.arrow_udf(EDITS)
 def digit_masks(texts: pa.Array) -> pa.Array:
     """The edits that mask every run of four digits or more."""

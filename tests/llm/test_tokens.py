@@ -73,3 +73,24 @@ def test_given_edits_and_awkward_rows(spark, awkward, nothing):
     assert counted.count() == awkward.count() and counted.where("n_tokens is null").count() == 0
     assert {r.n_tokens for r in counted.where("doc_id in (2, 3)").collect()} == {0}
     assert T.decide(nothing).count() == 0
+
+
+def test_edits_follow_each_other(spark):
+    rng = random.Random(8)
+    rows = []
+    for i, text in enumerate([*TEXTS, None, "word " * 3000]):
+        many = [[(rng.randint(0, 4000), 0, rng.choice(["x", " y ", "", None, "12 34", " z" * 900])) for _ in range(rng.randint(0, 3))] for _ in range(3)]
+        rows.append((i, text, *[[(a, a + rng.choice([0, 1, 40, 900]), r) for a, _, r in edits] for edits in many]))
+    kind = "array<struct<start:bigint,stop:bigint,replacement:string>>"
+    df = spark.createDataFrame(rows, f"doc_id bigint, text string, e0 {kind}, e1 {kind}, e2 {kind}")
+    step = df.select("doc_id", "e0", "e1", "e2", F.struct("text", T.build_tree(F.col("text")).alias("tree")).alias("s"))
+    for k in range(3):
+        step = step.withColumn("s", T.edit_tree(F.col("s.text"), F.col("s.tree"), F.col(f"e{k}")))
+    for r in step.collect():
+        body = rows[r.doc_id][1] or ""
+        for edits in rows[r.doc_id][2:]:
+            body = T.edited_text(body, T.merged_edits([dict(zip(("start", "stop", "replacement"), e)) for e in edits], len(body)))
+        assert (r.s.text or "") == body and r.s.tree.tokens[1] == full(body) and r.s.tree.chars[1] == len(body)
+        width = len(r.s.tree.chars) // 2
+        leaves = [c for c in r.s.tree.chars[width:] if c]
+        assert not body or max(leaves) <= max(len(x) for x in T.cut_leaves(body)) + 3 * T.LEAF_CHARS or " " not in body
