@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.paths import as_item, first_part
 from shelfline.functions.text import DESCRIPTION_TAGS, strip_literals
+from shelfline.operators.aggregates import join_texts
 from shelfline.operators.enrich import ClientFactory, infer_inputs, parse_reply
 from shelfline.operators.joins import join_renamed, leaves_under
 from shelfline.plans.ordered import cut_lineage
@@ -29,11 +30,12 @@ def classify_root_then_leaf(
     roots = below.select(first_part(F.col("path")).alias("root_category")).distinct()
     described = items.withColumn("description", strip_literals(F.col("description"), DESCRIPTION_TAGS))
 
-    # one option list for all items: a category of its own
+    # one option list for all items, so it is a value of the plan and meets no row in a join
     every = roots.select(F.lit(0).alias("_all"), as_item(F.col("root_category")).alias("root"))
+    listed = cut_lineage(join_texts(every, ["_all"], "root", "\n", "options")).agg(F.max("options")).scalar()
     replied = infer_inputs(
-        described.withColumn("_all", F.lit(0)), ["_all", "title", "description"], ROOT_TEMPLATE, client_factory, every, ["_all"], "root",
-        columns={"title": "title", "description": "description"}, **call,
+        described, ["title", "description"], ROOT_TEMPLATE, client_factory,
+        columns={"options": listed, "title": "title", "description": "description"}, **call,
     )
     with_root = described_with(replied, parse_reply("generated_text", {"root_category": "category"}))
 

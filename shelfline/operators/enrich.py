@@ -200,7 +200,7 @@ def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **
 
 def infer_inputs(
     df: DataFrame, inputs: Sequence[str], template: str, client_factory: ClientFactory, options: DataFrame | None = None,
-    keys: Sequence[str] = (), option: str = "", partitions: int | None = None, columns: Mapping[str, str] | None = None, **call,
+    keys: Sequence[str] = (), option: str = "", partitions: int | None = None, columns: Mapping[str, str | Column] | None = None, **call,
 ) -> DataFrame:
     """Ask once per distinct combination of the input columns and join the replies back to all rows.
 
