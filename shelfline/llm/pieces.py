@@ -291,28 +291,12 @@ def encode_with_digest(text: Column, key: Column, model: str = MODEL, sharpness:
     return F.when(text.isNotNull(), sampled(text.cast("string"), _row_key(key, seed)))
 
 
-def coding_summary(text: Column, key: Column, model: str = MODEL, sharpness: float = SHARPNESS, seed: int = SEED) -> Column:
-    """struct(n, digest, lossless): number of pieces, a digest of their ids, and whether they decode to the text."""
-
-    @F.arrow_udf(T.StructType().add("n", T.LongType()).add("digest", T.StringType()).add("lossless", T.BooleanType()))
-    def summed(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        vocab = vocabulary(model)
-        counts, digests, same = [np.zeros(0, np.int64)], [], []
-        for block, n, ids in _coded(texts, keys, vocab, sharpness):
-            body, ends = spell(n, ids, vocab)
-            given = block.data.tobytes()
-            if body == given and (ends == block.offsets[1:]).all():
-                same += [True] * block.rows
-            else:
-                mine = zip([0, *ends[:-1].tolist()], ends.tolist(), block.offsets[:-1].tolist(), block.offsets[1:].tolist())
-                same += [body[a:b] == given[c:d] for a, b, c, d in mine]
-            counts.append(n)
-            stop = np.cumsum(n).tolist()
-            digests += [hashlib.blake2b(ids[a:b].tobytes(), digest_size=16).hexdigest() for a, b in zip([0, *stop[:-1]], stop)]
-        return pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(counts)), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], ["n", "digest", "lossless"])
-
-    return summed(text.cast("string"), _row_key(key, seed))
+@F.arrow_udf(T.StringType())
+def digests(lists: pa.Array) -> pa.Array:
+    """A digest of each list of piece ids."""
+    borders = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    ids = lists.flatten().to_numpy()
+    return pa.array([hashlib.blake2b(ids[a:b].tobytes(), digest_size=16).hexdigest() for a, b in zip(borders[:-1], borders[1:])], pa.string())
 
 
 def decode(ids: Column, model: str = MODEL) -> Column:
@@ -339,9 +323,14 @@ def decode(ids: Column, model: str = MODEL) -> Column:
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
-    """One row per input row: doc_id, n_pieces, pieces_digest, lossless (the decoded pieces equal the text)."""
-    coded = docs.select(F.col(id_col).alias("doc_id"), coding_summary(F.col(text_col), F.col(id_col), model).alias("c"))
-    return coded.select("doc_id", F.col("c.n").alias("n_pieces"), F.col("c.digest").alias("pieces_digest"), "c.lossless")
+    """One row per input row: doc_id, n_pieces, pieces_digest, lossless (the pieces decode to the text), pieces."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
+    coded = rows.withColumn("pieces", encode(F.col("_text"), F.col("doc_id"), model))
+    read = coded.withColumn("_back", decode(F.col("pieces"), model))
+    listed = F.coalesce("pieces", F.array().cast("array<int>"))
+    return read.select(
+        "doc_id", F.size(listed).cast("bigint").alias("n_pieces"), digests(listed).alias("pieces_digest"),
+        F.col("_text").eqNullSafe(F.col("_back")).alias("lossless"), "pieces")
 
 
 def sampled_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:

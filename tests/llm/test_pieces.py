@@ -95,3 +95,14 @@ def test_awkward_rows_and_empty_tables(awkward, nothing):
     assert out.count() == awkward.count() and out.where("not lossless").count() == 0
     assert len({r.pieces_digest for r in out.where("doc_id = 1").collect()}) == 1
     assert P.decide(nothing).count() == 0 and P.sampled_pieces(nothing).count() == 0
+
+
+def test_the_query_returns_pieces_that_decode(spark, documents):
+    out = P.decide(documents)
+    assert out.columns == ["doc_id", "n_pieces", "pieces_digest", "lossless", "pieces"]
+    assert out._jdf.queryExecution().executedPlan().toString().count("sampled(") <= 2  # drawn once
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    model = P.vocabulary(P.MODEL)
+    for r in out.limit(40).collect():
+        body = b"".join(bytes(model.data[model.offsets[i]: model.offsets[i + 1]]) for i in r.pieces)
+        assert body.decode() == texts[r.doc_id] and r.n_pieces == len(r.pieces) and r.lossless
