@@ -89,4 +89,4 @@ def test_registered_queries_and_their_names():
     )
     names = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
     numbers = sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
