@@ -138,7 +138,8 @@ def walk(nodes, row):
     return 1 / (1 + math.exp(-total))
 
 
-def test_the_queries_return_the_values_of_the_model(spark, folder):
+def test_the_queries_return_the_values_of_the_model(spark):
+    folder = "/root/testdata/sf0.01"  # fewer train rows hold no split of the least child weight
     from shelfline.catalog.features import FEATURES, labelled_documents
     from shelfline.views import Tables
 
@@ -150,8 +151,7 @@ def test_the_queries_return_the_values_of_the_model(spark, folder):
     for doc_id, r in scored.items():
         assert math.isclose(r.p, walk(nodes, held[doc_id]), abs_tol=1e-9) and r.predicted == int(r.p > 0.5) and r.quality == held[doc_id]["quality"]
     right = sum(r.predicted == r.quality for r in scored.values()) / len(scored)
-    # the table has some 50 train rows
-    assert right > 0.7
+    assert right > 0.8 and any(n.feature for n in nodes.values())
     shares = {r.feature: r.importance for r in queries["feature_importance"](spark, folder).collect()}
     gains = {f: sum(n.gain for n in nodes.values() if n.feature == f) for f in FEATURES}
     assert set(shares) == set(FEATURES) and all(math.isclose(shares[f], gains[f] / sum(gains.values())) for f in FEATURES)
