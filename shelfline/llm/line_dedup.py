@@ -1,25 +1,31 @@
 """Removal of repeated passages by content-defined chunks of lines, in DataFrame functions only.
 
-A text is cut into lines at "\\n". Each line has a hash, a rolling hash runs over every two
-lines, and a chunk ends after a line whose rolling hash is smaller than that of both
-neighbours. So boundaries depend on the lines around them only: a passage that moved to another
-place in another text is cut alike, and every chunk between two boundaries has two lines or more.
-
-Chunks of two lines or more whose 64-bit hash occurs in more than one place are compared byte by
-byte, as part of the grouping key; of equal chunks the one in the smallest (id, line) stays.
-
-What travels: one slim row per chunk, and only for texts with a repeated hash the bytes of the
-repeated chunks. Counting and picking the first are partial aggregates; the join back has
-ordinary equi keys, so a hot chunk is split like any skewed join.
-
-Defined cases: a null text is empty; a text without "\\n" is one line, one chunk and unchanged;
-chunks of one line always stay; repeats inside one text are removed too; rows that repeat id and
-text are one document and cleaned alike; null ids come last; an empty table gives an empty
-result; extra columns are kept by `clean` and not read by `decide`.
+A text is cut into lines at "\\n"; lines without a word are passed over and stay. Each line has a hash
+and a rolling hash runs over every two lines. A chunk opens where the rolling hash is not larger than that
+of the line before or after: one of any two neighbouring places is always such a minimum, whatever stands
+around them, so a passage of three lines that moved to another text opens a chunk at the same place.
+
+A chunk is the two lines at its place. Of equal chunks the one in the smallest (id, line) stays and the
+others go; each then grows by one line on either side where that line also stands next to an earlier
+equal chunk. Chunks lie at most one line apart, so the grown ones cover a repeated passage of three lines
+or more from end to end. A passage of two lines goes where the lines around it let it open a chunk.
+
+Lines are keyed by 128 bits. All lines under one key of a repeated chunk and its neighbours are compared
+byte by byte; should two differ, all is done again with other keys.
+
+What travels: one slim row per chunk, and the text of documents with a repeated chunk for the comparison,
+where equal lines meet within a task first. Picking the first place is a partial aggregate; the joins back
+have ordinary equi keys, so a hot chunk is split like any skewed join.
+
+Defined cases: a null text is empty; a text of one line is unchanged; repeats inside one text are
+removed too; rows that repeat id and text are one document and cleaned alike; null ids come last; an
+empty table gives an empty result; extra columns are kept by `clean` and not read by `decide`.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,29 +34,37 @@ from shelfline.llm.common import bound, boxed, cut_lineage, id_order, unboxed, w
 # Fixed values of the rolling hash: a multiplier and a prime below 2^32, so products fit a long.
 MULTIPLIER = 65_599
 MODULUS = 4_294_967_291
+WORDY = r"[^\x20\x09-\x0D]"
+
+
+def split_lines(text: Column) -> Column:
+    return F.split(text, "\n")
+
+
+def wordy(lines: Column) -> Column:
+    return F.filter(lines, lambda x: x.rlike(WORDY))
+
 
+def line_key(line: Column, salt: str = "") -> Column:
+    return F.unhex(F.md5(F.concat(F.lit(salt), line)))
 
-def chunks(lines: Column) -> Column:
-    """An array of (start, len) that covers all lines; each array on the way is built once per row."""
+
+def chunks(lines: Column, salt: str = "") -> Column:
+    """An array of (k, a, b, c, d): the chunk of the wordy lines k and k + 1 with the keys b, c and its neighbours' a, d."""
     hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("bigint"))
-    rolling = lambda h: F.transform(
-        h, lambda x, i: (F.coalesce(F.get(h, i - 1), F.lit(0)) * MULTIPLIER + x) % MODULUS)
-    ends = lambda r: F.array_compact(F.transform(
-        r, lambda x, i: F.when((x < F.get(r, i - 1)) & (x < F.get(r, i + 1)), i + 1)))
-    starts = lambda r: F.concat(F.array(F.lit(0)), ends(r))
-    parts = lambda at: F.transform(
-        at, lambda s, i: F.struct(s.alias("start"), (F.coalesce(F.get(at, i + 1), F.size(lines)) - s).alias("len")))
-    return bound(hashes, lambda h: bound(rolling(h), lambda r: bound(starts(r), parts)))
+    rolling = lambda h: F.transform(h, lambda x, i: (x * MULTIPLIER + F.get(h, i + 1)) % MODULUS)
+    keys = F.transform(lines, lambda x: line_key(x, salt))
 
+    def opened(r: Column, key: Column) -> Column:
+        minimum = lambda x, i: (x <= F.coalesce(F.get(r, i - 1), x)) | (x <= F.coalesce(F.get(r, i + 1), x))
+        around = lambda i: [F.get(key, i + at).alias(name) for at, name in zip((-1, 0, 1, 2), "abcd")]
+        return F.array_compact(F.transform(r, lambda x, i: F.when(minimum(x, i), F.struct(i.alias("k"), *around(i)))))
 
-def with_chunks(df: DataFrame, text: Column) -> DataFrame:
-    """Adds `_lines` and `_chunks`, an array of (start, len) that covers all lines."""
-    lines = F.split(text, "\n")
-    return df.withColumns({"_lines": lines, "_chunks": bound(lines, chunks)})
+    return bound(hashes, lambda h: bound(rolling(h), lambda r: bound(keys, lambda key: opened(r, key))))
 
 
-def body(start: Column, length: Column) -> Column:
-    return F.array_join(F.slice("_lines", start + 1, length), "\n")
+def text_chunks(text: Column, salt: str = "") -> Column:
+    return bound(wordy(split_lines(text)), lambda lines: chunks(lines, salt))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -63,50 +77,60 @@ def _on_key(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_rid"]) & (left["_th"] == right["_rth"])
 
 
-def repeated_chunks(keyed: DataFrame) -> DataFrame:
-    """(_rid, _rth, gone): the chunks that go, per text that loses any."""
-    chunked = with_chunks(keyed.select("_id", "_th", "_text"), F.col("_text"))
-    slim = cut_lineage(
-        chunked.select("_id", "_th", "_lines", F.explode(F.filter("_chunks", lambda c: c["len"] > 1)).alias("c"))
-        .select("_id", "_th", F.col("c.start").alias("start"), F.col("c.len").alias("len"),
-                F.xxhash64(body(F.col("c.start"), F.col("c.len"))).alias("hash"))
-    )
-    # places, not rows: a repeated row is the same place; min and max differ when there are two places
-    place = F.struct(id_order("_id"), F.col("_th"), F.col("start"))
-    twice = slim.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a <> z").select("hash")
-    suspects = (
-        slim.join(twice, "hash", "left_semi")
-        .groupBy("_id", "_th").agg(F.collect_set(F.struct("start", "len")).alias("_suspects"))
-        .withColumnsRenamed({"_id": "_rid", "_th": "_rth"})
-    )
-    texts = keyed.select("_id", "_th", "_text")
-    bodies = cut_lineage(
+def _per_text(rows: DataFrame, name: str) -> DataFrame:
+    """(_rid, _rth, name): the distinct k of each text."""
+    return rows.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set("k").alias(name))
+
+
+def place() -> Column:
+    """Places, not rows: a repeated row is the same place."""
+    return F.struct(id_order("_id"), F.col("_th"), F.col("k"))
+
+
+def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys stand in two places or more, with `late`: not the first of these."""
+    firsts = rows.dropna(subset=keys).groupBy(keys).agg(F.min(place()).alias("_first"), F.max(place()).alias("_last")).where("_first <> _last")
+    return rows.join(firsts.drop("_last"), keys).withColumn("late", place() != F.col("_first")).drop("_first")
+
+
+def keys_clash(keyed: DataFrame, seeds: DataFrame, salt: str) -> bool:
+    """Whether two lines that differ in their bytes have one key, among the lines of repeated chunks and beside them."""
+    texts, suspects = keyed.select("_id", "_th", "_text"), _per_text(seeds, "_seeds")
+    reach = F.array_distinct(F.flatten(F.transform("_seeds", lambda k: F.sequence(k - 1, k + 2))))
+    lines = (
         texts.join(suspects, _on_key(texts, suspects))
-        .withColumn("_lines", F.split("_text", "\n"))
-        .select("_id", "_th", "_lines", F.explode("_suspects").alias("c"))
-        .select("_id", "_th", F.col("c.start").alias("start"), F.col("c.len").alias("len"),
-                body(F.col("c.start"), F.col("c.len")).alias("body"))
-    )
-    # equal bytes, not equal hashes, make a group
-    groups = bodies.groupBy("body").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    return (
-        bodies.join(groups.select("body", "first"), "body")
-        .where(place != F.col("first"))
-        .groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth"))
-        .agg(F.collect_set(F.struct("start", "len")).alias("gone"))
+        .select(F.explode(bound(wordy(split_lines(F.col("_text"))), lambda lines: F.transform(reach, lambda k: F.get(lines, k)))).alias("line"))
+        .dropna().select(line_key(F.col("line"), salt).alias("key"), "line").distinct()
     )
+    return not lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def gone_lines(keyed: DataFrame) -> DataFrame:
+    """(_rid, _rth, gone): the numbers of the wordy lines that go, per text that loses any."""
+    for attempt in count():
+        salt = str(attempt) if attempt else ""
+        chunked = keyed.select("_id", "_th", F.explode(text_chunks(F.col("_text"), salt)).alias("c"))
+        slim = cut_lineage(chunked.select("_id", "_th", "c.*"))
+        seeds = cut_lineage(_repeated(slim, ["b", "c"]))
+        if not keys_clash(keyed, seeds, salt):
+            break
+    left, right = _repeated(seeds.drop("late"), ["a", "b", "c"]), _repeated(seeds.drop("late"), ["b", "c", "d"])
+    late = lambda rows, *steps: rows.where("late").select("_id", "_th", F.explode(F.array(*[F.col("k") + s for s in steps])).alias("k"))
+    return _per_text(late(seeds, 0, 1).unionByName(late(left, -1)).unionByName(late(right, 2)), "gone")
 
 
 def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keyed = _keyed(docs, id_col, text_col)
-    gone = repeated_chunks(keyed)
-    joined = keyed.join(gone, _on_key(keyed, gone), "left")
-    return (
-        with_chunks(joined, F.col("_text"))
-        .withColumn("_left", F.coalesce(F.array_except("_chunks", "gone"), F.col("_chunks")))
-        .withColumn("_clean", bound(F.col("_lines"), lambda lines: F.array_join(
-            F.flatten(F.transform("_left", lambda c: F.slice(lines, c["start"] + 1, c["len"]))), "\n")))
-    )
+    gone = gone_lines(keyed)
+
+    def remaining(lines: Column) -> Column:
+        at = F.array_compact(F.transform(lines, lambda x, i: F.when(x.rlike(WORDY), i)))
+        lost = bound(at, lambda at: F.transform("gone", lambda k: F.get(at, k)))
+        kept = F.when(F.col("gone").isNull(), lines).otherwise(
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost), lambda i: F.get(lines, i)))
+        return F.array_join(kept, "\n")
+
+    return keyed.join(gone, _on_key(keyed, gone), "left").withColumn("_clean", bound(split_lines(F.col("_text")), remaining))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,15 +140,17 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_lines, n_chunks, removed_chunks, removed_lines, text_sha256 of what is left."""
+    """One row per input row: doc_id, n_lines, n_chunks, removed_chunks, removed_lines, text_sha256 of what is left.
+
+    `removed_chunks` counts the grown ones: runs of wordy lines that go.
+    """
     rows = _cleaned(docs.select(id_col, text_col), id_col, text_col)
-    kept_lines = F.aggregate("_left", F.lit(0).cast("bigint"), lambda total, c: total + c["len"])
-    n_lines = F.size("_lines").cast("bigint")
+    gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
     return rows.select(
         F.col("_id").alias("doc_id"),
-        n_lines.alias("n_lines"),
-        F.size("_chunks").cast("bigint").alias("n_chunks"),
-        (F.size("_chunks") - F.size("_left")).cast("bigint").alias("removed_chunks"),
-        (n_lines - kept_lines).alias("removed_lines"),
+        F.size(split_lines(F.col("_text"))).cast("bigint").alias("n_lines"),
+        F.size(text_chunks(F.col("_text"))).cast("bigint").alias("n_chunks"),
+        F.size(F.array_except(gone, F.transform(gone, lambda k: k + 1))).cast("bigint").alias("removed_chunks"),
+        F.size(gone).cast("bigint").alias("removed_lines"),
         F.sha2(F.col("_clean").cast("binary"), 256).alias("text_sha256"),
     )

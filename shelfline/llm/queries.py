@@ -13,23 +13,25 @@ from shelfline.llm.registry import QUERIES, SQL, query  # noqa: F401
 @query(
     "op1_line_dedup",
     r"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-             l AS (SELECT doc_id, i - 1 AS i, len(lines) AS n, lines[i] AS line,
-                          CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h
-                   FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM d)),
-             r AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 65599 + h) % 4294967291 AS r FROM l
-                   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-             c AS (SELECT *, coalesce(lag(cut) OVER w, 0) AS opens FROM (
-                     SELECT *, CASE WHEN r < lag(r) OVER w AND r < lead(r) OVER w THEN 1 ELSE 0 END AS cut FROM r
-                     WINDOW w AS (PARTITION BY doc_id ORDER BY i))
-                   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-             k AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM c),
-             b AS (SELECT doc_id, k, min(i) AS start, count(*) AS len, string_agg(line, chr(10) ORDER BY i) AS body
-                   FROM k GROUP BY doc_id, k),
-             f AS (SELECT *, len > 1 AND row_number() OVER (PARTITION BY body, len > 1 ORDER BY doc_id, start) > 1 AS gone FROM b)
-        SELECT doc_id, CAST(sum(len) AS BIGINT) AS n_lines, count(*) AS n_chunks,
-               count(*) FILTER (WHERE gone) AS removed_chunks, CAST(coalesce(sum(len) FILTER (WHERE gone), 0) AS BIGINT) AS removed_lines,
-               sha256(coalesce(string_agg(body, chr(10) ORDER BY start) FILTER (WHERE NOT gone), '')) AS text_sha256
-        FROM f GROUP BY doc_id""",
+             l AS (SELECT doc_id, i, lines[i] AS line FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM d)),
+             w AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+                          CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+             r AS (SELECT doc_id, k, lag(line) OVER o AS a, line AS b, lead(line) OVER o AS c, lead(line, 2) OVER o AS d,
+                          (h * 65599 + lead(h) OVER o) % 4294967291 AS r FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+             p AS (SELECT * FROM (SELECT *, r <= coalesce(lag(r) OVER o, r) OR r <= coalesce(lead(r) OVER o, r) AS opens FROM r
+                   WINDOW o AS (PARTITION BY doc_id ORDER BY k)) WHERE opens),
+             f AS (SELECT doc_id, k, row_number() OVER (PARTITION BY b, c ORDER BY doc_id, k) > 1 AS late,
+                          a IS NOT NULL AND row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) > 1 AS late_left,
+                          d IS NOT NULL AND row_number() OVER (PARTITION BY b, c, d ORDER BY doc_id, k) > 1 AS late_right FROM p),
+             g AS (SELECT doc_id, k FROM f WHERE late UNION SELECT doc_id, k + 1 FROM f WHERE late
+                   UNION SELECT doc_id, k - 1 FROM f WHERE late_left UNION SELECT doc_id, k + 2 FROM f WHERE late_right),
+             t AS (SELECT l.doc_id, count(*) AS n_lines, count(g.k) AS removed_lines,
+                          sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.k IS NULL), '')) AS text_sha256
+                   FROM l LEFT JOIN w USING (doc_id, i) LEFT JOIN g ON g.doc_id = w.doc_id AND g.k = w.k GROUP BY l.doc_id),
+             n AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id),
+             m AS (SELECT doc_id, count(*) AS n FROM g WHERE NOT EXISTS (FROM g x WHERE x.doc_id = g.doc_id AND x.k = g.k - 1) GROUP BY doc_id)
+        SELECT t.doc_id, n_lines, coalesce(n.n, 0) AS n_chunks, coalesce(m.n, 0) AS removed_chunks, removed_lines, text_sha256
+        FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN m ON m.doc_id = t.doc_id""",
 )
 def _(spark, sf_dir):
     return line_dedup.decide(table(spark, sf_dir, "documents"))
