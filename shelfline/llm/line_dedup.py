@@ -13,9 +13,9 @@ or more from end to end. A passage of two lines goes where the lines around it l
 Lines are keyed by 128 bits. All lines under one key of a repeated chunk and its neighbours are compared
 byte by byte; should two differ, all is done again with other keys.
 
-What travels: one slim row per chunk, and the text of documents with a repeated chunk for the comparison,
-where equal lines meet within a task first. Picking the first place is a partial aggregate; the joins back
-have ordinary equi keys, so a hot chunk is split like any skewed join.
+What travels: one slim row per chunk, each text once to its marks, and for the comparison the lines of
+repeated chunks, where equal lines meet within a task first. Picking the first place is a partial aggregate;
+the joins back have ordinary equi keys, so a hot chunk is split like any skewed join.
 
 Defined cases: a null text is empty; a text of one line is unchanged; repeats inside one text are
 removed too; rows that repeat id and text are one document and cleaned alike; null ids come last; an
@@ -77,11 +77,6 @@ def _on_key(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_rid"]) & (left["_th"] == right["_rth"])
 
 
-def _per_text(rows: DataFrame, name: str) -> DataFrame:
-    """(_rid, _rth, name): the distinct k of each text."""
-    return rows.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set("k").alias(name))
-
-
 def place() -> Column:
     """Places, not rows: a repeated row is the same place."""
     return F.struct(id_order("_id"), F.col("_th"), F.col("k"))
@@ -93,35 +88,35 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(firsts.drop("_last"), keys).withColumn("late", place() != F.col("_first")).drop("_first")
 
 
-def keys_clash(keyed: DataFrame, seeds: DataFrame, salt: str) -> bool:
-    """Whether two lines that differ in their bytes have one key, among the lines of repeated chunks and beside them."""
-    texts, suspects = keyed.select("_id", "_th", "_text"), _per_text(seeds, "_seeds")
-    reach = F.array_distinct(F.flatten(F.transform("_seeds", lambda k: F.sequence(k - 1, k + 2))))
-    lines = (
-        texts.join(suspects, _on_key(texts, suspects))
-        .select(F.explode(bound(wordy(split_lines(F.col("_text"))), lambda lines: F.transform(reach, lambda k: F.get(lines, k)))).alias("line"))
-        .dropna().select(line_key(F.col("line"), salt).alias("key"), "line").distinct()
-    )
-    return not lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+def marks(keyed: DataFrame, salt: str) -> DataFrame:
+    """(_rid, _rth, seeds, gone), per text with a repeated chunk: the places of these and the numbers of the wordy lines that go."""
+    chunked = keyed.select("_id", "_th", F.explode(text_chunks(F.col("_text"), salt)).alias("c"))
+    slim = cut_lineage(chunked.select("_id", "_th", "c.*"))
+    seeds = cut_lineage(_repeated(slim, ["b", "c"]))
+    places = seeds.drop("late")
+    left, right = _repeated(places, ["a", "b", "c"]), _repeated(places, ["b", "c", "d"])
 
+    def late(rows: DataFrame, *steps: int) -> DataFrame:
+        return rows.where("late").select("_id", "_th", F.lit(None).cast("int").alias("seed"), F.explode(F.array(*[F.col("k") + s for s in steps])).alias("line"))
 
-def gone_lines(keyed: DataFrame) -> DataFrame:
-    """(_rid, _rth, gone): the numbers of the wordy lines that go, per text that loses any."""
-    for attempt in count():
-        salt = str(attempt) if attempt else ""
-        chunked = keyed.select("_id", "_th", F.explode(text_chunks(F.col("_text"), salt)).alias("c"))
-        slim = cut_lineage(chunked.select("_id", "_th", "c.*"))
-        seeds = cut_lineage(_repeated(slim, ["b", "c"]))
-        if not keys_clash(keyed, seeds, salt):
-            break
-    left, right = _repeated(seeds.drop("late"), ["a", "b", "c"]), _repeated(seeds.drop("late"), ["b", "c", "d"])
-    late = lambda rows, *steps: rows.where("late").select("_id", "_th", F.explode(F.array(*[F.col("k") + s for s in steps])).alias("k"))
-    return _per_text(late(seeds, 0, 1).unionByName(late(left, -1)).unionByName(late(right, 2)), "gone")
+    found = places.select("_id", "_th", F.col("k").alias("seed"), F.lit(None).cast("int").alias("line"))
+    for rows in (late(seeds, 0, 1), late(left, -1), late(right, 2)):
+        found = found.unionByName(rows)
+    return found.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(
+        F.collect_set("seed").alias("seeds"), F.collect_set("line").alias("gone"))
 
 
-def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def keys_clash(lines: DataFrame, salt: str) -> bool:
+    """Whether two lines that differ in their bytes have one key."""
+    keyed = lines.dropna().select(line_key(F.col("line"), salt).alias("key"), "line").distinct()
+    return not keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def _cleaned(docs: DataFrame, id_col: str, text_col: str, *result: Column) -> DataFrame:
+    """The result columns, made of `_row`, `_text`, `gone` and `_clean`. The texts meet their marks once: the
+    result is written beside the lines to compare, and written anew if their keys clash."""
     keyed = _keyed(docs, id_col, text_col)
-    gone = gone_lines(keyed)
+    reach = F.array_distinct(F.flatten(F.transform("seeds", lambda k: F.sequence(k - 1, k + 2))))
 
     def remaining(lines: Column) -> Column:
         at = F.array_compact(F.transform(lines, lambda x, i: F.when(x.rlike(WORDY), i)))
@@ -130,13 +125,22 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost), lambda i: F.get(lines, i)))
         return F.array_join(kept, "\n")
 
-    return keyed.join(gone, _on_key(keyed, gone), "left").withColumn("_clean", bound(split_lines(F.col("_text")), remaining))
+    compared = F.when(F.col("seeds").isNotNull(), bound(
+        wordy(split_lines(F.col("_text"))), lambda lines: bound(reach, lambda at: F.transform(at, lambda k: F.get(lines, k)))))
+    for attempt in count():
+        salt = str(attempt) if attempt else ""
+        found = marks(keyed, salt)
+        joined = keyed.join(found, _on_key(keyed, found), "left").withColumn("_clean", bound(split_lines(F.col("_text")), remaining))
+        written = cut_lineage(joined.select(F.struct(*result).alias("_row"), compared.alias("_lines")))
+        if not keys_clash(written.select(F.explode("_lines").alias("line")), salt):
+            return unboxed(written)
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the repeated passages taken out of their text; a null text stays null."""
     text = F.when(F.col(f"_row.`{text_col}`").isNotNull(), F.col("_clean"))
-    return unboxed(_cleaned(docs, id_col, text_col).withColumn("_row", F.col("_row").withField(f"`{text_col}`", text)))
+    return _cleaned(docs, id_col, text_col, *[
+        (text if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,9 +148,9 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     `removed_chunks` counts the grown ones: runs of wordy lines that go.
     """
-    rows = _cleaned(docs.select(id_col, text_col), id_col, text_col)
     gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
-    return rows.select(
+    return _cleaned(
+        docs.select(id_col, text_col), id_col, text_col,
         F.col("_id").alias("doc_id"),
         F.size(split_lines(F.col("_text"))).cast("bigint").alias("n_lines"),
         F.size(text_chunks(F.col("_text"))).cast("bigint").alias("n_chunks"),
