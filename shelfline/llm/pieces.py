@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS = 1.0
 SEED = 1
 # Texts encoded, and pieces decoded, at once.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 DECODED = 1 << 18
 SPACE_MARK = "▁"
 CHAR_BYTES = np.ones(256, np.int64)
