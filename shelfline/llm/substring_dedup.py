@@ -13,6 +13,9 @@ shared at once. What is left is extended window by window: its windows are hashe
 per window decides. An id that has a smaller partner in context can not be the smallest holder
 of any of these windows, so it needs no window of its own; neither does an anchor that only one id is left with.
 
+Texts that more than `SHARE` of the rows hold are settled before all that: of equal texts only the rows of the smallest id
+can be the smallest holders of a window, and all windows of the others go. So a large group of copies brings the anchors of one text.
+
 What travels: 6 slim rows per 31 words, then rows of repeated anchors only. Hashes of windows and contexts have
 128 bits. Smallest ids are partial aggregates; they come back by a join in which the keys that hold more than
 `SHARE` of the rows are broadcast (at most 1 / `SHARE` keys, whatever the input), so no group meets in one task.
@@ -42,6 +45,10 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
 SHARE = 1 / 2000
+# Fewer characters hold no window.
+LEAST = 2 * WINDOW - 1
+# A run that goes to the end of any text.
+WHOLE = 2**31 - 1
 WORD_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -139,9 +146,11 @@ def _kept_words(words: Words, gone: pa.Array, lo: int) -> np.ndarray:
     start = words.bounds[rows] + flat.field(0).to_numpy()
     # the reach of an anchor near the end is longer than the text
     stop = np.minimum(start + flat.field(1).to_numpy(), words.bounds[rows + 1])
+    # a copy of a text without a window keeps its words
+    holds = np.diff(words.bounds)[rows] >= WINDOW
     covered = np.zeros(len(words.rows) + 1, np.int64)
-    np.add.at(covered, start, 1)
-    np.add.at(covered, stop, -1)
+    np.add.at(covered, start[holds], 1)
+    np.add.at(covered, stop[holds], -1)
     return np.cumsum(covered)[:-1] == 0
 
 
@@ -159,8 +168,12 @@ def _kept_texts(texts: pa.Array, gone: pa.Array) -> Iterator[tuple[int, int, byt
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = whole_text(text_col)
-    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
+    return docs.select(F.col(f"`{id_col}`").alias("_id"), *_text_keys(whole_text(text_col)))
+
+
+def _text_keys(text: Column) -> list[Column]:
+    """The text and two hashes of it, 128 bits together."""
+    return [F.xxhash64(text).alias("_th"), text.alias("_text"), F.xxhash64(F.length(text), text).alias("_tl")]
 
 
 def _smallest(rows: DataFrame, *keys: str) -> DataFrame:
@@ -191,12 +204,24 @@ def _later() -> Column:
     return F.col("_first").isNotNull() & (F.col("_id").isNull() | F.coalesce(F.col("_id") > F.col("_first"), F.lit(False)))
 
 
+def common_texts(keyed: DataFrame, share: float = SHARE) -> DataFrame:
+    """(_th, _tl, _first): the texts that more than one id and more than `share` of the rows hold, with their smallest id."""
+    most = int(keyed.count() * share) + 1
+    return cut_lineage(_smallest(keyed.where(F.length("_text") >= LEAST), "_th", "_tl").where(F.col("_n") > most).drop("_n"))
+
+
+def _with_copies(keyed: DataFrame, common: DataFrame) -> DataFrame:
+    """Every row, with `_copy`: a smaller id has the same text, which is a common one."""
+    marked = keyed.join(F.broadcast(common), ["_th", "_tl"], "left")  # at most 1 / share texts
+    return marked.withColumn("_copy", _later()).drop("_first")
+
+
 def removed_runs(keyed: DataFrame) -> DataFrame:
-    """(_rid, _rth, gone): the runs of words that go, as (at, len), per text that loses any."""
+    """(_rid, _rth, gone): the runs of words that go, as (at, len), per text that loses any and is no `_copy`."""
+    keyed = keyed.where("not _copy").drop("_copy")
     kind = keyed.schema["_id"].dataType.simpleString()
     key = [F.col("_id").alias("_rid"), F.col("_th").alias("_rth")]
-    # fewer characters hold no window
-    anchors = cut_lineage(keyed.where(F.length("_text") >= 2 * WINDOW - 1).mapInArrow(
+    anchors = cut_lineage(keyed.where(F.length("_text") >= LEAST).select("_id", "_th", "_text").mapInArrow(
         _anchor_rows, f"_id {kind}, _th long, at int, anchor long, context long"))
     repeated = cut_lineage(with_smallest(anchors, "anchor").drop("_first"))
     # where a smaller id has the context, so has it all windows around the anchor
@@ -217,9 +242,13 @@ def _on_key(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_rid"]) & (left["_th"] == right["_rth"])
 
 
-def _with_runs(keyed: DataFrame) -> DataFrame:
-    gone = removed_runs(keyed)
-    return keyed.join(gone, _on_key(keyed, gone), "left")
+def _with_runs(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Every row with its runs of words that go; `keyed` are the same rows without further columns."""
+    common = common_texts(keyed)
+    gone = removed_runs(_with_copies(keyed, common))
+    rows = _with_copies(rows, common)
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.lit(WHOLE).alias("len")))
+    return rows.join(gone, _on_key(rows, gone), "left").withColumn("gone", F.when(F.col("_copy"), whole).otherwise(F.col("gone")))
 
 
 @F.arrow_udf(T.StructType().add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept_sha256", T.StringType()))
@@ -238,15 +267,14 @@ def _left_over(texts: pa.Array, gone: pa.Array) -> pa.Array:
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their repeated passages. A text that loses words is its other words joined by one space; others stay as they are."""
     name = f"_row.`{text_col}`"
-    text = whole_text(name)
-    keyed = boxed(docs).select("_row", F.col(f"_row.`{id_col}`").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
-    gone = removed_runs(_keyed(docs, id_col, text_col))
-    rows = keyed.join(gone, _on_key(keyed, gone), "left")
+    boxed_rows = boxed(docs).select("_row", F.col(f"_row.`{id_col}`").alias("_id"), *_text_keys(whole_text(name)))
+    rows = _with_runs(boxed_rows, _keyed(docs, id_col, text_col))
     new = F.when(F.col("gone").isNull(), F.col(name)).otherwise(F.col("_new"))
     return unboxed(rows.withColumn("_new", _left_over("_text", "gone")).withColumn("_row", F.col("_row").withField(f"`{text_col}`", new)))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256 of the words that stay, joined by one space."""
-    rows = _with_runs(_keyed(docs, id_col, text_col)).select(F.col("_id").alias("doc_id"), _summary("_text", "gone").alias("s"))
+    keyed = _keyed(docs, id_col, text_col)
+    rows = _with_runs(keyed, keyed).select(F.col("_id").alias("doc_id"), _summary("_text", "gone").alias("s"))
     return rows.select("doc_id", "s.n_words", "s.n_removed", "s.kept_sha256")

@@ -90,3 +90,21 @@ def test_clean_takes_the_words_out(spark, awkward):
     assert out.columns == awkward.columns and out.count() == awkward.count()
     assert out.where("doc_id = 9").first().text == "" and out.where("doc_id = 6").first().n_chars == len(out.where("doc_id = 6").first().text)
     assert out.where("doc_id = 3").first().text is None and out.where("doc_id = 8").first().text == "Ünïcode ▁ mark \x00 é"
+
+
+def test_a_large_group_of_copies_brings_the_anchors_of_one_text(spark, monkeypatch):
+    text, short = " ".join(f"c{i}" for i in range(200)), " ".join(f"longer-word-{i}" for i in range(49))
+    rows = [(i, text) for i in range(100, 300)] + [(None, text), (100, text), (7, "x " + text), (400, text + " y")] + [(i, short) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    counted, real = [], S.with_smallest
+
+    def counting(found, *keys, **options):
+        counted.append(found.count())
+        return real(found, *keys, **options)
+
+    monkeypatch.setattr(S, "with_smallest", counting)
+    assert found(df) == by_hand(rows)
+    one = max(len(S.COVER) * (200 // S.PERIOD + 1), 1)
+    assert counted[0] <= 4 * one  # two rows of the smallest id and two texts of their own, not 204
+    left = {r.doc_id: r.text for r in S.clean(df).collect()}
+    assert left[7] == "x " + text and left[100] == left[299] == left[None] == "" and left[39] == short
