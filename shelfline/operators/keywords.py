@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.text import STOP_PHRASES
 from shelfline.operators.filters import above_group_statistic, in_list, without_stop_phrases
-from shelfline.operators.windows import top_per_group
+from shelfline.operators.windows import top_distinct_per_group
+from shelfline.plans.ordered import settled
 
 
 def reduce_keywords(
@@ -32,9 +33,9 @@ def reduce_keywords(
     comes first; the statistics are per category, so the result is the same.
     """
     keys = [category, per_file] if per_file else [category]
-    kept = in_list(df, category, allowed) if allowed else df
-    high = above_group_statistic(kept, keys, value, statistic).dropDuplicates()
+    kept = settled(in_list(df, category, allowed) if allowed else df)
+    high = above_group_statistic(kept, keys, value, statistic)
     clean = without_stop_phrases(high, keyword, phrases, literal)
     others = [c for c in df.columns if c not in {*keys, value, keyword}]
-    order = [F.col(value).desc(), F.col(keyword).asc(), *[F.col(c).asc() for c in others]]
-    return top_per_group(clean, keys, order, k).drop("rank")
+    order = [F.col(keyword).asc(), *[F.col(c).asc() for c in others]]
+    return top_distinct_per_group(clean, keys, value, order, k, spread=kept).drop("rank")

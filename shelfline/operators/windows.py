@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.columns import stream_weight
 from shelfline.operators.filters import share_band
-from shelfline.plans.ordered import keys_present, positions, running_sum
+from shelfline.plans.ordered import ACCURACY, cut_lineage, keys_present, positions, running_sum
 
 
 def top_per_group(
@@ -29,6 +29,29 @@ def top_per_group(
     return ranked.where(F.col(out) <= k)
 
 
+# The share of a group's rows among which its first distinct rows are looked for.
+LEADING = 0.01
+
+
+def top_distinct_per_group(
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[Column], k: int, spread: DataFrame | None = None, out: str = "rank"
+) -> DataFrame:
+    """First k distinct rows of each group, largest `value` first and then by `order`, which names all other columns. Null keys form no group.
+
+    A sketch of the values (of `spread`, a table with about their distribution, or `df`) gives a value that about `LEADING` of a
+    group's rows reach. Where k distinct rows do, the first k are among them, so no others are made distinct. A group
+    with fewer such rows, as it is small or repeats itself, is made distinct whole.
+    """
+    present = keys_present(df, keys)
+    sketched = keys_present(df if spread is None else spread, keys).where(F.col(value).isNotNull())
+    cuts = cut_lineage(sketched.groupBy(*keys).agg(F.percentile_approx(value, 1 - LEADING, ACCURACY).alias("_cut")))
+    leading = cut_lineage(present.join(cuts, list(keys)).where(F.col(value) >= F.col("_cut")).drop("_cut").dropDuplicates())
+    full = cut_lineage(leading.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).drop("_n"))
+    others = present.join(full, list(keys), "left_anti").dropDuplicates()
+    found = leading.join(full, list(keys), "left_semi").unionByName(others)
+    return top_per_group(found, keys, [F.col(value).desc(), *order], k, out)
+
+
 def pareto_head(
     df: DataFrame,
     keys: Sequence[str],
