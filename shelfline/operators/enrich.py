@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +83,17 @@ def task_slots(spark: SparkSession) -> int | None:
 HELD = 200
 
 
+# Rows, and bytes unless one row has more, that are in the hands of Python at a time, whatever the size of Spark's batches.
+PIECE_ROWS, PIECE_BYTES = 500, 1 << 20
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = max(min(PIECE_ROWS, batch.num_rows * PIECE_BYTES // max(batch.nbytes, 1)), 1)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # The status of a row without a prompt, which is not sent.
 NO_PROMPT = "no prompt"
 
@@ -118,6 +129,7 @@ def batch_infer(
     calls_per_second: float | None = None,
     spread: bool = True,
     slots: int | None = None,
+    keep_prompt: bool = True,
 ) -> DataFrame:
     """Add generated_text, time_taken_sec, attempts and error to every row.
 
@@ -126,6 +138,7 @@ def batch_infer(
     can run at once, which are the partitions or, where fewer, the task `slots` of the application (found
     from its settings when not given). Rows are read on while threads are free, so neither a slow call nor small
     batches leave them idle; up to `HELD` answered rows per thread wait for a slow call before them. A null prompt is not sent.
+    Without `keep_prompt` the prompts are not sent back. Python holds small pieces of a batch, so its memory does not follow the input.
     """
     if calls_per_second is not None and partitions is None:
         raise ValueError("a call rate needs a fixed number of partitions")
@@ -133,19 +146,22 @@ def batch_infer(
     at_once = min(partitions, slots or task_slots(df.sparkSession) or partitions) if calls_per_second else None
     rate = calls_per_second / at_once if calls_per_second else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kept = [c for c in dealt.columns if keep_prompt or c != prompt]
+    replied = pa.schema([("generated_text", pa.string()), ("time_taken_sec", pa.float64()), ("attempts", pa.int32()), ("error", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
         call = partial(call_with_retry, client, retries=retries, wait=wait, jitter=jitter, pace=Pace(rate))
-        columns = ["generated_text", "time_taken_sec", "attempts", "error"]
 
-        def answered(pdf: pd.DataFrame, calls: list) -> pd.DataFrame:
-            replies = pd.DataFrame([c.result() for c in calls], columns=columns).astype({"attempts": "int32"})
-            return pd.concat([pdf.reset_index(drop=True), replies], axis=1)
+        def answered(batch: pa.RecordBatch, calls: list) -> pa.RecordBatch:
+            values = zip(*[c.result() for c in calls])
+            replies = [pa.array(v, f.type) for v, f in zip(values, replied)]
+            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *replies], [*kept, *replied.names])
 
         changed, unanswered = threading.Condition(), [0]
 
-        def submitted(pool: ThreadPoolExecutor, pdf: pd.DataFrame) -> tuple[pd.DataFrame, list, list[int]]:
-            left = [len(pdf)]
+        def submitted(pool: ThreadPoolExecutor, batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list, list[int]]:
+            left = [batch.num_rows]
 
             def over(_):
                 with changed:
@@ -154,16 +170,16 @@ def batch_infer(
                     changed.notify()
 
             with changed:
-                unanswered[0] += len(pdf)
-            calls = [pool.submit(call, None if pd.isna(text) else text) for text in pdf[prompt]]
+                unanswered[0] += batch.num_rows
+            calls = [pool.submit(call, text.as_py()) for text in batch.column(prompt)]
             for c in calls:
                 c.add_done_callback(over)
-            return pdf, calls, left
+            return batch, calls, left
 
         with ThreadPoolExecutor(max_workers=max_workers) as pool:
             ahead: deque = deque()
-            for pdf in batches:
-                ahead.append(submitted(pool, pdf))
+            for batch in pieces(batches):
+                ahead.append(submitted(pool, batch))
                 while ahead:
                     left = ahead[0][2]
                     with changed:
@@ -176,8 +192,8 @@ def batch_infer(
                 yield answered(*ahead.popleft()[:2])
 
     added = "generated_text string, time_taken_sec double, attempts int, error string"
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    return dealt.mapInPandas(run, f"{kept}, {added}")
+    fields = ", ".join(f"`{c}` {dealt.schema[c].dataType.simpleString()}" for c in kept)
+    return dealt.mapInArrow(run, f"{fields}, {added}")
 
 
 def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **options) -> DataFrame:
@@ -190,7 +206,7 @@ def infer_distinct(df: DataFrame, prompt: str, client_factory: ClientFactory, **
     """
     keyed = df.withColumn("_digest", F.sha2(prompt, 256))
     distinct = keyed.where(F.col(prompt).isNotNull()).groupBy("_digest").agg(F.any_value(prompt).alias("_prompt"))
-    replies = cut_lineage(batch_infer(distinct, "_prompt", client_factory, **options).drop("_prompt"))
+    replies = cut_lineage(batch_infer(distinct, "_prompt", client_factory, keep_prompt=False, **options))
     unsent = F.col(prompt).isNull()
     return keyed.join(replies, "_digest", "left").drop("_digest").withColumns({
         "attempts": F.when(unsent, 0).otherwise(F.col("attempts")),
@@ -216,8 +232,8 @@ def infer_inputs(
         dealt = with_group_options(dealt, options, keys, option)
         fields = {"options": "options", **fields}
     prompted = dealt.select("_digest", render_template(template, **fields).alias("_prompt"))
-    called = batch_infer(prompted, "_prompt", client_factory, partitions=partitions, spread=False, **call)
-    return keyed.join(cut_lineage(called.drop("_prompt")), "_digest", "left").drop("_digest")
+    called = batch_infer(prompted, "_prompt", client_factory, partitions=partitions, spread=False, keep_prompt=False, **call)
+    return keyed.join(cut_lineage(called), "_digest", "left").drop("_digest")
 
 
 def parse_reply(reply: str, tags: Mapping[str, str], sentinels: Sequence[str] = SENTINELS) -> dict[str, Column]:

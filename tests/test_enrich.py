@@ -239,3 +239,20 @@ def test_a_slow_call_leaves_no_thread_idle(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     # all others are answered while the first one, alone in its batch with another, still runs
     assert len(rows) == 40 and max(v for k, v in rows.items() if k) < rows[0]
+
+
+def test_python_holds_small_pieces_of_a_batch():
+    import pyarrow as pa
+
+    short = pa.RecordBatch.from_arrays([pa.array([f"p{i}" for i in range(1201)])], ["prompt"])
+    long = pa.RecordBatch.from_arrays([pa.array(["x" * (1 << 18)] * 11 + ["y" * (1 << 22)])], ["prompt"])
+    cut = list(enrich.pieces(iter([short, long])))
+    assert [b.num_rows for b in cut[:3]] == [500, 500, 201] and max(b.num_rows for b in cut[3:]) < 4
+    assert pa.Table.from_batches(cut).column(0).to_pylist() == short.column(0).to_pylist() + long.column(0).to_pylist()
+
+
+def test_prompts_need_not_come_back(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k int, prompt string")
+    out = enrich.batch_infer(df, "prompt", lambda: str.upper, keep_prompt=False, partitions=2)
+    assert "prompt" not in out.columns
+    assert rows(out, "k", "generated_text", "attempts", "error") == [(1, "A", 1, None), (2, None, 0, "no prompt"), (3, "C", 1, None)]
