@@ -50,15 +50,17 @@ class Tree:
 
     def node_of(self, bins: np.ndarray) -> np.ndarray:
         """The node each row ends in."""
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        node, first = np.zeros(len(bins), np.intp), np.arange(len(bins)) * bins.shape[1]
+        inner, feature, flat = self.feature >= 0, np.maximum(self.feature, 0), np.ascontiguousarray(bins).ravel()
+        # a missing value lies below every cut, so only where it goes right does it need a look
+        right = inner & ~self.missing_left
         for _ in range(self.depth):
-            feature = self.feature[node]
-            inner = feature >= 0
-            if not inner.any():
+            here = inner.take(node)
+            if not here.any():
                 break
-            at = bins[rows, np.maximum(feature, 0)]
-            left = np.where(at == MISSING, self.missing_left[node], at <= self.cut[node])
-            node = np.where(inner, 2 * node + 2 - left, node)
+            at = flat.take(first + feature.take(node))
+            left = (at <= self.cut.take(node)) & ~((at == MISSING) & right.take(node))
+            node = np.where(here, 2 * node + 2 - left, node)
         return node
 
 
@@ -101,6 +103,23 @@ def _matrix(column: pa.Array, width: int, kind) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), width)
 
 
+def _packed(bins: np.ndarray) -> pa.Array:
+    """A row's bins as one binary cell of two bytes each, which Spark hands over without a look at its elements."""
+    n, width = bins.shape
+    offsets = np.arange(n + 1, dtype=np.int32) * np.int32(2 * width)
+    data = np.ascontiguousarray(bins, "<i2").tobytes()
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _unpacked(column: pa.Array, width: int) -> np.ndarray:
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    if not len(column) or not width:
+        return np.zeros((len(column), width), np.int16)
+    start = int(np.frombuffer(offsets, np.int32)[column.offset])
+    return np.frombuffer(data, "<i2", len(column) * width, start).reshape(len(column), width)
+
+
 def _values(df: DataFrame, features: Sequence[str]):
     return F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in features])
 
@@ -121,18 +140,17 @@ def _binned_rows(train: DataFrame, features: Sequence[str], label: str, cuts: Se
         for batch in batches:
             bins = binned(_matrix(batch.column(2), width, float), cuts).astype(np.int16)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.FixedSizeListArray.from_arrays(pa.array(bins.ravel()), width).cast(pa.list_(pa.int16())),
-                 pa.array(np.zeros(len(bins)))], ["key", "y", "bins", "margin"])
+                [batch.column(0), batch.column(1), _packed(bins), pa.array(np.zeros(len(bins)))], ["key", "y", "bins", "margin"])
 
     rows = train.where(F.col(label).isNotNull()).select(
         F.xxhash64(*[F.col(f"`{c}`") for c in train.columns if not isinstance(train.schema[c].dataType, T.MapType)]),
         F.col(label).cast("double"), _values(train, features))
-    return cut_lineage(rows.mapInArrow(run, "key long, y double, bins array<short>, margin double"))
+    return cut_lineage(rows.mapInArrow(run, "key long, y double, bins binary, margin double"))
 
 
 def _batches(batches: Iterator[pa.RecordBatch], width: int, since: Sequence[Tree]):
     for batch in batches:
-        bins = _matrix(batch.column(2), width, np.int64)
+        bins = _unpacked(batch.column(2), width)
         margin = batch.column(3).to_numpy()
         for tree in since:
             margin = margin + tree.value[tree.node_of(bins)]
@@ -146,15 +164,21 @@ def _level_sums(rows: DataFrame, width: int, wide: int, since: Sequence[Tree], t
     size = len(open_nodes) * width * wide
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, h = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        nodes = len(open_nodes)
+        g, h = np.zeros((nodes, width, wide), np.int64), np.zeros((nodes, width, wide), np.int64)
         for batch, bins, margin in _batches(batches, width, since):
             p = sigmoid(margin)
             slot = slot_of[tree.node_of(bins)]
             seen = (slot >= 0) & _drawn(batch.column(0).to_numpy(), number, seed, share)
             p, y = p[seen], batch.column(1).to_numpy()[seen]
-            at = ((slot[seen, None] * width + np.arange(width)) * wide + np.where(bins[seen] == MISSING, wide - 1, bins[seen])).ravel()
-            np.add.at(g, at, np.repeat(np.rint((p - y) * UNIT).astype(np.int64), width))
-            np.add.at(h, at, np.repeat(np.rint(p * (1 - p) * UNIT).astype(np.int64), width))
+            first, bins = slot[seen] * wide, bins[seen]
+            # whole numbers below 2^27 each: a float sum of a batch is exact up to 2^26 rows
+            parts = (g, np.rint((p - y) * UNIT)), (h, np.rint(p * (1 - p) * UNIT))
+            for f in range(width):
+                at = first + np.where(bins[:, f] == MISSING, wide - 1, bins[:, f])
+                for sums, x in parts:
+                    sums[:, f] += np.bincount(at, x, minlength=nodes * wide).astype(np.int64).reshape(nodes, wide)
+        g, h = g.ravel(), h.ravel()
         used = np.flatnonzero((g != 0) | (h != 0))
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(g[used]), pa.array(h[used])], ["at", "g", "h"])
 

@@ -155,3 +155,16 @@ def test_the_queries_return_the_values_of_the_model(spark):
     shares = {r.feature: r.importance for r in queries["feature_importance"](spark, folder).collect()}
     gains = {f: sum(n.gain for n in nodes.values() if n.feature == f) for f in FEATURES}
     assert set(shares) == set(FEATURES) and all(math.isclose(shares[f], gains[f] / sum(gains.values())) for f in FEATURES)
+
+
+def test_bins_travel_as_binary_cells():
+    import numpy as np
+    import pyarrow as pa
+
+    from shelfline.operators import boosting
+
+    bins = np.array([[0, -1, 255], [7, 300, 2], [-1, -1, -1], [5, 6, 7]], np.int16)
+    packed = boosting._packed(bins)
+    assert packed.type == pa.binary() and (boosting._unpacked(packed, 3) == bins).all()
+    assert (boosting._unpacked(packed.slice(1, 2), 3) == bins[1:3]).all()
+    assert boosting._unpacked(packed.slice(4), 3).shape == (0, 3)
