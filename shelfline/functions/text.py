@@ -6,8 +6,11 @@ import os
 import re
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Commercial phrases that make a keyword useless for attribute mining.
 STOP_PHRASES = (
@@ -162,3 +165,45 @@ def fingerprint(columns: Sequence[str]) -> Column:
         return F.coalesce(given, F.lit(f"{name}-"))
 
     return F.sha2(F.concat_ws("\n", *[entry(c) for c in sorted(columns)]), 256)
+
+
+COUNTS = ("n_words", "n_lines", "n_digits", "n_marks")
+# Texts whose bytes are looked at together.
+PIECE = 500
+
+_WHITE, _LINE, _DIGIT, _MARK = 1, 2, 4, 8
+# What a byte of UTF-8 is: a character beyond ASCII is a mark, counted by its first byte.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[b for b in range(256) if not 0x80 <= b < 0xC0 and not re.match(rb"[\w\s]", bytes([b]))]] = _MARK
+_KINDS[list(b" \t\n\x0b\f\r")] = _WHITE
+_KINDS[ord("\n")] |= _LINE
+_KINDS[list(b"0123456789")] = _DIGIT
+
+
+def _byte_counts(texts: pa.Array) -> list[np.ndarray]:
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset)
+    kinds = _KINDS[np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]] if data else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    white = (kinds & _WHITE).view(bool)
+    opens = white.copy()
+    opens[1:] &= ~white[:-1]
+    first = ends[:-1][ends[:-1] < len(kinds)]
+    opens[first] = white[first]
+    runs, lines, digits, marks = (np.diff(np.searchsorted(np.flatnonzero(x), ends)) for x in (opens, kinds & _LINE, kinds & _DIGIT, kinds & _MARK))
+    return [runs + 1, lines + 1, digits, marks]
+
+
+def text_counts(text: Column) -> Column:
+    r"""Parts between runs of `\s+`, parts between line ends, digits `[0-9]` and characters of `[^\w\s]` of a text, as one struct; null for a null.
+
+    Counted on the bytes in one pass per batch; the classes are those of ASCII.
+    """
+    @F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
+    def counted(texts: pa.Array) -> pa.Array:
+        parts = [_byte_counts(texts.slice(at, PIECE)) for at in range(0, len(texts), PIECE)]
+        columns = [pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in zip(*parts)] if parts else [pa.array([], pa.int64())] * len(COUNTS)
+        return pa.StructArray.from_arrays(columns, list(COUNTS), mask=texts.is_null())
+
+    return counted(text)

@@ -1,8 +1,8 @@
 """Gradient-boosted trees for a yes/no label, trained over the whole table.
 
 Second-order boosting of the logistic loss on binned features. The rows stay where they are: per level
-of a tree every task sums gradient and hessian by (node, feature, bin), Spark adds these sums up, and the driver
-sees one table whose size depends on the model only. A split needs `min_child_weight` of hessian on both sides
+of a tree every task sums gradient and hessian by (node, feature, bin) and returns one cell whose size depends on
+the model only; the driver adds up a bounded number of cells, more are added by tasks first. A split needs `min_child_weight` of hessian on both sides
 and is kept when it, or a split below it, saves at least `min_gain` of loss; missing values go to the side that
 saves more. A leaf is worth -rate * G / (H + ridge).
 
@@ -28,6 +28,9 @@ UNIT = 1 << 26
 # Trees after which the sums of the rows are written down, so no pass evaluates more trees than that.
 WRITTEN_EVERY = 10
 MISSING = -1
+# Rows of a block, and sums of tasks that one place adds up.
+BLOCK = 10_000
+MERGED = 64
 
 
 @dataclass
@@ -49,19 +52,19 @@ class Tree:
         self.gain, self.value, self.weight = np.zeros(n), np.zeros(n), np.zeros(n)
 
     def node_of(self, bins: np.ndarray) -> np.ndarray:
-        """The node each row ends in."""
-        node, first = np.zeros(len(bins), np.intp), np.arange(len(bins)) * bins.shape[1]
-        inner, feature, flat = self.feature >= 0, np.maximum(self.feature, 0), np.ascontiguousarray(bins).ravel()
-        # a missing value lies below every cut, so only where it goes right does it need a look
-        right = inner & ~self.missing_left
-        for _ in range(self.depth):
-            here = inner.take(node)
-            if not here.any():
-                break
-            at = flat.take(first + feature.take(node))
-            left = (at <= self.cut.take(node)) & ~((at == MISSING) & right.take(node))
-            node = np.where(here, 2 * node + 2 - left, node)
-        return node
+        """The node each row ends in; `bins` (features, rows) are of two bytes."""
+        kind = np.min_scalar_type(len(self.feature)).type
+        last = bins.view(np.uint16)  # here missing values lie above every cut, with a sign below
+
+        def end(node: int):
+            f = self.feature[node]
+            if f < 0:
+                return kind(node)
+            left = bins[f] <= np.int16(self.cut[node]) if self.missing_left[node] else last[f] <= np.uint16(self.cut[node])
+            one, other = end(2 * node + 1), end(2 * node + 2)
+            return other ^ ((one ^ other) & np.negative(left.astype(kind)))  # a choice, several times faster than by where()
+
+        return np.broadcast_to(end(0), bins.shape[1:])
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ class BoostedTrees:
         return binned(x, self.cuts)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        bins = self.binned(x)
+        bins = np.ascontiguousarray(self.binned(x).T, np.int16)
         return sum((t.value[t.node_of(bins)] for t in self.trees), np.zeros(len(x)))
 
 
@@ -104,7 +107,7 @@ def _matrix(column: pa.Array, width: int, kind) -> np.ndarray:
 
 
 def _packed(bins: np.ndarray) -> pa.Array:
-    """A row's bins as one binary cell of two bytes each, which Spark hands over without a look at its elements."""
+    """The bins of each row of a matrix as one binary cell of two bytes each, which Spark hands over without a look at its elements."""
     n, width = bins.shape
     offsets = np.arange(n + 1, dtype=np.int32) * np.int32(2 * width)
     data = np.ascontiguousarray(bins, "<i2").tobytes()
@@ -132,62 +135,82 @@ def _drawn(keys: np.ndarray, number: int, seed: int, share: float) -> np.ndarray
     return (x ^ (x >> np.uint64(31))) < np.uint64(min(int(share * 2**64), 2**64 - 1))
 
 
-def _binned_rows(train: DataFrame, features: Sequence[str], label: str, cuts: Sequence[np.ndarray]) -> DataFrame:
-    """(key, y, bins, margin) of the rows with a label, written once."""
+def _cell(values: np.ndarray) -> pa.Array:
+    return pa.array([np.ascontiguousarray(values).tobytes()], pa.binary())
+
+
+def _block_rows(train: DataFrame, features: Sequence[str], label: str, cuts: Sequence[np.ndarray]) -> DataFrame:
+    """The rows with a label, written once in blocks of at most `BLOCK`: keys, labels, bins (feature by feature) and margins, a cell each."""
     width = len(features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins = binned(_matrix(batch.column(2), width, float), cuts).astype(np.int16)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _packed(bins), pa.array(np.zeros(len(bins)))], ["key", "y", "bins", "margin"])
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                bins = binned(_matrix(part.column(2), width, float), cuts).astype(np.int16)
+                cells = [_cell(part.column(0).to_numpy()), _cell(part.column(1).to_numpy()), _packed(bins.T.reshape(1, -1)), _cell(np.zeros(len(bins)))]
+                yield pa.RecordBatch.from_arrays(cells, ["keys", "y", "bins", "margin"])
 
     rows = train.where(F.col(label).isNotNull()).select(
         F.xxhash64(*[F.col(f"`{c}`") for c in train.columns if not isinstance(train.schema[c].dataType, T.MapType)]),
         F.col(label).cast("double"), _values(train, features))
-    return cut_lineage(rows.mapInArrow(run, "key long, y double, bins binary, margin double"))
+    return cut_lineage(rows.mapInArrow(run, "keys binary, y binary, bins binary, margin binary"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int, since: Sequence[Tree]):
+    """(block as written, keys, labels, bins, margins after the trees `since`)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            keys, y, margin = (np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in ((0, np.int64), (1, float), (3, float)))
+            bins = _unpacked(batch.column(2).slice(i, 1), width * len(keys)).reshape(width, len(keys))
+            for tree in since:
+                margin = margin + tree.value[tree.node_of(bins)]
+            yield batch.slice(i, 1), keys, y, bins, margin
 
 
-def _batches(batches: Iterator[pa.RecordBatch], width: int, since: Sequence[Tree]):
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One cell with the sum of the cells of whole numbers."""
+    total = None
     for batch in batches:
-        bins = _unpacked(batch.column(2), width)
-        margin = batch.column(3).to_numpy()
-        for tree in since:
-            margin = margin + tree.value[tree.node_of(bins)]
-        yield batch, bins, margin
+        for cell in batch.column(0):
+            sums = np.frombuffer(cell.as_buffer(), np.int64)
+            total = sums.copy() if total is None else total + sums
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([_cell(total)], ["sums"])
+
 
+def _level_sums(rows: DataFrame, tasks: int, width: int, wide: int, since: Sequence[Tree], tree: Tree, number: int, open_nodes: Sequence[int], seed: int, share: float):
+    """Gradient and hessian (open nodes, features, bins) of the rows that the tree sees; the last bin is for missing values.
 
-def _level_sums(rows: DataFrame, width: int, wide: int, since: Sequence[Tree], tree: Tree, number: int, open_nodes: Sequence[int], seed: int, share: float):
-    """Gradient and hessian (open nodes, features, bins) of the rows that the tree sees; the last bin is for missing values."""
+    Every task returns one cell of the model's size. The driver adds up `MERGED` cells at most: more are first added by tasks.
+    """
     slot_of = np.full(len(tree.feature), -1)
     slot_of[list(open_nodes)] = np.arange(len(open_nodes))
-    size = len(open_nodes) * width * wide
+    nodes = len(open_nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes = len(open_nodes)
-        g, h = np.zeros((nodes, width, wide), np.int64), np.zeros((nodes, width, wide), np.int64)
-        for batch, bins, margin in _batches(batches, width, since):
+        sums = np.zeros((2, nodes, width, wide), np.int64)
+        for _, keys, y, bins, margin in _blocks(batches, width, since):
             p = sigmoid(margin)
             slot = slot_of[tree.node_of(bins)]
-            seen = (slot >= 0) & _drawn(batch.column(0).to_numpy(), number, seed, share)
-            p, y = p[seen], batch.column(1).to_numpy()[seen]
-            first, bins = slot[seen] * wide, bins[seen]
-            # whole numbers below 2^27 each: a float sum of a batch is exact up to 2^26 rows
-            parts = (g, np.rint((p - y) * UNIT)), (h, np.rint(p * (1 - p) * UNIT))
+            seen = (slot >= 0) & _drawn(keys, number, seed, share)
+            # whole numbers below 2^27 each: a float sum of a block is exact up to 2^26 rows
+            parts = np.rint((p - y) * UNIT) * seen, np.rint(p * (1 - p) * UNIT) * seen
+            first = np.maximum(slot, 0) * wide + 1
             for f in range(width):
-                at = first + np.where(bins[:, f] == MISSING, wide - 1, bins[:, f])
-                for sums, x in parts:
-                    sums[:, f] += np.bincount(at, x, minlength=nodes * wide).astype(np.int64).reshape(nodes, wide)
-        g, h = g.ravel(), h.ravel()
-        used = np.flatnonzero((g != 0) | (h != 0))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(g[used]), pa.array(h[used])], ["at", "g", "h"])
-
-    sums = rows.mapInArrow(run, "at long, g long, h long").groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = sums.toArrow()
-    out = np.zeros((2, size))
-    for k in (0, 1):
-        out[k, found.column(0).to_numpy()] = found.column(1 + k).to_numpy() / UNIT
-    return out.reshape(2, len(open_nodes), width, wide)
+                at = first + bins[f]
+                for k, x in enumerate(parts):
+                    sums[k, :, f] += np.bincount(at, x, minlength=nodes * wide).astype(np.int64).reshape(nodes, wide)
+        yield pa.RecordBatch.from_arrays([_cell(np.roll(sums, -1, axis=3))], ["sums"])
+
+    cells = rows.mapInArrow(run, "sums binary")
+    while tasks > MERGED:
+        tasks = -(-tasks // MERGED)
+        cells = cells.repartition(tasks).mapInArrow(_added, "sums binary")
+    out = np.zeros((2, nodes, width, wide))
+    for total in _added(cells.toArrow().to_batches()):
+        out += np.frombuffer(total.column(0)[0].as_buffer(), np.int64).reshape(out.shape) / UNIT
+    return out
 
 
 def best_split(g: np.ndarray, h: np.ndarray, cuts: Sequence[np.ndarray], ridge: float, min_child_weight: float):
@@ -226,7 +249,8 @@ def train(
 ) -> BoostedTrees:
     """Rows without a label are left out; a null or NaN feature is a missing value. Without rows all odds are even."""
     cuts = cut_points(df.where(F.col(label).isNotNull()), features, bins)
-    rows = _binned_rows(df, features, label, cuts)
+    rows = _block_rows(df, features, label, cuts)
+    tasks = rows.rdd.getNumPartitions()
     width, wide = len(features), max([len(c) for c in cuts], default=0) + 2
     trees: list[Tree] = []
     since: list[Tree] = []
@@ -236,7 +260,7 @@ def train(
         for level in range(depth):
             if not open_nodes:
                 break
-            g, h = _level_sums(rows, width, wide, since, tree, number, open_nodes, seed, share)
+            g, h = _level_sums(rows, tasks, width, wide, since, tree, number, open_nodes, seed, share)
             coming = []
             for slot, node in enumerate(open_nodes):
                 node_g, node_h = g[slot, 0].sum(), h[slot, 0].sum()
@@ -256,6 +280,7 @@ def train(
         since.append(tree)
         if len(since) == WRITTEN_EVERY and number + 1 < rounds:
             rows, since = _with_margins(rows, width, since), []
+            tasks = rows.rdd.getNumPartitions()
     return BoostedTrees(tuple(features), cuts, tuple(trees))
 
 
@@ -263,8 +288,8 @@ def _with_margins(rows: DataFrame, width: int, since: Sequence[Tree]) -> DataFra
     since = list(since)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, margin in _batches(batches, width, since):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(margin)], batch.schema.names)
+        for block, _, _, _, margin in _blocks(batches, width, since):
+            yield pa.RecordBatch.from_arrays([*block.columns[:3], _cell(margin)], block.schema.names)
 
     return cut_lineage(rows.mapInArrow(run, rows.schema))
 

@@ -168,3 +168,71 @@ def test_bins_travel_as_binary_cells():
     assert packed.type == pa.binary() and (boosting._unpacked(packed, 3) == bins).all()
     assert (boosting._unpacked(packed.slice(1, 2), 3) == bins[1:3]).all()
     assert boosting._unpacked(packed.slice(4), 3).shape == (0, 3)
+
+
+def test_rows_travel_in_blocks_and_a_level_deals_out_nothing(spark, monkeypatch):
+    x, y = data(2500, 5)
+    df = spark.createDataFrame([(*map(float, r), int(b)) for r, b in zip(x, y)], "a double, b double, c double, y int")
+    monkeypatch.setattr(B, "BLOCK", 1000)
+    cuts = B.cut_points(df, ["a", "b", "c"])
+    rows = B._block_rows(df.coalesce(1), ["a", "b", "c"], "y", cuts)
+    blocks = sorted(rows.collect(), key=lambda r: -len(r.y))
+    assert [len(r.y) // 8 for r in blocks] == [1000, 1000, 500] and [len(r.bins) // 6 for r in blocks] == [1000, 1000, 500]
+    seen = []
+    to_arrow = type(df).toArrow
+    monkeypatch.setattr(type(df), "toArrow", lambda self: seen.append(self._jdf.queryExecution().executedPlan().toString()) or to_arrow(self))
+    model = B.train(df.repartition(7), ["a", "b", "c"], "y", rounds=2)
+    assert 2 < len(seen) <= 10 and not any("Exchange" in plan or "Aggregate" in plan for plan in seen)
+    # more sums than one place adds up are added by tasks, to the same model
+    monkeypatch.setattr(B, "MERGED", 2)
+    again = B.train(df.repartition(7), ["a", "b", "c"], "y", rounds=2)
+    assert "Exchange" in seen[-1] and B.nodes(again, spark).collect() == B.nodes(model, spark).collect()
+
+
+def test_deep_trees_end_where_a_walk_ends():
+    rng = np.random.default_rng(6)
+    bins = rng.integers(-1, 6, (300, 3)).astype(np.int16)
+    for depth in (0, 1, 5, 8):
+        tree = B.Tree(depth)
+        inner = 2**depth - 1
+        tree.feature[:inner] = rng.integers(-1, 3, inner)
+        tree.cut[:inner], tree.missing_left[:inner] = rng.integers(0, 5, inner), rng.random(inner) < 0.5
+
+        def end(row):
+            node = 0
+            while (f := tree.feature[node]) >= 0:
+                node = 2 * node + (1 if (tree.missing_left[node] if row[f] == B.MISSING else row[f] <= tree.cut[node]) else 2)
+            return node
+
+        assert tree.node_of(np.ascontiguousarray(bins.T)).tolist() == [end(r) for r in bins]
+
+
+def test_features_of_documents_are_those_of_the_patterns_and_texts_stay_where_they_are(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from shelfline.catalog import features as C
+    from shelfline.functions import text as X
+
+    texts = ["", " ", "\n", "a", " a  b\t\nc ", "é ü x y", "😀1 2\r\n\x0b\x0c3", "_a-b, 4٣!", "\x00\x1f\x7f", None, "x" * 3000 + " . ", "", "end\n"] * 3 + [None, ""]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts)) if i % 5], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, t, None if i == 7 else len(t or ""), "en" if i % 2 else None) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long, lang string")
+    monkeypatch.setattr(X, "PIECE", 4)
+    t = F.col("text")
+    left = {"n_digits": "[0-9]", "n_marks": r"[^\w\s]"}
+    wanted = docs.select(
+        "doc_id", F.size(F.split(t, r"\s+")).alias("n_words"), F.size(F.split(t, "\n")).alias("n_lines"),
+        *[(F.length(t) - F.length(F.regexp_replace(t, p, ""))).alias(c) for c, p in left.items()])
+    got = docs.coalesce(1).select("doc_id", X.text_counts(t).alias("c")).select("doc_id", "c.*")
+    assert got.orderBy("doc_id").collect() == wanted.orderBy("doc_id").collect()
+
+    plans, cut = [], C.cut_lineage
+    monkeypatch.setattr(C, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = C.labelled_documents(SimpleNamespace(documents=docs, labels=labels)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) == labels.count()
+    above = plans[0].split("ArrowEvalPython")[0]
+    assert "SortMergeJoin" in above and "Exchange" in above and "text" not in above.replace("text_counts", "")
